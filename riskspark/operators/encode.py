@@ -31,20 +31,27 @@ def fit_encoder(
     """Blocks in ``columns`` order; an unseen or null category is an all-zero block."""
     index = [f"_{c}_index" for c in columns]
     hot = [f"_{c}_hot" for c in columns]
-    indexer = StringIndexerModel.from_arrays_of_labels(
-        categories(df, columns, max_categories), inputCols=list(columns), outputCols=index, handleInvalid="keep"
-    )
+    indexers = [
+        StringIndexerModel.from_labels(values, inputCol=c, outputCol=i, handleInvalid="keep")
+        for c, i, values in zip(columns, index, categories(df, columns, max_categories))
+    ]
     # The extra "keep" level is the dropped one, which makes it the zero vector.
     encoder = OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True)
     assembler = VectorAssembler(inputCols=hot, outputCol=features_col)
-    fitted = Pipeline(stages=[encoder, assembler]).fit(indexer.transform(df.select(*columns).limit(0)))
-    return PipelineModel([indexer, *fitted.stages])
+    # Sizes come from the indexers' metadata, so fitting the encoder needs no rows.
+    indexed = PipelineModel(indexers).transform(df.select(*columns).limit(0))
+    fitted = Pipeline(stages=[encoder, assembler]).fit(indexed)
+    return PipelineModel([*indexers, *fitted.stages])
+
+
+def known_categories(encoder: PipelineModel) -> list[tuple[str, list[str]]]:
+    """(column, categories) of every block, in vector order."""
+    return [(s.getInputCol(), list(s.labels)) for s in encoder.stages if isinstance(s, StringIndexerModel)]
 
 
 def feature_names(encoder: PipelineModel) -> list[tuple[str, str]]:
     """(column, category) of every position of the feature vector."""
-    indexer = next(s for s in encoder.stages if isinstance(s, StringIndexerModel))
-    return [(c, v) for c, labels in zip(indexer.getInputCols(), indexer.labelsArray) for v in labels]
+    return [(c, v) for c, values in known_categories(encoder) for v in values]
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:
@@ -63,11 +70,10 @@ def feature_cells(df: DataFrame, key: str, encoder: PipelineModel, features_col:
 
 def unseen_counts(df: DataFrame, encoder: PipelineModel) -> DataFrame:
     """(feature, n_unseen): non-null values that the encoder does not know, which score as zeros."""
-    indexer = next(s for s in encoder.stages if isinstance(s, StringIndexerModel))
-    pairs = list(zip(indexer.getInputCols(), indexer.labelsArray))
+    pairs = known_categories(encoder)
     row = df.agg(
         *[
-            F.count_if(F.col(c).isNotNull() & ~F.coalesce(F.col(c).cast("string").isin(list(v)), F.lit(False))).alias(c)
+            F.count_if(F.col(c).isNotNull() & ~F.coalesce(F.col(c).cast("string").isin(v), F.lit(False))).alias(c)
             for c, v in pairs
         ]
     )

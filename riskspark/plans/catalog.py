@@ -300,7 +300,7 @@ _QUOTAS = """counts AS (SELECT {label} AS label, count(*) AS n FROM {src} GROUP
            total - n_test AS n_train FROM counts, t),
   quotas AS (SELECT label, n, fl + CASE WHEN row_number() OVER (ORDER BY rest DESC, label)
            <= n_train - sum(fl) OVER () THEN 1 ELSE 0 END AS n_train FROM fl)"""
-_SPLIT = """SELECT v.*, row_number() OVER (PARTITION BY {label} ORDER BY md5('42:' || row_id), row_id) <= n - n_train
+_SPLIT = """SELECT v.*, row_number() OVER (PARTITION BY v.{label} ORDER BY md5('42:' || row_id), row_id) <= n - n_train
   AS is_test FROM {src} v JOIN quotas ON quotas.label = v.{label}"""
 
 
