@@ -17,32 +17,31 @@ def _weight(weight: str | None) -> Column:
 
 def confusion(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred", weight: str | None = None) -> DataFrame:
     """(y_true, y_pred, n) for every pair of observed labels, zeros included."""
-    counts = df.groupBy(F.col(y_true).alias("y_true"), F.col(y_pred).alias("y_pred")).agg(F.sum(_weight(weight)).alias("n"))
-    # From here on there is at most one row per pair of labels.
-    labels = F.array_distinct(F.concat(F.collect_set("y_true"), F.collect_set("y_pred")))
-    frame = (
-        counts.agg(labels.alias("labels"))
-        .select(F.explode("labels").alias("y_true"), "labels")
-        .select("y_true", F.explode("labels").alias("y_pred"))
-    )
-    return frame.join(counts, ["y_true", "y_pred"], "left").select(
-        "y_true", "y_pred", F.coalesce("n", F.lit(0)).alias("n")
+    counts = df.groupBy(F.col(y_true).alias("y_true"), F.col(y_pred).alias("y_pred")).agg(
+        F.sum(_weight(weight)).alias("n")
     )
+    # From here on there is at most one row per pair of labels, so they fit in one row.
+    pairs = F.map_from_entries(F.collect_list(F.struct(F.struct("y_true", "y_pred"), "n")))
+    labels = F.array_distinct(F.concat(F.collect_set("y_true"), F.collect_set("y_pred")))
+    grid = counts.agg(pairs.alias("pairs"), labels.alias("labels"))
+    grid = grid.select("*", F.explode("labels").alias("y_true"))
+    grid = grid.select("pairs", "y_true", F.explode("labels").alias("y_pred"))
+    found = F.try_element_at("pairs", F.struct("y_true", "y_pred"))
+    return grid.select("y_true", "y_pred", F.coalesce(found, F.lit(0)).alias("n"))
 
 
 def class_scores(confusion_counts: DataFrame) -> DataFrame:
-    """(label, precision, recall, f1_score, support) per class; an empty denominator gives 0."""
-    sides = F.array(
-        F.struct(F.col("y_true").alias("label"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted")),
-        F.struct(F.col("y_pred").alias("label"), F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted")),
-    )
-    totals = (
-        confusion_counts.select(F.inline(sides))
-        .groupBy("label")
-        .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"))
+    """(label, precision, recall, f1_score, support, tp) per class; an empty denominator gives 0."""
+    none = F.lit(0).cast("long")
+    hit = F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(none)
+
+    def side(label: str, support: Column, predicted: Column, tp: Column) -> Column:
+        return F.struct(F.col(label).alias("label"), support.alias("s"), predicted.alias("p"), tp.alias("h"))
+
+    sides = F.array(side("y_true", F.col("n"), none, hit), side("y_pred", none, F.col("n"), none))
+    totals = confusion_counts.select(F.inline(sides)).groupBy("label").agg(
+        F.sum("s").alias("support"), F.sum("p").alias("predicted"), F.sum("h").alias("tp")
     )
-    diagonal = confusion_counts.where("y_true = y_pred").select(F.col("y_true").alias("label"), F.col("n").alias("tp"))
-    totals = totals.join(diagonal, "label")
     tp = F.col("tp").cast("double")
     ratio = lambda a, b: F.coalesce(F.try_divide(a, b.cast("double")), F.lit(0.0))
     return totals.select(
@@ -51,6 +50,7 @@ def class_scores(confusion_counts: DataFrame) -> DataFrame:
         ratio(tp, F.col("support")).alias("recall"),
         ratio(2 * tp, F.col("support") + F.col("predicted")).alias("f1_score"),
         "support",
+        "tp",
     )
 
 
@@ -58,28 +58,31 @@ def classification_report(
     df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred", weight: str | None = None
 ) -> DataFrame:
     """(label, metric, value): per class, accuracy, macro and weighted averages."""
-    counts = confusion(df, y_true, y_pred, weight)
-    scores = class_scores(counts)
-    metrics = ("precision", "recall", "f1_score", "support")
-    long = lambda d: d.select(
-        F.col("label").cast("string").alias("label"),
-        F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])),
-    )
-    support = F.sum("support")
-    macro = scores.agg(*[F.avg(m).alias(m) for m in metrics[:3]], support.alias("support"))
-    weighted = scores.agg(
-        *[(F.sum(F.col(m) * F.col("support")) / support).alias(m) for m in metrics[:3]], support.alias("support")
-    )
-    right = F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)).cast("double")
-    accuracy = counts.agg((right / F.sum("n").cast("double")).alias("value")).select(
-        F.lit("accuracy").alias("label"), F.lit("accuracy").alias("metric"), "value"
-    )
-    return (
-        long(scores)
-        .unionByName(accuracy)
-        .unionByName(long(macro.withColumn("label", F.lit("macro avg"))))
-        .unionByName(long(weighted.withColumn("label", F.lit("weighted avg"))))
+    names = ("precision", "recall", "f1_score")
+    scores = class_scores(confusion(df, y_true, y_pred, weight))
+    support = F.sum("support").cast("double")
+
+    def line(label: Column, values: dict[str, Column]) -> Column:
+        cells = [
+            F.struct(label.alias("label"), F.lit(m).alias("metric"), v.cast("double").alias("value"))
+            for m, v in values.items()
+        ]
+        return F.array(*cells)
+
+    per_class = line(F.col("label").cast("string"), {m: F.col(m) for m in (*names, "support")})
+    averages = {
+        "macro avg": {m: F.avg(m) for m in names},
+        "weighted avg": {m: F.sum(F.col(m) * F.col("support")) / support for m in names},
+    }
+    # One row per class goes in, so everything fits in one row of cells.
+    cells = scores.agg(
+        F.concat(
+            F.flatten(F.collect_list(per_class)),
+            line(F.lit("accuracy"), {"accuracy": F.sum("tp").cast("double") / support}),
+            *[line(F.lit(label), {**v, "support": support}) for label, v in averages.items()],
+        ).alias("cells")
     )
+    return cells.select(F.inline("cells"))
 
 
 def _by_score(df: DataFrame, y_true: str, score: str, weight: str | None) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .joins import join_small
@@ -114,24 +117,23 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 def kde(df: DataFrame, column: str, bins: int = 20, points: int = 200) -> DataFrame:
     """(point, x, y): Gaussian density over the data range, scaled to the counts of the histogram.
 
-    Every value adds to ``points`` running sums inside the partial aggregate, so no row per (value, point) pair is
-    ever produced; repeated values are merged first.
+    Each distinct value is a vector of ``points`` kernel heights, summed with its count as weight by the partial
+    aggregates, so no row per (value, point) pair is ever produced or shuffled.
     """
     value, lo, hi, n, std = _range(df, column)
     if n < 2 or not std:
         raise ValueError(f"{column}: a density needs at least two different values")
     bandwidth = std * n ** (-1 / 5)
-    step = (hi - lo) / (points - 1)
-    scale = (hi - lo) / bins / (bandwidth * (2 * 3.141592653589793) ** 0.5)
+    grid = [lo + i * (hi - lo) / (points - 1) for i in range(points)]
+    scale = (hi - lo) / bins / (bandwidth * (2 * math.pi) ** 0.5)
     counts = value.groupBy("value").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-
-    def part(point: int) -> Column:
-        z = (F.col("value") - F.lit(lo + point * step)) / F.lit(bandwidth)
-        return F.sum(F.col("weight") * F.exp(F.lit(-0.5) * z * z))
-
-    sums = counts.agg(*[part(i).alias(f"p{i}") for i in range(points)])
-    return sums.select(F.posexplode(F.array(*[f"p{i}" for i in range(points)])).alias("point", "y")).select(
-        "point", (F.lit(lo) + F.col("point") * step).alias("x"), (F.col("y") * scale).alias("y")
+    z = lambda x: (F.col("value") - x) / F.lit(bandwidth)
+    heights = F.transform(F.lit(grid), lambda x: F.exp(F.lit(-0.5) * z(x) * z(x)))
+    sums = counts.select("weight", array_to_vector(heights).alias("heights")).agg(
+        vector_to_array(Summarizer.sum(F.col("heights"), F.col("weight"))).alias("sums")
+    )
+    return sums.select(F.posexplode("sums").alias("point", "y")).select(
+        "point", F.get(F.lit(grid), F.col("point")).alias("x"), (F.col("y") * scale).alias("y")
     )
 
 

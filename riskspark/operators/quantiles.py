@@ -19,6 +19,7 @@ from .ordering import LOCAL_ROWS
 
 BUCKETS = 1024
 _FINITE = 1.7976931348623157e308
+_TINY = 5e-324
 
 
 def numeric_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -65,10 +66,20 @@ def _positions(probs: Sequence[float]) -> list[Column]:
     return [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
 
 
-def _bucket(value: Column, lo: Column, hi: Column) -> Column:
+def _log_scale(value: Column) -> Column:
+    """A non-decreasing image of all doubles that spreads every order of magnitude evenly."""
+    size = F.log(F.greatest(F.abs(value), F.lit(_TINY))) - F.log(F.lit(_TINY)) + 1
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(0.0)
+
+
+def _bucket(value: Column, lo: Column, hi: Column, log_scale: bool) -> Column:
     """A bucket number that never decreases with the value; both ends have a bucket of their own."""
-    half = lambda c: F.greatest(F.least(c, F.lit(_FINITE)), F.lit(-_FINITE)) / 2
-    share = F.coalesce(F.try_divide(half(value) - half(lo), half(hi) - half(lo)), F.lit(0.0))
+
+    def image(c: Column) -> Column:
+        finite = F.greatest(F.least(c, F.lit(_FINITE)), F.lit(-_FINITE))
+        return _log_scale(finite) if log_scale else finite / 2
+
+    share = F.coalesce(F.try_divide(image(value) - image(lo), image(hi) - image(lo)), F.lit(0.0))
     inner = F.least(1 + F.floor(share * (BUCKETS - 2)), F.lit(BUCKETS - 2))
     return F.when(value == lo, 0).when(value == hi, BUCKETS - 1).otherwise(inner)
 
@@ -87,13 +98,17 @@ def _narrowed(
         "brackets",
     )
     wide = (F.col("lo") < F.col("hi")) & (F.col("size") > local_rows)
+    log_scale = False
     while not state.where(wide).isEmpty():
         open_, done = state.where(wide), state.where(~wide)
         inside = _inside(long, open_, keys)
-        cells = inside.groupBy(*keys, "lo", "hi", _bucket(F.col("value"), F.col("lo"), F.col("hi")).alias("bucket")).agg(
+        bucket = _bucket(F.col("value"), F.col("lo"), F.col("hi"), log_scale)
+        cells = inside.groupBy(*keys, "lo", "hi", bucket.alias("bucket")).agg(
             F.count(F.lit(1)).alias("cell"), F.min("value").alias("cell_lo"), F.max("value").alias("cell_hi")
         )
         state = materialize(done.unionByName(_choose(open_, cells, keys, "bucket")), "brackets")
+        # Linear buckets are best within one order of magnitude, logarithmic ones across many.
+        log_scale = not log_scale
     open_, done = state.where(F.col("lo") < F.col("hi")), state.where(F.col("lo") == F.col("hi"))
     cells = _inside(long, open_, keys).groupBy(*keys, "lo", "hi", "value").agg(F.count(F.lit(1)).alias("cell"))
     cells = cells.withColumns({"cell_lo": F.col("value"), "cell_hi": F.col("value")})

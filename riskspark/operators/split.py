@@ -12,7 +12,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .joins import join_small
+from .joins import BROADCAST_ROWS
 
 PREFIX_DIGITS = 4
 
@@ -44,22 +44,28 @@ def class_quotas(counts: DataFrame, label: str, test_size: float) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """``df`` with ``is_test``; disjoint, exhaustive, and independent of row order and partitioning."""
+    """``df`` with ``is_test``; disjoint, exhaustive, and independent of row order and partitioning.
+
+    Reads ``df`` three times, two of them for (key, label) only; pass a written table when computing it is expensive.
+    """
     hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
     prefixed = hashed.select(key, label, "_hash", F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix"))
-    cells = materialize(
-        prefixed.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("n")), "split-cells"
-    )
-    counts = materialize(cells.groupBy(label).agg(F.sum("n").alias("n")), "split-counts")
-    if not counts.where(F.col(label).isNull()).isEmpty():
+    cells = materialize(prefixed.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("n")), "split-cells")
+    counts = cells.groupBy(label).agg(F.sum("n").alias("n"))
+    classes, nulls, singles = counts.agg(
+        F.count(F.lit(1)), F.count_if(F.col(label).isNull()), F.count_if(F.col("n") < 2)
+    ).first()
+    if nulls:
         raise ValueError(f"{label} has nulls; set those rows aside before splitting")
-    if not counts.where("n < 2").isEmpty():
+    if singles:
         raise ValueError(f"every class of {label} needs at least two rows")
-    quotas = class_quotas(counts, label, test_size).select(label, "n_test")
+    # The tables below have at most one row per class, and the classes have just been counted.
+    small = F.broadcast if classes <= BROADCAST_ROWS else lambda d: d
 
+    quotas = class_quotas(counts, label, test_size).select(label, "n_test")
     earlier = Window.partitionBy(label).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     edge = (
-        join_small(cells, quotas, [label])
+        cells.join(small(quotas), label)
         .withColumn("_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .where((F.col("_before") < F.col("n_test")) & (F.col("_before") + F.col("n") >= F.col("n_test")))
         .select(label, "_prefix", (F.col("n_test") - F.col("_before")).alias("_take"))
@@ -67,11 +73,11 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
     # Only the rows of one prefix per class are ordered here.
     order = Window.partitionBy(label).orderBy("_hash", key)
     cut = (
-        join_small(prefixed, edge, [label, "_prefix"])
+        prefixed.join(small(edge), [label, "_prefix"])
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") == F.col("_take"))
         .select(label, F.struct("_hash", key).alias("_cut"))
     )
-    assigned = join_small(hashed, cut, [label], "left")
+    assigned = hashed.join(small(cut), label, "left")
     is_test = F.coalesce(F.struct("_hash", key) <= F.col("_cut"), F.lit(False))
     return assigned.withColumn("is_test", is_test).select(*df.columns, "is_test")

@@ -87,7 +87,7 @@ def _answer(client: Client, texts: list[str], calls: Calls, gap: float) -> list[
     """(text, error, attempts) per prompt; a failing batch is retried prompt by prompt."""
     if len(texts) > 1:
         try:
-            time.sleep(gap)
+            _pause(gap)
             answers = client(texts)
             if len(answers) == len(texts):
                 return [(a, None, 1) for a in answers]
@@ -97,15 +97,20 @@ def _answer(client: Client, texts: list[str], calls: Calls, gap: float) -> list[
     message = ""
     for attempt in range(1, calls.attempts + 1):
         try:
-            time.sleep(gap)
+            _pause(gap)
             return [(client(texts)[0], None, attempt)]
         except Exception as failure:  # noqa: BLE001 - the message is recorded with the row
             message = str(failure)
             if attempt < calls.attempts:
-                time.sleep(random.uniform(*calls.wait))
+                _pause(random.uniform(*calls.wait))
     return [(None, message, calls.attempts)]
 
 
+def _pause(seconds: float) -> None:
+    if seconds > 0:
+        time.sleep(seconds)
+
+
 class AnnotationTable:
     """The appended answers of one job."""
 

@@ -247,18 +247,11 @@ def _edge_cte(source: str, columns, by: str = "") -> str:
 _BINNED = ", ".join(f"{_case(c, BIN_LABELS[c], c + '_{}')} AS {BIN_COLUMNS[c]}" for c in BIN_COLUMNS)
 
 
-def _binner() -> binning.QuantileBinner:
-    return binning.QuantileBinner(
-        inputCols=list(BIN_COLUMNS), outputCols=list(BIN_COLUMNS.values()),
-        labels=[list(BIN_LABELS[c]) for c in BIN_COLUMNS],
-    )
-
-
 @query(f"""WITH {V3}, e AS ({_edge_cte('v3', BIN_COLUMNS)})
   SELECT row_id, sex, job, housing, saving_accounts, checking_account, purpose, {_BINNED} FROM v3, e""")
 def quantile_bins(spark, folder):
     rows = materialize(whole_applicants(spark, folder), "applicants")
-    return _binner().fit(rows).transform(rows).select("row_id", *FEATURES)
+    return training.fit_binner(rows).transform(rows).select("row_id", *FEATURES)
 
 
 @query(f"""WITH {V3}, e AS ({_edge_cte('v3', BIN_COLUMNS, 'request_id')})
@@ -340,7 +333,7 @@ _DOC_BINS = f"""WITH {V1}, e AS ({_edge_cte('v1', ['amount'])}),
 def _doc_features(spark, folder):
     rows = labelled_docs(spark, folder).withColumn("label", labels.map_values(F.col("target")))
     rows = materialize(rows.drop("description"), "docs")
-    features = training.fit_features(rows, DOC_LAYOUT)
+    features, _ = training.fit_features(rows, DOC_LAYOUT)
     return rows, features, encode.drop_helpers(features.transform(rows))
 
 
@@ -382,7 +375,7 @@ _TRAIN_COUNTS = f"""WITH {V3}, f AS (SELECT * REPLACE (coalesce(saving_accounts,
 @query(_TRAIN_COUNTS)
 def training_counts(spark, folder):
     train, test = training.prepare(whole_applicants(spark, folder), "row_id")
-    binner = _binner().fit(train)
+    binner = training.fit_binner(train)
     sides = [d.withColumn("is_test", F.lit(flag)) for d, flag in ((train, False), (test, True))]
     return encode.collapse(binner.transform(sides[0].unionByName(sides[1])), [*FEATURES, "label", "is_test"])
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import training_gate
 from ..functions.text import class_at
-from ..operators.binning import QuantileBinner
+from ..operators.binning import QuantileBinner, QuantileBinnerModel
 from ..operators.encode import collapse, drop_helpers, fit_encoder
 from ..operators.metrics import classification_report, roc_auc
 from ..operators.split import stratified_split
@@ -55,24 +55,32 @@ def prepare(
     return rows.where("not is_test").drop("is_test"), rows.where("is_test").drop("is_test")
 
 
-def fit_features(train: DataFrame, layout: Layout = APPLICANT_LAYOUT) -> PipelineModel:
-    """Frozen bin edges and categories of the training rows, as one model."""
-    binner = QuantileBinner(
+def fit_binner(train: DataFrame, layout: Layout = APPLICANT_LAYOUT) -> QuantileBinnerModel:
+    return QuantileBinner(
         inputCols=list(layout.bins),
         outputCols=list(layout.bins.values()),
         labels=[list(layout.bin_labels[c]) for c in layout.bins],
     ).fit(train)
-    encoder = fit_encoder(binner.transform(train), layout.features)
-    return PipelineModel([binner, *encoder.stages])
 
 
-def merged_rows(df: DataFrame, features: PipelineModel, layout: Layout = APPLICANT_LAYOUT) -> DataFrame:
-    """Encoded rows merged by (features, label): (label, n, features).
+def fit_features(train: DataFrame, layout: Layout = APPLICANT_LAYOUT) -> tuple[PipelineModel, DataFrame]:
+    """Frozen bin edges and categories of the training rows as one model, and the merged training rows.
 
-    Only binning happens per row; the vectors are built for the distinct combinations.
+    Rows are merged to distinct combinations right after binning; categories and vectors are made from those.
     """
+    binner = fit_binner(train, layout)
+    counted = materialize(collapse(binner.transform(train), [*layout.features, "label"]), "combinations")
+    encoder = fit_encoder(counted, layout.features)
+    return PipelineModel([binner, *encoder.stages]), _encoded(counted, encoder)
+
+
+def merged_rows(df: DataFrame, features: PipelineModel, layout: Layout = APPLICANT_LAYOUT) -> DataFrame:
+    """Encoded rows merged by (features, label): (label, n, features)."""
     binner, encoder = features.stages[0], PipelineModel(features.stages[1:])
-    counted = collapse(binner.transform(df), [*layout.features, "label"])
+    return _encoded(collapse(binner.transform(df), [*layout.features, "label"]), encoder)
+
+
+def _encoded(counted: DataFrame, encoder: PipelineModel) -> DataFrame:
     return drop_helpers(encoder.transform(counted)).select("label", "n", "features")
 
 
@@ -138,9 +146,9 @@ def train_and_evaluate(
 ) -> TrainingRun:
     """The whole flow; ``model`` scores raw rows and can be saved and loaded as one pipeline."""
     train, test = prepare(df, key, layout, test_size=test_size, seed=seed)
-    features = fit_features(train, layout)
+    features, merged = fit_features(train, layout)
     fit = {"logistic": fit_logistic, "trees": fit_trees}[algorithm]
-    classifier = fit(materialize(merged_rows(train, features, layout), "merged"), **options)
+    classifier = fit(merged, **options)
     report = evaluate(merged_rows(test, features, layout), classifier)
     return TrainingRun(PipelineModel([*features.stages, classifier]), report, train, test)
 

@@ -58,13 +58,15 @@ def parse_csv_bodies(
     the whole batch. Line breaks inside quoted fields are not supported.
     """
     lines = F.filter(F.split("body", "\r\n|\n|\r"), lambda line: line != "")
-    # ``from_csv`` wants a fixed schema: header and lines are read with as many text fields as columns can appear.
+    # ``from_csv`` wants a fixed schema: lines with quotes are read with as many text fields as columns can appear.
     width = len(names) + SPARE_COLUMNS
     fields = ", ".join(f"c{i} string" for i in range(width))
 
     def cells(line: Column) -> Column:
-        row = F.from_csv(line, fields, CSV_DIALECT)
-        return F.array(*[row[f"c{i}"] for i in range(width)])
+        # The lambda binds the parsed row, so a line is parsed once for all its fields.
+        rows = F.array(F.from_csv(line, fields, CSV_DIALECT))
+        quoted = F.get(F.transform(rows, lambda r: F.array(*[r[f"c{i}"] for i in range(width)])), F.lit(0))
+        return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
 
     bodies = requests.select(request_id, "content_type", lines.alias("_lines"))
     bodies = bodies.withColumn("_header", F.transform(cells(F.get("_lines", F.lit(0))), F.trim))
