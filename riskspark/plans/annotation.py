@@ -227,7 +227,7 @@ def progress(log: DataFrame, total_rows: int | Column) -> DataFrame:
     total = F.lit(total_rows) if isinstance(total_rows, int) else total_rows
     upto = Window.partitionBy(F.lit(0)).orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     state = log.select(
-        "chunk", F.sum("rows").over(upto).alias("rows_done"), F.sum("seconds").over(upto).alias("elapsed")
+        "chunk", F.sum("rows").over(upto).alias("rows_done"), F.sum("seconds").over(upto).cast("double").alias("elapsed")
     )
     average = F.try_divide(F.col("elapsed"), F.col("rows_done").cast("double"))
     left = total - F.col("rows_done")

@@ -568,8 +568,9 @@ def run_counters(spark, folder):
 @query("""WITH c AS (SELECT event_id // 500 AS chunk, count(*) AS rows, max(ts) - min(ts) AS took FROM events GROUP BY 1),
   u AS (SELECT chunk, CAST(sum(rows) OVER w AS BIGINT) AS rows_done,
       sum(CAST(epoch_us(took) AS BIGINT)) OVER w AS us FROM (SELECT chunk, rows, took FROM c) WINDOW w AS (ORDER BY chunk)),
-  p AS (SELECT chunk, rows_done, (SELECT count(*) FROM events) - rows_done AS rows_left, us / 1e6 AS elapsed FROM u)
-  SELECT chunk, rows_done, rows_left, round(elapsed, 4) AS elapsed, round(elapsed / rows_done, 4) AS avg_seconds,
+  p AS (SELECT chunk, rows_done, (SELECT count(*) FROM events) - rows_done AS rows_left,
+    CAST(us AS DOUBLE) / CAST(1000000 AS DOUBLE) AS elapsed FROM u)
+  SELECT chunk, rows_done, rows_left, elapsed, elapsed / rows_done AS avg_seconds,
     round(elapsed / rows_done * rows_left / 60, 1) AS eta_minutes FROM p""")
 def run_progress(spark, folder):
     took = "max(ts) - min(ts)"
@@ -579,11 +580,11 @@ def run_progress(spark, folder):
         table(spark, folder, "events")
         .groupBy(F.expr("event_id div 500").alias("chunk"))
         .agg(F.count(F.lit(1)).alias("rows"), F.expr(took).alias("took"))
-        .withColumn("seconds", F.expr(f"cast({seconds} as double)"))
+        .withColumn("seconds", F.expr(f"cast({seconds} as decimal(18,6))"))
     )
     log = materialize(log, "run-log")
     total = log.agg(F.sum("rows")).scalar()
-    return rounded(annotation.progress(log, total), "elapsed", "avg_seconds")
+    return annotation.progress(log, total)
 
 
 # ---------------------------------------------------------------- key updates
