@@ -92,7 +92,8 @@ def bin_by_group(
 ) -> DataFrame:
     """Bins with edges recomputed inside each group (the behaviour of binning one request at a time).
 
-    Groups of any size are exact; the edges are joined back as one row per group.
+    Groups of any size are exact; the edges are joined back as one row per group. With ``duplicates="drop"`` a bin
+    between repeated edges stays empty and its label unused.
     """
     probs = [i / 4 for i in range(5)]
     found = exact_quantiles(df, list(columns), probs, by=by, local_rows=local_rows)

@@ -258,7 +258,7 @@ def quantile_bins(spark, folder):
   SELECT row_id, request_id, {_BINNED} FROM v3 JOIN e USING (request_id)""")
 def grouped_bins_per_request(spark, folder):
     rows = materialize(whole_applicants(spark, folder).select("row_id", "request_id", *BIN_COLUMNS), "applicants")
-    binned = binning.bin_by_group(rows, ["request_id"], BIN_COLUMNS, BIN_LABELS)
+    binned = binning.bin_by_group(rows, ["request_id"], BIN_COLUMNS, BIN_LABELS, duplicates="drop")
     return binned.select("row_id", "request_id", *BIN_COLUMNS.values())
 
 
@@ -792,7 +792,7 @@ def score_refit(spark, folder):
     """Scores with bins recomputed inside every request, a request being the applicants of one nation."""
     rows = materialize(whole_applicants(spark, folder), "applicants")
     model = training.train_and_evaluate(rows, "row_id").model
-    return scoring.score(rows, model, ["row_id"], edges="refit", request_id="request_id")
+    return scoring.score(rows, model, ["row_id"], edges="refit", request_id="request_id", duplicates="drop")
 
 
 @query()

@@ -27,17 +27,17 @@ def raw_columns(layout: Layout = APPLICANT_LAYOUT) -> list[str]:
 
 def score(
     df: DataFrame, model: PipelineModel, keys: Sequence[str], layout: Layout = APPLICANT_LAYOUT,
-    edges: str = "frozen", request_id: str | None = None,
+    edges: str = "frozen", request_id: str | None = None, duplicates: str = "raise",
 ) -> DataFrame:
     """(keys..., y_prob, y_pred) for raw rows, batch or streaming.
 
     ``edges="frozen"`` bins with the edges of the training rows. ``edges="refit"`` recomputes them inside every
-    request (batch only).
+    request (batch only); ``duplicates`` says what a request with repeated edges does.
     """
     needed = [*keys, *([request_id] if request_id and request_id not in keys else []), *raw_columns(layout)]
     rows = require_columns(df, needed).fillna(dict(layout.fill))
     if edges == "refit":
-        rows = bin_by_group(rows, [request_id], dict(layout.bins), layout.bin_labels)
+        rows = bin_by_group(rows, [request_id], dict(layout.bins), layout.bin_labels, duplicates)
         model = PipelineModel(model.stages[1:])
     elif edges != "frozen":
         raise ValueError("edges must be 'frozen' or 'refit'")
