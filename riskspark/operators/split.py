@@ -46,7 +46,7 @@ def class_quotas(counts: DataFrame, label: str, test_size: float) -> DataFrame:
 def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """``df`` with ``is_test``; disjoint, exhaustive, and independent of row order and partitioning.
 
-    Reads ``df`` three times, two of them for (key, label) only; pass a written table when computing it is expensive.
+    Reads (key, label) twice before the result is scanned; pass a written table when computing ``df`` is expensive.
     """
     hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
     prefixed = hashed.select(key, label, "_hash", F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix"))
@@ -78,6 +78,8 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
         .where(F.col("_rank") == F.col("_take"))
         .select(label, F.struct("_hash", key).alias("_cut"))
     )
+    # Written, so that every later scan of the result is one scan.
+    cut = materialize(cut, "split-cut")
     assigned = hashed.join(small(cut), label, "left")
     is_test = F.coalesce(F.struct("_hash", key) <= F.col("_cut"), F.lit(False))
     return assigned.withColumn("is_test", is_test).select(*df.columns, "is_test")

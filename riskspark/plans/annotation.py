@@ -22,6 +22,14 @@ from ..session import materialize
 from ..sources.files import read_or_empty
 
 Client = Callable[[list[str]], list[str]]
+LOG = T.StructType(
+    [
+        T.StructField("chunk", T.IntegerType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("errors", T.LongType()),
+        T.StructField("seconds", T.DoubleType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -135,6 +143,19 @@ class AnnotationTable:
         rows = answers.withColumns({"pass_no": F.lit(pass_no), "chunk": chunk.cast("int")})
         rows.select(self.schema.names).write.mode("append").partitionBy("chunk").parquet(self.path)
 
+    def log(self) -> DataFrame:
+        """The run log: (chunk, rows, errors, seconds) per finished chunk."""
+        return read_or_empty(self.spark, self.path.rstrip("/") + "_log", LOG)
+
+    def append_logged(self, answers: DataFrame, chunk: int) -> None:
+        start = time.monotonic()
+        self.append(answers, 0, chunk)
+        # Reads the files of this chunk only.
+        written = self.rows().where((F.col("chunk") == chunk) & (F.col("pass_no") == 0))
+        rows, errors = written.agg(F.count(F.lit(1)), F.count_if(F.col("status") == "error")).first()
+        line = (chunk, rows, errors, time.monotonic() - start)
+        self.spark.createDataFrame([line], LOG).coalesce(1).write.mode("append").parquet(self.path.rstrip("/") + "_log")
+
 
 def run_annotation(
     prompts: DataFrame,
@@ -159,7 +180,7 @@ def run_annotation(
     todo = sorted(r.chunk for r in waiting.select("chunk").distinct().collect())
     for number in todo[:max_chunks]:
         rows = waiting.where(F.col("chunk") == number)
-        out.append(annotate(rows, key, prompt, client_factory, calls), 0, number)
+        out.append_logged(annotate(rows, key, prompt, client_factory, calls), number)
     return out
 
 

@@ -18,6 +18,7 @@ from ..operators.metrics import classification_report, roc_auc
 from ..operators.split import stratified_split
 from ..schema import BIN_COLUMNS, BIN_LABELS, FEATURES, FILL_UNKNOWN
 from ..session import materialize
+from ..sources.files import write_predictions
 
 
 @dataclass(frozen=True)
@@ -46,12 +47,14 @@ def prepare(
     df: DataFrame, key: str, layout: Layout = APPLICANT_LAYOUT, target: str = "target", test_size: float = 0.2,
     seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with numeric ``label``; nulls filled, error rows set aside, the split written once."""
+    """(train, test) with numeric ``label``; nulls filled and error rows set aside.
+
+    Only the needed columns are written, once; both sides are scans of that table with a row-local test.
+    """
     source = [c for c in layout.features if c not in layout.bins.values()]
     clean, _ = training_gate(df.select(key, *source, *layout.bins, target), target)
-    # The split reads its input four times and training reads the result, so both are written once.
     clean = materialize(clean.fillna(dict(layout.fill)).drop(target), "clean")
-    rows = materialize(stratified_split(clean, key, "label", test_size, seed), "split")
+    rows = stratified_split(clean, key, "label", test_size, seed)
     return rows.where("not is_test").drop("is_test"), rows.where("is_test").drop("is_test")
 
 
@@ -153,6 +156,18 @@ def train_and_evaluate(
     return TrainingRun(PipelineModel([*features.stages, classifier]), report, train, test)
 
 
+def held_out_predictions(run: TrainingRun, key: str) -> DataFrame:
+    """(key, y_true, y_prob, y_pred) of the held-out rows."""
+    return predictions(run.model.transform(run.test.withColumnRenamed("label", "y_true")), key, "y_true")
+
+
+def save_run(run: TrainingRun, key: str, folder: str, mode: str = "overwrite") -> None:
+    """Model, metrics (figures and four-decimal text) and held-out predictions under one folder."""
+    run.model.write().overwrite().save(f"{folder}/model")
+    run.report.withColumn("text", F.format_string("%.4f", "value")).write.mode(mode).parquet(f"{folder}/metrics")
+    write_predictions(held_out_predictions(run, key), f"{folder}/predictions", key, mode=mode)
+
+
 def report_text(report: DataFrame) -> DataFrame:
     """(label, metric, text): figures with four decimals."""
     return report.select("label", "metric", F.format_string("%.4f", "value").alias("text"))

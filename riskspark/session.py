@@ -19,6 +19,8 @@ def build_session(app_name: str = "riskspark", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Prompts can be long texts, so a batch sent to Python holds few of them.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         "spark.ui.showConsoleProgress": "false",
         **{k.replace("_", "."): str(v) for k, v in conf.items()},
     }

@@ -80,6 +80,10 @@ def test_resume_equals_one_run(spark, prompts):
     once = annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), whole, ONCE, chunks=5)
     assert resumed.rows().count() == 40
     assert by_id(resumed.latest()) == by_id(once.latest())
+    log = once.log()
+    assert tuple(log.agg(F.sum("rows"), F.sum("errors")).first()) == (40, 1) and log.count() <= 5
+    last = annotation.progress(log, 40).orderBy(F.desc("chunk")).first()
+    assert (last.rows_done, last.rows_left) == (40, 0)
     # Nothing is left, so nothing is asked again.
     annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), path, ONCE, chunks=5)
     assert resumed.rows().count() == 40

@@ -104,6 +104,19 @@ def test_saved_model_scores_the_same_in_batch_and_stream(spark, people, run):
     assert batch.where("(y_prob > 0.5) <> (y_pred = 1)").isEmpty()
 
 
+def test_saved_outputs_agree_with_the_report(spark, run):
+    folder = scratch_path(spark, "run")
+    training.save_run(run, "id", folder)
+    rows = spark.read.parquet(f"{folder}/predictions")
+    figures = {(r.label, r.metric): r for r in spark.read.parquet(f"{folder}/metrics").collect()}
+    accuracy = rows.where("y_true = y_pred").count() / rows.count()
+    assert accuracy == pytest.approx(figures[("accuracy", "accuracy")].value) and rows.count() == 300
+    # Row by row and on merged rows the AUC is the same.
+    auc = training.roc_auc(rows).first().auc
+    assert auc == pytest.approx(figures[("roc_auc", "roc_auc")].value, abs=1e-12)
+    assert figures[("roc_auc", "roc_auc")].text == f"{auc:.4f}"
+
+
 def test_refit_edges_per_request(people, run):
     rows = people.withColumn("request_id", (F.col("id") < 1000).cast("int"))
     got = scoring.score(rows, run.model, ["id"], edges="refit", request_id="request_id")
