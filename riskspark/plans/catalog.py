@@ -200,12 +200,12 @@ _COND = """SELECT '{c}' AS feature, value, target, n, CAST(n AS DOUBLE) / CAST(s
        + " UNION ALL ".join(_COND.format(c=c, src="f") for c in NINE))
 def cond_distribution_filled(spark, folder):
     rows = whole_applicants(spark, folder).fillna(FILL_UNKNOWN)
-    return distribution.conditional_distribution(rows, "target", NINE)
+    return distribution.conditional_distribution(rows, "target", NINE, classes=LABELS)
 
 
 @query(f"WITH {V3} " + " UNION ALL ".join(_COND.format(c=c, src="v3") for c in NINE))
 def cond_distribution_dropna(spark, folder):
-    return distribution.conditional_distribution(whole_applicants(spark, folder), "target", NINE)
+    return distribution.conditional_distribution(whole_applicants(spark, folder), "target", NINE, classes=LABELS)
 
 
 # ---------------------------------------------------------------- quantile bins

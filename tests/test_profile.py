@@ -106,3 +106,13 @@ def test_conditional_distribution(people):
     assert kept.agg({"n": "sum"}).first()[0] == int(frame.housing.isna().sum())
     default = distribution.conditional_distribution(df.withColumnRenamed("housing", "description"), "target")
     assert {r.feature for r in default.select("feature").distinct().collect()} == {"id", "age", "amount"}
+
+
+def test_named_classes_give_the_same_rows_and_refuse_others(people):
+    _, df = people
+    rows = lambda d: sorted(map(tuple, d.collect()))
+    columns = ["housing", "age"]
+    named = distribution.conditional_distribution(df, "target", columns, classes=["good risk", "bad risk"])
+    assert rows(named) == rows(distribution.conditional_distribution(df, "target", columns))
+    with pytest.raises(Exception, match="unknown target"):
+        distribution.conditional_distribution(df, "target", columns, classes=["good risk"]).collect()
