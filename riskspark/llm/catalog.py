@@ -7,16 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import decontaminate, exact_dedup, license_scan, simhash
+from . import decontaminate, exact_dedup, language_id, license_scan, sentencepiece, simhash
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece.encode(documents(spark, folder))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark(documents(spark, folder))
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(documents(spark, folder))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
@@ -30,7 +38,11 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_exact_dedup, op7_simhash_near_dedup, op9_benchmark_decontamination, op10_license_scan)
+    f.__name__: f
+    for f in (
+        op1_sentencepiece, op2_exact_dedup, op6_language_id, op7_simhash_near_dedup, op9_benchmark_decontamination,
+        op10_license_scan,
+    )
 }
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
