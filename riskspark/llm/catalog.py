@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import decontaminate, exact_dedup, language_id, license_scan, sentencepiece, simhash
+from . import decontaminate, exact_dedup, language_id, license_scan, lm_score, sentencepiece, simhash
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score(documents(spark, folder))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.scan(documents(spark, folder), table(spark, folder, "benchmark"))
 
@@ -40,8 +44,8 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_sentencepiece, op2_exact_dedup, op6_language_id, op7_simhash_near_dedup, op9_benchmark_decontamination,
-        op10_license_scan,
+        op1_sentencepiece, op2_exact_dedup, op6_language_id, op7_simhash_near_dedup, op8_lm_score,
+        op9_benchmark_decontamination, op10_license_scan,
     )
 }
 ORACLES: dict[str, str] = {

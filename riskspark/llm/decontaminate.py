@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import small_batches, text_or_empty
+from .common import kept_rows, small_batches, text_or_empty, with_answer
 
 WINDOW = 10
 #: Search strings in one broadcast block.
@@ -166,6 +166,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     return merged.select("doc_id", *_report(F.col("n_words"), F.col("hit"), F.col("items")))
 
 
+def clean_rows(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW,
+               strings: int = STRINGS) -> DataFrame:
+    """The rows without any hit, with the columns they came with."""
+    for blocks, search in _findings(docs, benchmark, text, window, strings):
+        docs = kept_rows(with_answer(docs, F.size(_finding(search, text)["hit"])), F.col("__answer") == 0)
+        if blocks > 1:
+            docs = materialize(docs, "clean-rows")
+            search.unpersist()
+    return docs
+
+
 SQL = r"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
   b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),

@@ -22,12 +22,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import crc_fold, small_batches, text_or_empty
+from .common import crc_fold, kept_rows, small_batches, text_or_empty, with_answer
 
 UNKNOWN = "und"
 #: Rows of the filter and rows looked up for an n-gram.
 SLOTS, PROBES = 1 << 18, 3
 MIN_SHARE, MIN_RATIO = 5e-5, 0.1
+#: Texts of which fewer n-grams belong to the chosen language are in none of the learned ones.
+LEAST_SCORE = 0.3
 #: Characters worked on at once in a task.
 _PIECE = 1 << 20
 _MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -178,3 +180,11 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     model = learn(docs.where(~out), text, lang)
     answered = docs.select(F.col(key).alias("doc_id"), out.alias("held_out"), prediction(docs, model, text).alias("p"))
     return answered.select("doc_id", "held_out", "p.*")
+
+
+def known_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 3, held_out: int = 1,
+               least: float = LEAST_SCORE) -> DataFrame:
+    """The rows in one of the learned languages with at least score ``least``, with the columns they came with."""
+    model = learn(docs.where(crc_fold(key, folds) != held_out), text, lang)
+    answered = with_answer(docs, prediction(docs, model, text))
+    return kept_rows(answered, (F.col("__answer.lang_pred") != UNKNOWN) & (F.col("__answer.score") >= least))

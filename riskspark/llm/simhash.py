@@ -251,3 +251,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     labels = member.join(named, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def first_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows whose id names their component, with the columns they came with; rows that share an id stay together."""
+    found = near_duplicates(docs, key, text, **options)
+    names = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__name")).distinct()
+    return docs.join(names, docs[key].cast("bigint").eqNullSafe(names["__name"]), "left_semi")
