@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import decontaminate, exact_dedup, language_id, license_scan, lm_score, sentencepiece, simhash
+from . import decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_score, sentencepiece, simhash
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark(documents(spark, folder))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(table(spark, folder, "pages"))
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(documents(spark, folder))
 
@@ -44,11 +48,12 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_sentencepiece, op2_exact_dedup, op6_language_id, op7_simhash_near_dedup, op8_lm_score,
+        op1_sentencepiece, op2_exact_dedup, op4_line_dedup, op6_language_id, op7_simhash_near_dedup, op8_lm_score,
         op9_benchmark_decontamination, op10_license_scan,
     )
 }
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op4_line_dedup": line_dedup.sql(),
     "op9_benchmark_decontamination": decontaminate.SQL,
 }

@@ -29,7 +29,7 @@ UNKNOWN = "und"
 SLOTS, PROBES = 1 << 18, 3
 MIN_SHARE, MIN_RATIO = 5e-5, 0.1
 #: Texts of which fewer n-grams belong to the chosen language are in none of the learned ones.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.2
 #: Characters worked on at once in a task.
 _PIECE = 1 << 20
 _MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
