@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_score, sentencepiece, simhash
+from . import decontaminate, exact_dedup, html_extract, language_id, license_scan, line_dedup, lm_score, sentencepiece, simhash
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, folder, "pages"))
 
 
+def op5_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, folder, "pages"))
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(documents(spark, folder))
 
@@ -48,8 +52,8 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_sentencepiece, op2_exact_dedup, op4_line_dedup, op6_language_id, op7_simhash_near_dedup, op8_lm_score,
-        op9_benchmark_decontamination, op10_license_scan,
+        op1_sentencepiece, op2_exact_dedup, op4_line_dedup, op5_html_extract, op6_language_id, op7_simhash_near_dedup,
+        op8_lm_score, op9_benchmark_decontamination, op10_license_scan,
     )
 }
 ORACLES: dict[str, str] = {
