@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import decontaminate, exact_dedup, html_extract, language_id, license_scan, line_dedup, lm_score, sentencepiece, simhash
+from . import decontaminate, exact_dedup, html_extract, language_id, license_scan, line_dedup, lm_score, sentencepiece, simhash, suffix_dedup
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark(documents(spark, folder))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, folder), kept=False)
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, folder, "pages"))
 
@@ -52,8 +56,8 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_sentencepiece, op2_exact_dedup, op4_line_dedup, op5_html_extract, op6_language_id, op7_simhash_near_dedup,
-        op8_lm_score, op9_benchmark_decontamination, op10_license_scan,
+        op1_sentencepiece, op2_exact_dedup, op3_suffix_array_dedup, op4_line_dedup, op5_html_extract, op6_language_id,
+        op7_simhash_near_dedup, op8_lm_score, op9_benchmark_decontamination, op10_license_scan,
     )
 }
 ORACLES: dict[str, str] = {
