@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-# The two prompts and the request version, which the answers depend on word by word.
+# The two prompts, their fields, the request version and the limits of an answer, which the answers depend on.
 DESCRIBE_PROMPT = (
     "Write a short, fluent sentence that assesses the applicant's creditworthiness. "
     "Avoid starting with generic phrases like 'Based on the information'. "
@@ -73,11 +73,6 @@ def preview(text: Column, chars: int = 200) -> Column:
     return F.substring(text, 1, chars)
 
 
-def fixed(value: Column, digits: int = 4) -> Column:
-    """A number with exactly ``digits`` decimals, without digit grouping."""
-    return F.format_string(f"%.{digits}f", value.cast("double"))
-
-
 def class_at(probability: Column, threshold: float = 0.5) -> Column:
     """Class 1 above the threshold, else 0."""
     return F.when(probability > threshold, 1).otherwise(0)

@@ -17,8 +17,14 @@ from .quantiles import checked_edges, exact_quantiles
 
 
 def bin_expr(value: Column, inner: Sequence[float | Column], labels: Sequence[str | int]) -> Column:
-    """Right-closed bins over the inner edges; the outer bins are open, so any number gets a label."""
-    expr = F.when(value.isNull() | F.isnan(value.cast("double")), None)
+    """Right-closed bins over the inner edges; the outer bins are open, so any number gets a label.
+
+    Without edges there is no bin: a null edge gives a null label.
+    """
+    none = value.isNull() | F.isnan(value.cast("double"))
+    for edge in inner:
+        none = none | edge.isNull() if isinstance(edge, Column) else none
+    expr = F.when(none, None)
     for edge, label in zip(inner, labels):
         expr = expr.when(value <= edge, F.lit(label))
     return expr.otherwise(F.lit(labels[-1]))
@@ -92,31 +98,46 @@ def bin_by_group(
 ) -> DataFrame:
     """Bins with edges recomputed inside each group (the behaviour of binning one request at a time).
 
-    Groups of any size are exact; the edges are joined back as one row per group. With ``duplicates="drop"`` a bin
-    between repeated edges stays empty and its label unused.
+    Groups of any size are exact; the edges are joined back as one row per group, a null group being one as well.
+    Labels go to the four quarters by position: with ``duplicates="keep"`` a quarter between repeated edges stays empty
+    and its label unused. Bins without labels, where repeated edges can be dropped, are those of ``QuantileBinner``.
     """
+    if duplicates not in ("raise", "keep"):
+        raise ValueError("duplicates must be 'raise' or 'keep'")
     probs = [i / 4 for i in range(5)]
     found = exact_quantiles(df, list(columns), probs, by=by, local_rows=local_rows)
-    edges = found.groupBy(*by).pivot("feature", list(columns)).agg(F.first("edges"))
+    edges = found.groupBy(F.struct(*by).alias("_by")).pivot("feature", list(columns)).agg(F.first("edges"))
     if duplicates == "raise":
         repeated = [F.size(F.array_distinct(c)) < F.size(c) for c in columns]
         bad = edges.where(F.array_contains(F.array(*repeated), True)).take(1)
         if bad:
-            raise ValueError(f"bin edges must be unique, got {bad[0].asDict()}; pass duplicates='drop'")
-    edges = edges.select(*by, *[F.col(c).alias(f"_edges_{c}") for c in columns])
-    out = join_small(df, edges, by, "left")
+            raise ValueError(f"bin edges must be unique, got {bad[0].asDict()}; pass duplicates='keep'")
+    edges = edges.select("_by", *[F.col(c).alias(f"_edges_{c}") for c in columns])
+    out = join_small(df.withColumn("_by", F.struct(*by)), edges, ["_by"], "left")
     bins = {
         name: bin_expr(F.col(c), [F.col(f"_edges_{c}")[i] for i in (1, 2, 3)], labels[c])
         for c, name in columns.items()
     }
-    return out.withColumns(bins).drop(*[f"_edges_{c}" for c in columns])
+    return out.withColumns(bins).drop("_by", *[f"_edges_{c}" for c in columns])
+
+
+def _shown(edge: float, precision: int) -> float:
+    """Rounded to so many decimals, and below one to so many digits that count."""
+    return float(round(edge, precision)) if abs(edge) >= 1 or edge == 0 else float(f"{edge:.{precision}g}")
 
 
 def bin_intervals(df: DataFrame, column: str, labels: Sequence[str], precision: int = 3) -> DataFrame:
-    """(ordinal, label, lo, hi, lo_inclusive): the displayed ranges; the first starts just below the minimum."""
-    edges = exact_quantiles(df, [column], QUARTILES).select(
-        F.transform("edges", lambda e: F.round(e, precision)).alias("edges")
-    )
+    """(ordinal, label, lo, hi, lo_inclusive): the displayed ranges; the first starts just below the minimum.
+
+    Repeated edges are an error. Edges that only rounding makes equal are shown with more digits.
+    """
+    found = exact_quantiles(df, [column], QUARTILES).first()  # one row of five numbers
+    if found is None:
+        raise ValueError(f"{column}: no values to bin")
+    edges = checked_edges(found["edges"], column)
+    while len({_shown(e, precision) for e in edges}) < len(edges) and precision < 20:
+        precision += 1
+    edges = df.sparkSession.range(1).select(F.array(*[F.lit(_shown(e, precision)) for e in edges]).alias("edges"))
     rows = edges.select(
         F.posexplode(F.slice("edges", 1, F.size("edges") - 1)).alias("ordinal", "lo"), F.col("edges").alias("all")
     )
@@ -124,7 +145,7 @@ def bin_intervals(df: DataFrame, column: str, labels: Sequence[str], precision:
     return rows.select(
         "ordinal",
         F.array(*[F.lit(x) for x in labels])[F.col("ordinal")].alias("label"),
-        F.round(F.when(first, F.col("lo") - 10.0**-precision).otherwise(F.col("lo")), precision).alias("lo"),
+        F.when(first, F.round(F.col("lo") - 10.0**-precision, precision + 15)).otherwise(F.col("lo")).alias("lo"),
         F.col("all")[F.col("ordinal") + 1].alias("hi"),
         F.lit(False).alias("lo_inclusive"),
     )

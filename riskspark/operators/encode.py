@@ -7,26 +7,25 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-MAX_CATEGORIES = 1_000_000
 
-
-def categories(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> list[list[str]]:
+def categories(df: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> list[list[str]]:
     """Sorted distinct non-null values per column in the order of their own type (2 before 10).
 
-    The fitted encoder holds its categories in memory by nature, so their number is checked before they are fetched.
+    The fitted encoder holds its categories in memory by nature; ``max_categories`` refuses columns with more of them.
     """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = {c: sizes[c] for c in columns if sizes[c] > max_categories}
-    if wide:
-        raise ValueError(f"too many categories to encode one-hot: {wide}")
-    row = df.agg(*[F.sort_array(F.collect_set(c)).cast("array<string>").alias(c) for c in columns]).first()
-    return [row[c] for c in columns]
+    if max_categories is not None:
+        sizes = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
+        wide = {c: sizes[c] for c in columns if sizes[c] > max_categories}
+        if wide:
+            raise ValueError(f"too many categories to encode one-hot: {wide}")
+    return [[r[0] for r in df.select(F.col(c)).where(F.col(c).isNotNull()).distinct().orderBy(c).select(
+        F.col(c).cast("string")).toLocalIterator()] for c in columns]
 
 
 def fit_encoder(
-    df: DataFrame, columns: Sequence[str], features_col: str = "features", max_categories: int = MAX_CATEGORIES
+    df: DataFrame, columns: Sequence[str], features_col: str = "features", max_categories: int | None = None
 ) -> PipelineModel:
     """Blocks in ``columns`` order; an unseen or null category is an all-zero block."""
     index = [f"_{c}_index" for c in columns]
@@ -58,26 +57,35 @@ def drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_") and c.endswith(("_index", "_hot"))])
 
 
-def feature_cells(df: DataFrame, key: str, encoder: PipelineModel, features_col: str = "features") -> DataFrame:
-    """(key, position, feature, category, value) of the non-zero cells of the encoded rows."""
-    names = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.lit(v).alias("category")) for c, v in feature_names(encoder)]
-    )
-    cells = F.posexplode(vector_to_array(features_col)).alias("position", "value")
-    named = df.select(key, cells).where("value <> 0").withColumn("_name", F.get(names, F.col("position")))
-    return named.select(key, "position", "_name.feature", "_name.category", "value")
+def category_table(spark: SparkSession, encoder: PipelineModel) -> DataFrame:
+    """(position, feature, category) of every position of the feature vector, as a table."""
+    rows = [(i, c, v) for i, (c, v) in enumerate(feature_names(encoder))]
+    return spark.createDataFrame(rows, "position int, feature string, category string")
+
+
+def feature_cells(
+    df: DataFrame, key: str, encoder: PipelineModel, features_col: str = "features", keep: Sequence[str] = ()
+) -> DataFrame:
+    """(key, position, feature, category, value, keep...) of the non-zero cells of the encoded rows."""
+    # Zeros go before anything is made of them, so a row gives as many rows as it has non-zero cells.
+    cells = F.filter(
+        F.transform(vector_to_array(features_col), lambda v, i: F.struct(i.alias("position"), v.alias("value"))),
+        lambda cell: cell["value"] != 0)
+    found = df.select(key, *keep, F.inline(cells))
+    return found.join(category_table(df.sparkSession, encoder), "position").select(
+        key, "position", "feature", "category", "value", *keep)
 
 
 def unseen_counts(df: DataFrame, encoder: PipelineModel) -> DataFrame:
     """(feature, n_unseen): non-null values that the encoder does not know, which score as zeros."""
-    pairs = known_categories(encoder)
-    row = df.agg(
-        *[
-            F.count_if(F.col(c).isNotNull() & ~F.coalesce(F.col(c).cast("string").isin(v), F.lit(False))).alias(c)
-            for c, v in pairs
-        ]
-    )
-    return row.unpivot([], [c for c, _ in pairs], "feature", "n_unseen")
+    columns = [c for c, _ in known_categories(encoder)]
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    counts = texts.unpivot([], columns, "feature", "category").where("category is not null").groupBy("feature", "category").agg(
+        F.count(F.lit(1)).alias("n"))
+    unseen = counts.join(category_table(df.sparkSession, encoder).drop("position"), ["feature", "category"], "left_anti")
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    return every.join(unseen.groupBy("feature").agg(F.sum("n").alias("n")), "feature", "left").select(
+        "feature", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_unseen"))
 
 
 def collapse(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,21 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 
-BROADCAST_ROWS = 200_000
-
-
-def join_small(
-    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``big`` with a table that is small in the usual case.
 
-    The small side is written once and counted. Up to ``broadcast_rows`` it is broadcast, so the big side is not
-    shuffled at all; beyond that the join is left to the planner, whose adaptive skew handling splits hot keys.
+    The small side is written once, so that the planner knows its size in bytes: within Spark's own limit it is
+    broadcast and the big side is not shuffled at all; beyond that, adaptive skew handling splits hot keys.
     """
-    small = materialize(small, "small-side")
-    if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        small = F.broadcast(small)
-    return big.join(small, list(on), how)
+    return big.join(materialize(small, "small-side"), list(on), how)
 
 
 def attach(df: DataFrame, values: DataFrame, key: str, how: str = "inner") -> DataFrame:

@@ -6,7 +6,7 @@ Curves are computed on distinct scores, ordered by ranges (see ``ordering``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .ordering import LOCAL_ROWS, ordered
 
@@ -15,9 +15,23 @@ def _weight(weight: str | None) -> Column:
     return F.col(weight).cast("long") if weight else F.lit(1).cast("long")
 
 
+def _given(df: DataFrame, column: str) -> Column:
+    """The column, where a null or NaN fails the job instead of dropping out of the figures unseen."""
+    value, kind = F.col(column), df.schema[column].dataType
+    bad = value.isNull() | F.isnan(value) if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else value.isNull()
+    return F.when(bad, F.raise_error(F.lit(f"{column} has rows without a value")).cast(kind)).otherwise(value)
+
+
+def _binary(df: DataFrame, column: str) -> Column:
+    """The column, where anything but 0 and 1 fails the job."""
+    value = _given(df, column)
+    wrong = F.concat(F.lit(f"{column} must be 0 or 1, got "), F.col(column).cast("string"))
+    return F.when(value.isin(0, 1), value).otherwise(F.raise_error(wrong).cast(df.schema[column].dataType))
+
+
 def confusion(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred", weight: str | None = None) -> DataFrame:
-    """(y_true, y_pred, n) for every pair of observed labels, zeros included."""
-    counts = df.groupBy(F.col(y_true).alias("y_true"), F.col(y_pred).alias("y_pred")).agg(
+    """(y_true, y_pred, n) for every pair of observed labels, zeros included; a null label is an error."""
+    counts = df.groupBy(_given(df, y_true).alias("y_true"), _given(df, y_pred).alias("y_pred")).agg(
         F.sum(_weight(weight)).alias("n")
     )
     # From here on there is at most one row per pair of labels, so they fit in one row.
@@ -86,10 +100,9 @@ def classification_report(
 
 
 def _by_score(df: DataFrame, y_true: str, score: str, weight: str | None) -> DataFrame:
-    w = _weight(weight)
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.sum(F.when(F.col(y_true) == 1, w).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col(y_true) == 1, 0).otherwise(w)).alias("neg"),
+    w, positive = _weight(weight), _binary(df, y_true) == 1
+    return df.groupBy(_given(df, score).cast("double").alias("score")).agg(
+        F.sum(F.when(positive, w).otherwise(0)).alias("pos"), F.sum(F.when(positive, 0).otherwise(w)).alias("neg"),
     )
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -92,7 +91,3 @@ def ordered(
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     ranged = table.repartitionByRange(parts, *sort).withColumn("_part", F.spark_partition_id())
     return OrderedTable(materialize(ranged, "ranged"), tuple(order), descending, parts)
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

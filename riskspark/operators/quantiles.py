@@ -23,7 +23,7 @@ _TINY = 5e-324
 
 
 def numeric_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., feature, value) with one row per non-null, non-NaN cell."""
+    """(by..., feature, value) with one row per cell that is neither null nor NaN."""
     wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     return wide.unpivot(list(by), list(columns), "feature", "value").where(
         F.col("value").isNotNull() & ~F.isnan("value")
@@ -43,8 +43,13 @@ def exact_quantiles(
     The input is read more than once; pass a written table when computing it is expensive. ``method="approx"``
     trades exactness for a single pass with a bounded sketch.
     """
-    long = numeric_long(df, columns, by)
-    keys = [*by, "feature"]
+    # The group as one struct: a struct with nulls equals another one, so a null group is a group in joins too.
+    long = numeric_long(df.withColumn("_by", F.struct(*by)) if by else df, columns, ["_by"] if by else [])
+    found = _quantiles(long, ["_by", "feature"] if by else ["feature"], probs, method, local_rows)
+    return found.select(*[F.col(f"_by.{c}").alias(c) for c in by], "feature", "n", "edges")
+
+
+def _quantiles(long: DataFrame, keys: list[str], probs: Sequence[float], method: str, local_rows: int) -> DataFrame:
     n = F.count(F.lit(1)).alias("n")
     if method == "approx":
         sketch = F.percentile_approx("value", [float(p) for p in probs], 10_000)

@@ -12,9 +12,9 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .joins import BROADCAST_ROWS
 
-PREFIX_DIGITS = 4
+#: Rows that one task orders to find a class's cut; the depth of the hash prefix follows from it and the counted rows.
+SORTED_ROWS = 100_000
 
 
 def class_quotas(counts: DataFrame, label: str, test_size: float) -> DataFrame:
@@ -43,43 +43,51 @@ def class_quotas(counts: DataFrame, label: str, test_size: float) -> DataFrame:
     )
 
 
+def _prefix_digits(rows: int) -> int:
+    """Hexadecimal digits after which a prefix holds about ``SORTED_ROWS`` rows."""
+    digits = 2
+    while rows > SORTED_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
 def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """``df`` with ``is_test``; disjoint, exhaustive, and independent of row order and partitioning.
 
     Reads (key, label) twice before the result is scanned; pass a written table when computing ``df`` is expensive.
     """
     hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
-    prefixed = hashed.select(key, label, "_hash", F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix"))
+    digits = _prefix_digits(df.count())
+    prefixed = hashed.select(key, label, "_hash", F.substring("_hash", 1, digits).alias("_prefix"))
     cells = materialize(prefixed.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("n")), "split-cells")
     counts = cells.groupBy(label).agg(F.sum("n").alias("n"))
-    classes, nulls, singles = counts.agg(
-        F.count(F.lit(1)), F.count_if(F.col(label).isNull()), F.count_if(F.col("n") < 2)
-    ).first()
+    nulls, singles = counts.agg(F.count_if(F.col(label).isNull()), F.count_if(F.col("n") < 2)).first()
     if nulls:
         raise ValueError(f"{label} has nulls; set those rows aside before splitting")
     if singles:
         raise ValueError(f"every class of {label} needs at least two rows")
-    # The tables below have at most one row per class, and the classes have just been counted.
-    small = F.broadcast if classes <= BROADCAST_ROWS else lambda d: d
-
     quotas = class_quotas(counts, label, test_size).select(label, "n_test")
     earlier = Window.partitionBy(label).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     edge = (
-        cells.join(small(quotas), label)
+        cells.join(quotas, label)
         .withColumn("_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .where((F.col("_before") < F.col("n_test")) & (F.col("_before") + F.col("n") >= F.col("n_test")))
         .select(label, "_prefix", (F.col("n_test") - F.col("_before")).alias("_take"))
     )
     # Only the rows of one prefix per class are ordered here.
     order = Window.partitionBy(label).orderBy("_hash", key)
+    # Were the next row's key the same, both would fall on one side of the cut and the quota would be missed.
+    again = F.lead(key).over(order).eqNullSafe(F.col(key))
+    repeated = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string"))).cast("int")
     cut = (
-        prefixed.join(small(edge), [label, "_prefix"])
+        prefixed.join(edge, [label, "_prefix"])
         .withColumn("_rank", F.row_number().over(order))
+        .withColumn("_rank", F.when((F.col("_rank") == F.col("_take")) & again, repeated).otherwise(F.col("_rank")))
         .where(F.col("_rank") == F.col("_take"))
         .select(label, F.struct("_hash", key).alias("_cut"))
     )
     # Written, so that every later scan of the result is one scan.
     cut = materialize(cut, "split-cut")
-    assigned = hashed.join(small(cut), label, "left")
+    assigned = hashed.join(cut, label, "left")
     is_test = F.coalesce(F.struct("_hash", key) <= F.col("_cut"), F.lit(False))
     return assigned.withColumn("is_test", is_test).select(*df.columns, "is_test")

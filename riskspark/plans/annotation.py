@@ -13,15 +13,18 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.labels import normalise_label
 from ..operators.joins import update_rows
+from ..operators.ordering import LOCAL_ROWS, ordered
 from ..schema import BAD, ERROR, LABELS
 from ..session import materialize
 from ..sources.files import read_or_empty
 
 Client = Callable[[list[str]], list[str]]
+#: Rows between two saves, and so the most answers an interruption can lose.
+CHUNK_ROWS = 10_000
 LOG = T.StructType(
     [
         T.StructField("chunk", T.IntegerType()),
@@ -36,8 +39,9 @@ LOG = T.StructType(
 class Calls:
     """How the client is called.
 
-    ``in_flight`` partitions call at the same time; ``rate`` is the total number of calls per second over all of
-    them; ``wait`` bounds the random pause before another attempt.
+    ``in_flight`` partitions call at the same time, as many as the prompts have if it is not given; ``rate`` is the
+    total number of calls per second over all of them and needs ``in_flight``; ``wait`` bounds the random pause before
+    another attempt.
     """
 
     attempts: int = 3
@@ -46,6 +50,23 @@ class Calls:
     rate: float | None = None
     batch: int = 1
 
+    def __post_init__(self):
+        if self.rate and not self.in_flight:
+            raise ValueError("a total rate can only be kept with in_flight given")
+
+
+class Pace:
+    """Calls at least ``gap`` seconds apart, whatever a call itself takes."""
+
+    def __init__(self, gap: float):
+        self.gap, self.next = gap, 0.0
+
+    def wait(self) -> None:
+        now = time.monotonic()
+        if now < self.next:
+            time.sleep(self.next - now)
+        self.next = max(now, self.next) + self.gap
+
 
 ONE_TRY = Calls(attempts=1)
 
@@ -69,15 +90,15 @@ def annotate(
     rows = prompts.select(key, prompt)
     if calls.in_flight:
         rows = rows.repartition(calls.in_flight)
-    gap = (calls.in_flight or 1) / calls.rate if calls.rate else 0.0
+    gap = calls.in_flight / calls.rate if calls.rate else 0.0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = client_factory()
+        client, pace = client_factory(), Pace(gap)
         for frame in batches:
             keys, texts = frame[key].tolist(), frame[prompt].tolist()
             answers = []
             for start in range(0, len(texts), calls.batch):
-                answers.extend(_answer(client, texts[start : start + calls.batch], calls, gap))
+                answers.extend(_answer(client, texts[start : start + calls.batch], calls, pace))
             yield pd.DataFrame(
                 {
                     key: pd.Series(keys, dtype=frame[key].dtype),
@@ -91,32 +112,34 @@ def annotate(
     return rows.mapInPandas(run, result_schema(prompts.schema[key]))
 
 
-def _answer(client: Client, texts: list[str], calls: Calls, gap: float) -> list[tuple[str | None, str | None, int]]:
+def _answer(client: Client, texts: list[str], calls: Calls, pace: Pace) -> list[tuple[str | None, str | None, int]]:
     """(text, error, attempts) per prompt; a failing batch is retried prompt by prompt."""
     if len(texts) > 1:
         try:
-            _pause(gap)
+            pace.wait()
             answers = client(texts)
             if len(answers) == len(texts):
                 return [(a, None, 1) for a in answers]
         except Exception:  # noqa: BLE001 - any client failure is handled below, one prompt at a time
             pass
-        return [r for t in texts for r in _answer(client, [t], calls, gap)]
+        return [r for t in texts for r in _answer(client, [t], calls, pace)]
     message = ""
     for attempt in range(1, calls.attempts + 1):
         try:
-            _pause(gap)
+            pace.wait()
             return [(client(texts)[0], None, attempt)]
         except Exception as failure:  # noqa: BLE001 - the message is recorded with the row
             message = str(failure)
             if attempt < calls.attempts:
-                _pause(random.uniform(*calls.wait))
+                time.sleep(random.uniform(*calls.wait))
     return [(None, message, calls.attempts)]
 
 
-def _pause(seconds: float) -> None:
-    if seconds > 0:
-        time.sleep(seconds)
+def observed(answers: DataFrame, name: str = "calls") -> tuple[DataFrame, Observation]:
+    """The answers, and what an action on them counts on its way: rows, failed."""
+    counts = Observation(name)
+    seen = answers.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("status") == "error").alias("failed"))
+    return seen, counts
 
 
 class AnnotationTable:
@@ -164,21 +187,25 @@ def run_annotation(
     client_factory: Callable[[], Client],
     path: str,
     calls: Calls = Calls(),
-    chunks: int = 16,
-    max_chunks: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> AnnotationTable:
-    """Annotate the rows that have no answer yet, saving after every chunk.
+    """Annotate the rows that have no answer yet, saving after every chunk of about ``chunk_rows`` rows.
 
-    Chunks are hash ranges of the key. The open prompts are written once, partitioned by chunk, so each chunk reads
-    only its own files. ``max_chunks`` stops early, as an interruption would; calling again goes on from there.
+    Chunks are hash ranges of the key. The open prompts are written once, clustered and partitioned by chunk, so each
+    chunk reads only its own few files. Calling again after an interruption goes on with the rows still open.
     """
-    out = AnnotationTable(prompts.sparkSession, path, prompts.schema[key])
+    spark = prompts.sparkSession
+    out = AnnotationTable(spark, path, prompts.schema[key])
     waiting = prompts.select(key, prompt).join(out.rows().select(key), key, "left_anti")
+    chunks = max(1, -(-waiting.select(key).count() // chunk_rows))
     chunk = F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int")
-    waiting = materialize(waiting.withColumn("chunk", chunk), "prompts", partition_by="chunk")
-    # At most ``chunks`` numbers.
-    todo = sorted(r.chunk for r in waiting.select("chunk").distinct().collect())
-    for number in todo[:max_chunks]:
+    # A chunk is spread over as many files as there are tasks to call from, not over every task that found a row.
+    lanes = calls.in_flight or max(1, spark.sparkContext.defaultParallelism)
+    lane = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(lanes))
+    waiting = waiting.withColumn("chunk", chunk).repartition("chunk", lane)
+    waiting = materialize(waiting, "prompts", partition_by="chunk")
+    todo = sorted(r.chunk for r in waiting.select("chunk").distinct().collect())  # numbers only
+    for number in todo:
         rows = waiting.where(F.col("chunk") == number)
         out.append_logged(annotate(rows, key, prompt, client_factory, calls), number)
     return out
@@ -240,16 +267,14 @@ def repair_descriptions(
     return update_rows(described, fixes, key, [column])
 
 
-def progress(log: DataFrame, total_rows: int | Column) -> DataFrame:
+def progress(log: DataFrame, total_rows: int | Column, local_rows: int = LOCAL_ROWS) -> DataFrame:
     """Running state after each chunk of a run log (chunk, rows, seconds): one row per chunk.
 
     (chunk, rows_done, rows_left, elapsed, avg_seconds, eta_minutes)
     """
     total = F.lit(total_rows) if isinstance(total_rows, int) else total_rows
-    upto = Window.partitionBy(F.lit(0)).orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = log.select(
-        "chunk", F.sum("rows").over(upto).alias("rows_done"), F.sum("seconds").over(upto).cast("double").alias("elapsed")
-    )
+    state = ordered(log.select("chunk", "rows", "seconds"), ["chunk"], local_rows=local_rows).scan(
+        sums={"rows_done": "rows", "elapsed": "seconds"}).withColumn("elapsed", F.col("elapsed").cast("double"))
     average = F.try_divide(F.col("elapsed"), F.col("rows_done").cast("double"))
     left = total - F.col("rows_done")
     return state.select(

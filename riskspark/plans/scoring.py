@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ..operators.binning import bin_by_group
 from ..operators.joins import require_columns
+from ..session import materialize
 from ..sources import payload
 from .training import APPLICANT_LAYOUT, Layout, predictions
 
@@ -45,15 +46,17 @@ def score(
 
 
 def score_requests(
-    requests: DataFrame, model: PipelineModel, layout: Layout = APPLICANT_LAYOUT, accept: str = payload.JSON_TYPE
+    requests: DataFrame, model: PipelineModel, layout: Layout = APPLICANT_LAYOUT, accept: str = payload.JSON_TYPE,
+    edges: str = "frozen", duplicates: str = "raise",
 ) -> DataFrame:
-    """Answer CSV requests: (request_id, content_type, body); rejected requests get their error as body."""
+    """Answer CSV requests: (request_id, content_type, body); rejected requests get their error as body.
+
+    ``edges="refit"`` bins every request by its own edges.
+    """
     rows = payload.parse_csv_bodies(requests, "request_id")
-    scored = score(rows.where("error is null"), model, ["request_id", "pos"], layout)
+    if edges == "refit":
+        rows = materialize(rows, "request-rows")  # the edges read them more than once
+    scored = score(rows.where("error is null"), model, ["request_id", "pos"], layout, edges, "request_id", duplicates)
     answers = payload.responses(scored.withColumnRenamed("y_pred", "prediction"), "request_id", accept)
     rejected = rows.where("error is not null").selectExpr("request_id", "'text/plain' as content_type", "error as body")
     return answers.unionByName(rejected)
-
-
-def load_and_score(spark: SparkSession, model_path: str, table_path: str, keys: Sequence[str]) -> DataFrame:
-    return score(spark.read.parquet(table_path), load_model(model_path), keys)

@@ -1,4 +1,7 @@
-"""An offline model client whose behaviour depends on the length of the prompt only, for checks and dry runs."""
+"""A stand-in for a model client, for the registered queries and the tests only; no part of the library's API.
+
+Its behaviour depends on the length of the prompt only, so that SQL can tell what it answers.
+"""
 
 from __future__ import annotations
 

@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.labels import training_gate
 from ..functions.text import class_at
@@ -49,12 +49,13 @@ def prepare(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) with numeric ``label``; nulls filled and error rows set aside.
 
-    Only the needed columns are written, once; both sides are scans of that table with a row-local test.
+    Only the needed columns are written. The split is written once as well, by side, so that a later pass over a side
+    is a plain scan of its files.
     """
     source = [c for c in layout.features if c not in layout.bins.values()]
     clean, _ = training_gate(df.select(key, *source, *layout.bins, target), target)
     clean = materialize(clean.fillna(dict(layout.fill)).drop(target), "clean")
-    rows = stratified_split(clean, key, "label", test_size, seed)
+    rows = materialize(stratified_split(clean, key, "label", test_size, seed), "split", partition_by="is_test")
     return rows.where("not is_test").drop("is_test"), rows.where("is_test").drop("is_test")
 
 
@@ -135,25 +136,82 @@ def evaluate(merged_test: DataFrame, classifier) -> DataFrame:
     return report.unionByName(auc)
 
 
+def round_aucs(merged: DataFrame, model: GBTClassificationModel) -> DataFrame:
+    """(round, auc): the AUC on merged rows after each boosting round."""
+    margins = []
+    rows = merged.select("label", "n", "features")
+    for i, tree in enumerate(model.trees):
+        rows = tree.setPredictionCol(f"_tree_{i}").transform(rows)
+        step = F.col(f"_tree_{i}") * float(model.treeWeights[i])
+        margins.append(margins[-1] + step if margins else step)
+    cells = F.array(*[F.struct(F.lit(i).alias("round"), m.alias("score")) for i, m in enumerate(margins, 1)])
+    by_score = rows.select("label", "n", F.inline(cells)).groupBy("round", "score").agg(
+        F.sum(F.col("n") * F.col("label")).alias("pos"), F.sum(F.col("n") * (1 - F.col("label"))).alias("neg"))
+    # One window per round over its distinct scores, of which a round has at most 2 ** (depth * round).
+    upto = Window.partitionBy("round").orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pairs = by_score.withColumn("twice", F.col("pos").cast("double") * (2 * F.sum("neg").over(upto) - F.col("neg")))
+    total = pairs.groupBy("round").agg(*[F.sum(c).cast("double").alias(c) for c in ("twice", "pos", "neg")])
+    return total.select("round", F.try_divide("twice", F.lit(2.0) * F.col("pos") * F.col("neg")).alias("auc"))
+
+
+def gradient(merged: DataFrame, classifier, names: DataFrame, c: float = 1.0) -> DataFrame:
+    """(feature, category, gradient) of the penalised balanced loss at the fitted coefficients: zero at the optimum.
+
+    ``names`` has (position, feature, category).
+    """
+    rows, _ = balanced(merged)
+    residual = (F.get(vector_to_array("probability"), F.lit(1)) - F.col("label")) * F.col("weight")
+    cells = F.transform(vector_to_array("features"), lambda v, i: F.struct(i.alias("position"), v.alias("value")))
+    scored = classifier.transform(rows).select(residual.alias("residual"), F.inline(F.filter(cells, lambda x: x["value"] != 0)))
+    sums = scored.groupBy("position").agg(F.sum(F.col("residual") * F.col("value")).alias("loss"))
+    coefficients = F.lit([float(x) for x in classifier.coefficients])
+    penalty = F.get(coefficients, F.col("position")) / c
+    return names.join(sums, "position", "left").select(
+        "feature", "category", (F.coalesce("loss", F.lit(0.0)) + penalty).alias("gradient"))
+
+
 @dataclass(frozen=True)
-class TrainingRun:
+class Fitted:
+    """A model with the rows it was fitted on and those held out; ``model`` scores raw rows."""
+
     model: PipelineModel
-    report: DataFrame
+    merged: DataFrame
     train: DataFrame
     test: DataFrame
 
+    @property
+    def features(self) -> PipelineModel:
+        return PipelineModel(self.model.stages[:-1])
+
+    @property
+    def classifier(self):
+        return self.model.stages[-1]
+
+
+@dataclass(frozen=True)
+class TrainingRun(Fitted):
+    report: DataFrame
+
+
+def fit(
+    df: DataFrame, key: str, layout: Layout = APPLICANT_LAYOUT, algorithm: str = "logistic", seed: int = 42,
+    test_size: float = 0.2, **options: object,
+) -> Fitted:
+    """Prepare and fit, without evaluating."""
+    train, test = prepare(df, key, layout, test_size=test_size, seed=seed)
+    features, merged = fit_features(train, layout)
+    classifier = {"logistic": fit_logistic, "trees": fit_trees}[algorithm](merged, **options)
+    return Fitted(PipelineModel([*features.stages, classifier]), merged, train, test)
+
 
 def train_and_evaluate(
     df: DataFrame, key: str, layout: Layout = APPLICANT_LAYOUT, algorithm: str = "logistic", seed: int = 42,
     test_size: float = 0.2, **options: object,
 ) -> TrainingRun:
     """The whole flow; ``model`` scores raw rows and can be saved and loaded as one pipeline."""
-    train, test = prepare(df, key, layout, test_size=test_size, seed=seed)
-    features, merged = fit_features(train, layout)
-    fit = {"logistic": fit_logistic, "trees": fit_trees}[algorithm]
-    classifier = fit(merged, **options)
-    report = evaluate(merged_rows(test, features, layout), classifier)
-    return TrainingRun(PipelineModel([*features.stages, classifier]), report, train, test)
+    done = fit(df, key, layout, algorithm, seed, test_size, **options)
+    report = evaluate(merged_rows(done.test, done.features, layout), done.classifier)
+    return TrainingRun(done.model, done.merged, done.train, done.test, report)
 
 
 def held_out_predictions(run: TrainingRun, key: str) -> DataFrame:

@@ -12,6 +12,8 @@ from ..schema import APPLICANT_COLUMNS, LABELLED, NA_TOKENS
 
 # Quoting of the CSV dialect (a quote inside a quoted field is doubled).
 CSV_DIALECT = {"quote": '"', "escape": '"'}
+#: The writer would cut white space off the ends of texts.
+KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def null_tokens(text: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
@@ -19,6 +21,12 @@ def null_tokens(text: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
     return F.when(F.trim(text).isin(*tokens), None).otherwise(text)
 
 
+def whole_number(text: Column, kind: T.DataType) -> Column:
+    """An exact whole number; a text with decimals is one if these are zero, else null."""
+    decimal = text.try_cast("decimal(38,10)")
+    return F.coalesce(text.try_cast(kind), F.when(decimal == F.floor(decimal), F.floor(decimal)).try_cast(kind))
+
+
 def typed(texts: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Cast text columns to ``schema``; a text that is no value of its type becomes null."""
     cells = []
@@ -26,11 +34,25 @@ def typed(texts: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> D
         value = null_tokens(F.col(field.name))
         if not isinstance(field.dataType, T.StringType):
             whole = isinstance(field.dataType, T.IntegralType)
-            value = value.try_cast("double").try_cast(field.dataType) if whole else value.try_cast(field.dataType)
+            value = whole_number(value, field.dataType) if whole else value.try_cast(field.dataType)
         cells.append(value.alias(field.name))
     return texts.select(*keep, *cells)
 
 
+def _files_by_header(spark: SparkSession, path: str | Sequence[str]) -> list[list[str]]:
+    """The files at ``path``, those with equal first lines together: Spark takes one header for all files it reads."""
+    lines = spark.read.text(path)
+    files = lines.inputFiles()
+    if len(files) < 2:
+        return [[path] if isinstance(path, str) else list(path)]
+    numbered = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("nth"))
+    # One line per file; the first line is in the file's first block and before its other lines.
+    first = numbered.where("start = 0").groupBy("file").agg(F.min_by("value", "nth").alias("header"))
+    return [r.files for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()]
+
+
 def read_table_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -42,8 +64,11 @@ def read_table_csv(
 
     ``multiline`` allows line breaks inside quoted fields, at the price of unsplittable files.
     """
-    raw = spark.read.options(header=True, multiLine=multiline, **CSV_DIALECT).csv(path)
-    raw = raw.withColumnsRenamed({k: v for k, v in names.items() if k in raw.columns})
+    raw = None
+    for files in _files_by_header(spark, path):
+        part = spark.read.options(header=True, multiLine=multiline, **CSV_DIALECT).csv(files)
+        part = part.withColumnsRenamed({k: v for k, v in names.items() if k in part.columns})
+        raw = part if raw is None else raw.unionByName(part, allowMissingColumns=True)
     present = T.StructType([f for f in schema if f.name in raw.columns])
     return typed(raw, present)
 
@@ -53,7 +78,7 @@ def write_table_csv(
 ) -> None:
     """CSV with a header and the external column names; nulls are empty fields."""
     back = {v: k for k, v in names.items() if v in df.columns}
-    df.withColumnsRenamed(back).write.mode(mode).options(header=True, emptyValue="", **CSV_DIALECT).csv(path)
+    df.withColumnsRenamed(back).write.mode(mode).options(header=True, emptyValue="", **KEEP_BLANKS, **CSV_DIALECT).csv(path)
 
 
 def read_matrix_csv(spark: SparkSession, path: str, width: int, key: str | None = None) -> DataFrame:
@@ -91,7 +116,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def write_predictions(df: DataFrame, path: str, key: str, fmt: str = "parquet", mode: str = "error") -> None:
     """(key, y_true, y_pred, y_prob)."""
     writer = df.select(key, "y_true", "y_pred", "y_prob").write.mode(mode).format(fmt)
-    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    (writer.options(header=True, **KEEP_BLANKS) if fmt == "csv" else writer).save(path)
 
 
 def publish(df: DataFrame, uri: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

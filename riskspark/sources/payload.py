@@ -11,12 +11,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import APPLICANT, APPLICANT_COLUMNS
-from .files import CSV_DIALECT, typed
+from .files import typed
 
 CSV_TYPE = "text/csv"
 JSON_TYPE = "application/json"
-# Columns a request may carry beyond the needed ones.
-SPARE_COLUMNS = 16
+# Stands for a field's end while a line is taken apart; no character of any text.
+FIELD_END = "\uffff"
 
 
 def csv_line(columns: Sequence[Column]) -> Column:
@@ -29,6 +29,22 @@ def csv_line(columns: Sequence[Column]) -> Column:
     return F.concat_ws(",", *[field(c) for c in columns])
 
 
+def csv_fields(line: Column) -> Column:
+    """The fields of one CSV line, however many there are; a quote inside a quoted field is doubled.
+
+    Cut at the quotes, every second piece stands inside quotes. Between them, an empty piece is a doubled quote and
+    a comma ends a field. A quote that is not closed goes on to the end of the line.
+    """
+    pieces = F.split(line, '"')
+
+    def plain(piece: Column, i: Column) -> Column:
+        doubled = (piece == "") & (i > 0) & (i < F.size(pieces) - 1)
+        outside = F.when(doubled, F.lit('"')).otherwise(F.replace(piece, F.lit(","), F.lit(FIELD_END)))
+        return F.when(i % 2 == 1, piece).otherwise(outside)
+
+    return F.when(line.contains('"'), F.split(F.array_join(F.transform(pieces, plain), ""), FIELD_END)).otherwise(F.split(line, ","))
+
+
 def csv_bodies(
     df: DataFrame, request_id: str, order: str, names: Mapping[str, str] = APPLICANT_COLUMNS
 ) -> DataFrame:
@@ -58,33 +74,27 @@ def parse_csv_bodies(
     the whole batch. Line breaks inside quoted fields are not supported.
     """
     lines = F.filter(F.split("body", "\r\n|\n|\r"), lambda line: line != "")
-    # ``from_csv`` wants a fixed schema: lines with quotes are read with as many text fields as columns can appear.
-    width = len(names) + SPARE_COLUMNS
-    fields = ", ".join(f"c{i} string" for i in range(width))
-
-    def cells(line: Column) -> Column:
-        # The lambda binds the parsed row, so a line is parsed once for all its fields.
-        rows = F.array(F.from_csv(line, fields, CSV_DIALECT))
-        quoted = F.get(F.transform(rows, lambda r: F.array(*[r[f"c{i}"] for i in range(width)])), F.lit(0))
-        return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
 
     bodies = requests.select(request_id, "content_type", lines.alias("_lines"))
-    bodies = bodies.withColumn("_header", F.transform(cells(F.get("_lines", F.lit(0))), F.trim))
+    header = F.transform(csv_fields(F.get("_lines", F.lit(0))), lambda title: F.trim(title))
+    bodies = bodies.withColumn("_header", header)
+    # Looked up once per body, not once per line.
+    places = F.struct(*[F.array_position("_header", title).cast("int").alias(name) for title, name in names.items()])
+    absent = F.array_except(F.array(*[F.lit(n) for n in names]), F.col("_header"))
     rows = bodies.select(
-        request_id, "content_type", "_header",
+        request_id, "content_type", places.alias("_places"), absent.alias("_absent"),
         F.posexplode_outer(F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0)))).alias("pos", "_line"),
     )
-    absent = F.array_except(F.array(*[F.lit(n) for n in names]), F.col("_header"))
     error = (
         F.when(F.col("content_type") != CSV_TYPE, F.concat(F.lit("unsupported content type: "), "content_type"))
         .when(F.col("_line").isNull(), F.lit("empty body"))
-        .when(F.size(absent) > 0, F.concat(F.lit("missing columns: "), F.array_join(absent, ", ")))
+        .when(F.size("_absent") > 0, F.concat(F.lit("missing columns: "), F.array_join("_absent", ", ")))
     )
-    rows = rows.withColumns({"error": error, "_cells": cells(F.col("_line"))})
-    at = lambda title: F.get("_cells", (F.array_position("_header", title) - 1).cast("int"))
+    rows = rows.withColumns({"error": error, "_cells": csv_fields(F.col("_line"))})
+    at = lambda name: F.get("_cells", F.col(f"_places.{name}") - 1)
     texts = rows.select(
         request_id, "pos", "error",
-        *[F.when(F.col("error").isNull(), at(title)).alias(name) for title, name in names.items()],
+        *[F.when(F.col("error").isNull(), at(name)).alias(name) for name in names.values()],
     )
     wanted = T.StructType([f for f in schema if f.name in names.values()])
     out = typed(texts, wanted, keep=[request_id, "pos", "error"])
@@ -111,6 +121,24 @@ def parse_json_responses(answers: DataFrame, request_id: str, value: str = "pred
     return answers.select(request_id, F.posexplode(F.from_json("body", "array<int>")).alias("pos", value))
 
 
-def attach_predictions(rows: DataFrame, answers: DataFrame, request_id: str) -> DataFrame:
-    """Join parsed responses to the rows of their requests by (request_id, pos)."""
-    return rows.join(parse_json_responses(answers, request_id), [request_id, "pos"])
+def attach_predictions(
+    rows: DataFrame, answers: DataFrame, request_id: str, missing: str = "raise", value: str = "prediction"
+) -> DataFrame:
+    """Join parsed responses to the rows of their requests by (request_id, pos); every row stays.
+
+    A row without an answer, or an answer without a row, fails the job; with ``missing="null"`` the former gets null
+    and the latter is left out.
+    """
+    if missing not in ("raise", "null"):
+        raise ValueError("missing must be 'raise' or 'null'")
+    found = parse_json_responses(answers, request_id, value)
+    if missing == "null":
+        return rows.join(found, [request_id, "pos"], "left")
+    both = rows.withColumn("_row", F.lit(True)).join(found.withColumn("_answer", F.lit(True)), [request_id, "pos"], "full")
+    where = F.concat(F.lit("request "), F.coalesce(F.col(request_id).cast("string"), F.lit("null")))
+    checked = (
+        F.when(F.col("_row").isNull(), F.raise_error(F.concat(where, F.lit(" has more answers than rows"))).cast("int"))
+        .when(F.col("_answer").isNull(), F.raise_error(F.concat(where, F.lit(" has fewer answers than rows"))).cast("int"))
+        .otherwise(F.col(value))
+    )
+    return both.withColumn(value, checked).drop("_row", "_answer")

@@ -13,15 +13,18 @@ from ..plans.training import APPLICANT_LAYOUT, Layout
 
 
 def read_arrivals(
-    spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet", pattern: str | None = None,
-    files_per_batch: int | None = None,
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_batch: int | None = None,
 ) -> DataFrame:
+    """Rows of the files that arrive at ``path``, which may hold glob patterns."""
     reader = spark.readStream.schema(schema).format(fmt)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder)
+    return reader.load(path)
+
+
+def either_layout(path: str) -> str:
+    """``path`` as a pattern that a stream reads whether it is one file or a folder of part files."""
+    return f"{path[:-1]}[{path[-1]}]"
 
 
 def score_stream(

@@ -68,30 +68,52 @@ def test_pacing_bounds_the_rate(spark):
     rows = spark.range(6).select("id", F.lit("x").alias("prompt"))
     start = time.time()
     annotation.annotate(rows, "id", "prompt", refusing(), Calls(attempts=1, in_flight=2, rate=4)).collect()
-    assert time.time() - start >= 3 * 2 / 4
+    assert time.time() - start >= 3 * 2 / 4 - 2 / 4  # the first call of each partition need not wait
+
+
+def test_a_total_rate_needs_a_number_of_callers():
+    with pytest.raises(ValueError, match="in_flight"):
+        Calls(rate=1)
+
+
+def test_pace_counts_the_time_a_call_takes(monkeypatch):
+    now, slept = [100.0], []
+    monkeypatch.setattr(annotation.time, "monotonic", lambda: now[0])
+
+    def sleep(seconds):
+        slept.append(seconds)
+        now[0] += seconds
+
+    monkeypatch.setattr(annotation.time, "sleep", sleep)
+    pace = annotation.Pace(2.0)
+    for call in (0.5, 3.0, 0.5):
+        pace.wait()
+        now[0] += call
+    assert slept == [1.5]
 
 
 def test_resume_equals_one_run(spark, prompts):
     path, whole = scratch_path(spark, "resume"), scratch_path(spark, "whole")
-    part = annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), path, ONCE, chunks=5, max_chunks=2)
+    part = annotation.run_annotation(prompts.where("id % 3 = 0"), "id", "prompt", refusing("p3"), path, ONCE, chunk_rows=8)
     done = part.rows().count()
     assert 0 < done < 40
-    resumed = annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), path, ONCE, chunks=5)
-    once = annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), whole, ONCE, chunks=5)
+    resumed = annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), path, ONCE, chunk_rows=8)
+    once = annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), whole, ONCE, chunk_rows=8)
     assert resumed.rows().count() == 40
     assert by_id(resumed.latest()) == by_id(once.latest())
     log = once.log()
-    assert tuple(log.agg(F.sum("rows"), F.sum("errors")).first()) == (40, 1) and log.count() <= 5
-    last = annotation.progress(log, 40).orderBy(F.desc("chunk")).first()
-    assert (last.rows_done, last.rows_left) == (40, 0)
+    assert tuple(log.agg(F.sum("rows"), F.sum("errors")).first()) == (40, 1) and 1 < log.count() <= 5
+    for local_rows in (1, 1000):
+        last = annotation.progress(log, 40, local_rows).orderBy(F.desc("chunk")).first()
+        assert (last.rows_done, last.rows_left) == (40, 0)
     # Nothing is left, so nothing is asked again.
-    annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), path, ONCE, chunks=5)
+    annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), path, ONCE, chunk_rows=8)
     assert resumed.rows().count() == 40
 
 
 def test_repair_pass_asks_only_failed_rows(spark, prompts):
     out = annotation.run_annotation(
-        prompts, "id", "prompt", refusing("p3", "p4"), scratch_path(spark, "repair"), ONCE, chunks=2
+        prompts, "id", "prompt", refusing("p3", "p4"), scratch_path(spark, "repair"), ONCE, chunk_rows=20
     )
     annotation.repair(out, prompts, "prompt", refusing("p4"), pass_no=1)
     latest = by_id(out.latest())
@@ -101,6 +123,12 @@ def test_repair_pass_asks_only_failed_rows(spark, prompts):
     assert out.rows().count() == 43 and out.latest().where("status = 'error'").isEmpty()
 
 
+def test_calls_are_counted_on_the_way(spark, prompts):
+    answers, counts = annotation.observed(annotation.annotate(prompts, "id", "prompt", refusing("p3", "p4"), ONCE))
+    answers.collect()
+    assert counts.get == {"rows": 40, "failed": 2}
+
+
 def test_label_repair_policy(spark):
     labelled = spark.createDataFrame(
         [(1, "good risk"), (2, "ERROR"), (3, "ERROR"), (4, "ERROR")], "id long, target string"

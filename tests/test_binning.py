@@ -6,9 +6,6 @@ from pyspark.ml import PipelineModel
 from riskspark.operators.binning import QuantileBinner, QuantileBinnerModel, bin_by_group, bin_intervals
 from riskspark.session import scratch_path
 
-# A hand-made sample of fifteen applicants.
-CREDIT = [12000, 9500, 10500, 11000, 9800, 1500, 2500, 2200, 1800, 1600, 6200, 5000, 7200, 8000, 7500]
-AGES = [21, 23, 25, 22, 20, 65, 59, 52, 60, 58, 35, 40, 33, 29, 31]
 LABELS = ["low", "mid-low", "mid-high", "high"]
 
 
@@ -20,14 +17,16 @@ def binner(columns, **options):
 
 @pytest.fixture(scope="module")
 def sample(spark):
-    frame = pd.DataFrame({"id": range(15), "credit": CREDIT, "age": AGES})
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame({"id": range(41), "credit": rng.permutation(41) * 37 + 800, "age": rng.permutation(41) + 20})
     return frame, spark.createDataFrame(frame)
 
 
 def test_edges_and_labels_match_pandas(sample):
     frame, df = sample
     model = binner(["credit", "age"]).fit(df)
-    assert model.getOrDefault("edges") == [[1500, 2350, 7200, 9650, 12000], [20, 24, 33, 55, 65]]
+    edges = [pd.qcut(frame[c], 4, retbins=True)[1].tolist() for c in ("credit", "age")]
+    assert model.getOrDefault("edges") == edges
     got = model.transform(df).toPandas().sort_values("id")
     for c in ("credit", "age"):
         assert list(got[f"{c}_bin"]) == list(pd.qcut(frame[c], 4, labels=LABELS).astype(str))
@@ -56,7 +55,8 @@ def test_frozen_edges_cover_new_rows_and_survive_saving(spark, sample):
     PipelineModel([model]).write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     assert isinstance(loaded.stages[0], QuantileBinnerModel)
-    new = spark.createDataFrame([(1, -5), (2, 10**9), (3, None), (4, 2350)], "id int, credit long")
+    first = int(model.getOrDefault("edges")[0][1])  # an edge belongs to the bin below it
+    new = spark.createDataFrame([(1, -5), (2, 10**9), (3, None), (4, first)], "id int, credit long")
     got = {r.id: r.credit_bin for r in loaded.transform(new).collect()}
     assert got == {1: "low", 2: "high", 3: None, 4: "low"}
 
@@ -66,7 +66,29 @@ def test_intervals_match_pandas(sample):
     want = sorted(pd.qcut(frame["credit"], 4).unique())
     rows = bin_intervals(df, "credit", LABELS).orderBy("lo").collect()
     assert [(r.lo, r.hi) for r in rows] == [(i.left, i.right) for i in want]
-    assert [r.label for r in rows] == LABELS and rows[0].lo == 1499.999
+    assert [r.label for r in rows] == LABELS and rows[0].lo == frame["credit"].min() - 0.001
+
+
+def test_intervals_of_tiny_values_get_more_digits_and_repeated_edges_raise(spark):
+    values = pd.Series([x * 1.013e-5 for x in range(1, 41)])
+    rows = bin_intervals(spark.createDataFrame(pd.DataFrame({"x": values})), "x", LABELS).orderBy("ordinal").collect()
+    want = sorted(pd.qcut(values, 4).unique())
+    assert [r.hi for r in rows] == [i.right for i in want] and [r.lo for r in rows[1:]] == [i.left for i in want[1:]]
+    with pytest.raises(ValueError, match="unique"):
+        bin_intervals(spark.createDataFrame([(1,)] * 10 + [(2,)], "x int"), "x", LABELS)
+    with pytest.raises(ValueError, match="no values"):
+        bin_intervals(spark.createDataFrame([(None,)], "x int"), "x", LABELS)
+
+
+@pytest.mark.parametrize("local_rows", [3, 1_000_000])
+def test_a_null_group_is_a_group(spark, local_rows):
+    rows = [(g, float(x)) for g in (None, 1) for x in range(8)] + [(2, None)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    got = bin_by_group(df, ["g"], {"x": "b"}, {"x": LABELS}, local_rows=local_rows).collect()
+    want = {float(x): LABELS[x // 2] for x in range(8)}
+    assert {(r.g, r.x): r.b for r in got} == {(g, x): b for g in (None, 1) for x, b in want.items()} | {(2, None): None}
+    with pytest.raises(ValueError, match="keep"):
+        bin_by_group(df, ["g"], {"x": "b"}, {"x": LABELS}, duplicates="drop")
 
 
 @pytest.mark.parametrize("local_rows", [50, 1_000_000])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import metrics
 
-# Known counts and the figures they must give.
+# The confusion counts of a published evaluation, and the figures it states for them.
 GOLDEN = [(0, 0, 35), (0, 1, 11), (1, 0, 49), (1, 1, 105)]
 FIGURES = {
     ("0", "precision"): 0.4166666666666667, ("0", "recall"): 0.7608695652173914,
@@ -91,3 +91,21 @@ def test_curve_ranges_agree_and_drop_only_collinear_points(scored):
 def test_auc_without_a_class_is_null(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.4)], "y_true int, y_prob double")
     assert metrics.roc_auc(df).first().auc is None
+
+
+@pytest.mark.parametrize("row", [(None, 1, 0.5), (1, None, 0.5)])
+def test_missing_labels_and_predictions_are_an_error(spark, row):
+    rows = spark.createDataFrame([(1, 1, 0.1), (0, 1, 0.2), row], "y_true int, y_pred int, y_prob double")
+    with pytest.raises(Exception, match="without a value"):
+        metrics.classification_report(rows).collect()
+
+
+@pytest.mark.parametrize("row,message", [
+    ((None, 0.5), "without a value"), ((1, None), "without a value"), ((1, float("nan")), "without a value"), ((2, 0.5), "0 or 1"),
+])
+def test_scores_need_labels_of_0_and_1_and_values(spark, row, message):
+    rows = spark.createDataFrame([(1, 0.1), (0, 0.2), row], "y_true int, y_prob double")
+    with pytest.raises(Exception, match=message):
+        metrics.roc_auc(rows).collect()
+    with pytest.raises(Exception, match=message):
+        metrics.roc_curve(rows).collect()

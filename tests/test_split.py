@@ -28,7 +28,7 @@ def test_counts_are_exact(spark, rows):
 def test_independent_of_partitioning_and_of_the_prefix(rows, monkeypatch):
     base = assign(rows)
     assert assign(rows.repartition(13)) == base
-    monkeypatch.setattr(split, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(split, "_prefix_digits", lambda rows: 1)
     assert assign(rows) == base
     assert assign(rows, seed=7) != base
 
@@ -50,6 +50,16 @@ def test_largest_remainder_ties_go_by_label(spark):
     assert got == {"F": (3947, 986), "O": (3983, 996), "P": (4070, 1018)}
 
 
+def test_repeated_keys_at_the_cut_are_refused(spark):
+    rows = spark.createDataFrame([(1, "a")] * 10, "id int, y string")
+    with pytest.raises(Exception, match="not unique"):
+        stratified_split(rows, "id", "y").collect()
+
+
+def test_prefixes_get_longer_with_the_rows():
+    assert [split._prefix_digits(n) for n in (10, 10**8, 10**12)] == [2, 3, 6]
+
+
 def test_bad_labels(spark):
     with pytest.raises(ValueError, match="nulls"):
         stratified_split(spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "id int, y string"), "id", "y")

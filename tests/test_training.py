@@ -9,7 +9,7 @@ from riskspark.plans import scoring, training
 from riskspark.plans.catalog import DOC_LAYOUT
 from riskspark.session import materialize, scratch_path
 from riskspark.sources import payload
-from riskspark.streaming.scoring import read_arrivals, score_stream
+from riskspark.streaming.scoring import either_layout, read_arrivals, score_stream
 
 
 @pytest.fixture(scope="module")
@@ -161,3 +161,13 @@ def test_every_block_of_the_layout_sums_to_one(run):
     cells = encode.feature_cells(run.model.transform(run.train), "id", run.model)
     assert cells.groupBy("id", "feature").count().where("count <> 1").isEmpty()
     assert DOC_LAYOUT.features[0] == "lang"
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_a_stream_reads_a_file_and_a_folder_of_files(spark, people, tmp_path, folder):
+    path = str(tmp_path / "people.parquet")
+    people.repartition(3).write.parquet(path) if folder else people.toPandas().to_parquet(path)
+    arrivals = read_arrivals(spark, either_layout(path), people.schema)
+    query = arrivals.select("id").writeStream.format("memory").queryName(f"seen_{folder}").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table(f"seen_{folder}").count() == people.count() > 0
