@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.labels import normalise_label
 from ..operators.joins import update_rows
@@ -55,6 +55,19 @@ class Calls:
             raise ValueError("a total rate can only be kept with in_flight given")
 
 
+class Counters:
+    """Answered and failed rows of a running job, to be read on the driver at any time.
+
+    A repeated task counts again, so the answers themselves are the record; these figures are for watching.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.done, self.failed = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def values(self) -> tuple[int, int]:
+        return self.done.value, self.failed.value
+
+
 class Pace:
     """Calls at least ``gap`` seconds apart, whatever a call itself takes."""
 
@@ -84,9 +97,11 @@ def result_schema(key: T.StructField) -> T.StructType:
 
 
 def annotate(
-    prompts: DataFrame, key: str, prompt: str, client_factory: Callable[[], Client], calls: Calls = Calls()
+    prompts: DataFrame, key: str, prompt: str, client_factory: Callable[[], Client], calls: Calls = Calls(),
+    counters: Counters | None = None,
 ) -> DataFrame:
     """(key, text, status, error, attempts) per row; a row that keeps failing has status ``error`` and no text."""
+    done, failed = (counters.done, counters.failed) if counters else (None, None)
     rows = prompts.select(key, prompt)
     if calls.in_flight:
         rows = rows.repartition(calls.in_flight)
@@ -99,6 +114,9 @@ def annotate(
             answers = []
             for start in range(0, len(texts), calls.batch):
                 answers.extend(_answer(client, texts[start : start + calls.batch], calls, pace))
+            if done is not None:
+                done.add(len(answers))
+                failed.add(sum(a[1] is not None for a in answers))
             yield pd.DataFrame(
                 {
                     key: pd.Series(keys, dtype=frame[key].dtype),
@@ -135,13 +153,6 @@ def _answer(client: Client, texts: list[str], calls: Calls, pace: Pace) -> list[
     return [(None, message, calls.attempts)]
 
 
-def observed(answers: DataFrame, name: str = "calls") -> tuple[DataFrame, Observation]:
-    """The answers, and what an action on them counts on its way: rows, failed."""
-    counts = Observation(name)
-    seen = answers.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("status") == "error").alias("failed"))
-    return seen, counts
-
-
 class AnnotationTable:
     """The appended answers of one job."""
 

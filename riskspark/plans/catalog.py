@@ -1054,10 +1054,9 @@ def annotate_to_train(spark, folder):
 
 
 @query(_LENGTH_1 + "SELECT count(*) AS rows, count(*) FILTER (n % 11 = 0) AS failed FROM p")
-def annotate_observed(spark, folder):
+def annotate_counters(spark, folder):
     """Completed and failed calls, counted while the answers are written."""
+    counters = annotation.Counters(spark)
     rows = _classify_rows(spark, folder)
-    answers, counts = annotation.observed(
-        annotation.annotate(rows, "row_id", "prompt", _client(scripted.FIRST_PASS), ONCE))
-    materialize(answers, "answers")
-    return spark.createDataFrame([(counts.get["rows"], counts.get["failed"])], "rows bigint, failed bigint")
+    materialize(annotation.annotate(rows, "row_id", "prompt", _client(scripted.FIRST_PASS), ONCE, counters), "answers")
+    return spark.createDataFrame([counters.values()], "rows bigint, failed bigint")

@@ -44,6 +44,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete everything this application has written under the shared folder.
+
+    Results are scans of written tables until they are consumed, so this belongs at the end of a job, before the session
+    is stopped.
+    """
+    folder = f"{checkpoint_root(spark)}/riskspark-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, unique per call and grouped per application."""
     return f"{checkpoint_root(spark)}/riskspark-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -6,16 +6,18 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from riskspark.session import build_session  # noqa: E402
+from riskspark.session import build_session, drop_scratch  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[8]", spark_sql_shuffle_partitions=8, spark_ui_enabled="false", spark_driver_memory="8g"
+        "tests", "local[8]", spark_sql_shuffle_partitions=8, spark_ui_enabled="false", spark_driver_memory="8g",
+        spark_checkpoint_dir=f"file://{tmp_path_factory.mktemp('shared')}",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()

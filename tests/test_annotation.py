@@ -124,9 +124,9 @@ def test_repair_pass_asks_only_failed_rows(spark, prompts):
 
 
 def test_calls_are_counted_on_the_way(spark, prompts):
-    answers, counts = annotation.observed(annotation.annotate(prompts, "id", "prompt", refusing("p3", "p4"), ONCE))
-    answers.collect()
-    assert counts.get == {"rows": 40, "failed": 2}
+    counters = annotation.Counters(spark)
+    annotation.annotate(prompts, "id", "prompt", refusing("p3", "p4"), ONCE, counters).collect()
+    assert counters.values() == (40, 2)
 
 
 def test_label_repair_policy(spark):
