@@ -8,8 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from riskspark.session import build_session, drop_scratch  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
