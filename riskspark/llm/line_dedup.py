@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
 from .common import text_or_empty
 
 RATIO = 0.2
@@ -68,8 +69,10 @@ def boilerplate(pages: DataFrame, host: str = "host", lines: str = "lines", rati
 def drop_boilerplate(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", ratio: float = RATIO,
                      least: int = LEAST_PAGES) -> DataFrame:
     """One row per page: page_id, url, host, n_lines, n_dropped, text (the lines that stay)."""
-    lined = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), host_of(url).alias("host"),
-                         lines_of(html).alias("lines"))
+    # Written, as taking pages apart is most of the work and the lines are read twice.
+    lined = materialize(
+        pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), host_of(url).alias("host"),
+                     lines_of(html).alias("lines")), "lines")
     found = lined.join(boilerplate(lined.select("host", "lines"), ratio=ratio, least=least), "host", "left")
     none = F.array().cast("array<struct<a: bigint, b: bigint>>")
     dropped = F.coalesce("dropped", none)
