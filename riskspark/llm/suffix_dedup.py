@@ -295,6 +295,7 @@ class SuffixArray:
         self.owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
         left = ends[self.owner] - np.arange(size) if size else np.zeros(0, np.int64)
         self.begin = (ends - [len(t) for t in texts])[self.owner] if size else left
+        self.places = np.flatnonzero(left >= least)
         # Ranks of prefixes of 8, 16, 32, ... bytes. A prefix ends with its text, and comes before longer ones it begins.
         words = np.ndarray((size,), ">u8", data.tobytes(), strides=(1,)).astype(np.uint64)
         here = np.minimum(left, 8)
@@ -306,9 +307,13 @@ class SuffixArray:
             next_ = np.zeros(size, np.int64)
             longer = np.flatnonzero(left > width)
             next_[longer] = last[longer + width] + 1
-            ranks.append(_ranked(last * (size + 1) + next_))
+            keys = last * (size + 1) + next_
             width *= 2
-        self.places = np.flatnonzero(left >= least)
+            if width < longest:
+                ranks.append(_ranked(keys))
+            else:  # the longest prefixes are only compared from the suffixes' own places on
+                ranks.append(np.zeros(size, np.int64))
+                ranks[-1][self.places] = _ranked(keys[self.places])
         self.places = self.places[np.argsort(ranks[-1][self.places], kind="stable")]
         self.common = self._common(data, ranks, left)
         before = np.where(np.arange(size) > self.begin, np.r_[np.zeros(1, np.int64), data[:max(0, size - 1)]][:size], -1)
@@ -362,17 +367,22 @@ def maximal_repeats(array: SuffixArray, least: int) -> Iterator[tuple[int, int,
             stack.append([length, first, byte])
 
 
-def _covered_in_contexts(texts: list[bytes], ids, marks, begins, least: int) -> Iterator[tuple[int, int, int]]:
-    """(context, start, end) in its document of what an earlier place of a maximal repeat covers."""
+def _covered_in_contexts(texts: list[bytes], ids, begins, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, and starts and ends in their documents, of what an earlier place of a maximal repeat covers."""
     array = SuffixArray(texts, least)
     owner = array.owner[array.places]
     start = array.places - array.begin[array.places] + begins[owner]
-    key_id, key_at = ids[owner], start
+    order = np.lexsort((start, ids[owner]))
+    turn = np.empty(len(order), np.int64)  # equal places have equal turns
+    turn[order] = np.cumsum(_starts(ids[owner][order], start[order]))
+    later, lengths = [np.zeros(0, np.int64)], [0]
     for length, a, b in maximal_repeats(array, least):
-        lead = a + np.lexsort((key_at[a:b], key_id[a:b]))[0]
-        later = np.flatnonzero((key_id[a:b] != key_id[lead]) | (key_at[a:b] != key_at[lead])) + a
-        for j in later.tolist():
-            yield int(owner[j]), int(start[j]), int(start[j]) + length
+        turns = turn[a:b]
+        later.append(np.flatnonzero(turns > turns.min()) + a)
+        lengths.append(length)
+    found = np.concatenate(later)
+    ends = start[found] + np.repeat(lengths, [len(x) for x in later])
+    return owner[found], start[found], ends
 
 
 def _repeats(frame: pd.DataFrame, buckets: int, least: int) -> pd.DataFrame:
@@ -391,15 +401,15 @@ def _repeats(frame: pd.DataFrame, buckets: int, least: int) -> pd.DataFrame:
         text = b"".join(map(bytes, found["text"]))
         order = np.argsort(h, kind="stable")
         new = np.flatnonzero(_starts(h[order]))
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         batch: list[np.ndarray] = []
         held = 0
 
         def scan() -> None:
             places = np.concatenate(batch)
             texts = [text[cuts[j]:cuts[j + 1]] for j in places.tolist()]
-            for o, s, e in _covered_in_contexts(texts, ids[places], marks[places], begins[places], least):
-                out.append((int(places[o]), s, e))
+            owner, starts, ends = _covered_in_contexts(texts, ids[places], begins[places], least)
+            out.append((places[owner], starts, ends))
 
         for part in np.split(order, new[1:]):
             batch.append(part)
@@ -409,8 +419,8 @@ def _repeats(frame: pd.DataFrame, buckets: int, least: int) -> pd.DataFrame:
                 batch, held = [], 0
         if batch:
             scan()
-        if out:
-            j, s, e = np.array(out, np.int64).T
+        j, s, e = (np.concatenate(x) for x in zip(*out))
+        if len(j):
             rows += _merged(ids[j], marks[j], s, e, buckets)
     return _frame(rows)
 
