@@ -70,18 +70,12 @@ def describe_numeric(
     df: DataFrame, columns: Sequence[str], method: str = "exact", local_rows: int = LOCAL_ROWS
 ) -> DataFrame:
     """(feature, count, mean, std, min, p25, p50, p75, max) with interpolated quartiles and ddof = 1."""
-    moments = numeric_long(df, columns).groupBy("feature").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75), method=method, local_rows=local_rows)
-    quartiles = quartiles.select("feature", *[F.col("edges")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))])
+    moments = {"mean": F.avg("value"), "std": F.stddev_samp("value"), "min": F.min("value"), "max": F.max("value")}
+    found = exact_quantiles(df, columns, (0.25, 0.5, 0.75), method=method, local_rows=local_rows, extra=moments)
+    quartiles = [F.col("edges")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))]
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
-    return (
-        names.join(moments, "feature", "left")
-        .join(quartiles, "feature", "left")
-        .select("feature", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "p25", "p50", "p75", "max")
-    )
+    return names.join(found, "feature", "left").select(
+        "feature", F.coalesce("n", F.lit(0)).alias("count"), "mean", "std", "min", *quartiles, "max")
 
 
 def _range(df: DataFrame, column: str) -> tuple[DataFrame, float | None, float | None, int, float | None]:

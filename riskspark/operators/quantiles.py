@@ -9,7 +9,7 @@ No pass shuffles more than the bucket counts, so a group with most of the table
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,34 +37,40 @@ def exact_quantiles(
     by: Sequence[str] = (),
     method: str = "exact",
     local_rows: int = LOCAL_ROWS,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """(by..., feature, n, edges) where ``edges`` holds the linearly interpolated quantiles in ``probs`` order.
+    """(by..., feature, n, edges, extra...) where ``edges`` holds the linearly interpolated quantiles in ``probs`` order.
 
+    ``extra`` are further aggregates of ``value`` by name, which take no pass of their own.
     The input is read more than once; pass a written table when computing it is expensive. ``method="approx"``
     trades exactness for a single pass with a bounded sketch.
     """
     # The group as one struct: a struct with nulls equals another one, so a null group is a group in joins too.
     long = numeric_long(df.withColumn("_by", F.struct(*by)) if by else df, columns, ["_by"] if by else [])
-    found = _quantiles(long, ["_by", "feature"] if by else ["feature"], probs, method, local_rows)
-    return found.select(*[F.col(f"_by.{c}").alias(c) for c in by], "feature", "n", "edges")
+    found = _quantiles(long, ["_by", "feature"] if by else ["feature"], probs, method, local_rows, dict(extra or {}))
+    return found.select(*[F.col(f"_by.{c}").alias(c) for c in by], "feature", "n", "edges", *(extra or ()))
 
 
-def _quantiles(long: DataFrame, keys: list[str], probs: Sequence[float], method: str, local_rows: int) -> DataFrame:
+def _quantiles(
+    long: DataFrame, keys: list[str], probs: Sequence[float], method: str, local_rows: int, extra: dict[str, Column]
+) -> DataFrame:
+    more = [c.alias(name) for name, c in extra.items()]
     n = F.count(F.lit(1)).alias("n")
     if method == "approx":
         sketch = F.percentile_approx("value", [float(p) for p in probs], 10_000)
-        return long.groupBy(*keys).agg(n, sketch.alias("edges"))
+        return long.groupBy(*keys).agg(n, sketch.alias("edges"), *more)
     if method != "exact":
         raise ValueError("method must be 'exact' or 'approx'")
 
-    sizes = long.groupBy(*keys).agg(n, F.min("value").alias("lo"), F.max("value").alias("hi"))
+    sizes = long.groupBy(*keys).agg(n, F.min("value").alias("lo"), F.max("value").alias("hi"), *more)
     large = sizes.where(F.col("n") > local_rows)
     direct = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs])).alias("edges")
     if large.isEmpty():
-        return long.groupBy(*keys).agg(n, direct)
+        return long.groupBy(*keys).agg(n, direct, *more)
     large = materialize(large, "large-groups")
-    rest = join_small(long, large.select(*keys), keys, "left_anti").groupBy(*keys).agg(n, direct)
-    return rest.unionByName(_narrowed(long, large, keys, probs, local_rows))
+    rest = join_small(long, large.select(*keys), keys, "left_anti").groupBy(*keys).agg(n, direct, *more)
+    narrowed = _narrowed(long, large, keys, probs, local_rows).join(large.select(*keys, *extra), keys)
+    return rest.unionByName(narrowed)
 
 
 def _positions(probs: Sequence[float]) -> list[Column]:
