@@ -21,6 +21,8 @@ from .common import text_or_empty
 
 RATIO = 0.2
 LEAST_PAGES = 5
+#: Tasks over which the pages of one host are spread.
+SALTS = 64
 
 # Tags whose contents are no text, and tags that begin or end a line.
 _SILENT = ("script", "style", "noscript", "template", "svg")
@@ -67,13 +69,17 @@ def boilerplate(pages: DataFrame, host: str = "host", lines: str = "lines", rati
 
 
 def drop_boilerplate(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", ratio: float = RATIO,
-                     least: int = LEAST_PAGES) -> DataFrame:
+                     least: int = LEAST_PAGES, salts: int = SALTS) -> DataFrame:
     """One row per page: page_id, url, host, n_lines, n_dropped, text (the lines that stay)."""
     # Written, as taking pages apart is most of the work and the lines are read twice.
     lined = materialize(
         pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), host_of(url).alias("host"),
                      lines_of(html).alias("lines")), "lines")
-    found = lined.join(boilerplate(lined.select("host", "lines"), ratio=ratio, least=least), "host", "left")
+    # A host with many pages is spread over several tasks, each of which gets the host's array.
+    salted = lined.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)))
+    arrays = boilerplate(lined.select("host", "lines"), ratio=ratio, least=least).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    found = salted.join(arrays, ["host", "salt"], "left")
     none = F.array().cast("array<struct<a: bigint, b: bigint>>")
     dropped = F.coalesce("dropped", none)
     tagged = F.arrays_zip(F.col("lines").alias("line"), _hashes(F.col("lines")).alias("hash"))
