@@ -43,7 +43,7 @@ GROUP = 2000
 BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
 #: Bytes hashed at once, anchors of a task put together before they are sent, and context bytes of one suffix array.
-_PIECE, _HELD, _ARRAY = 2 << 20, 1_500_000, 2 << 20
+_PIECE, _HELD, _ARRAY = 1 << 20, 1_000_000, 1 << 19
 _NULL_ID = 2**63 - 1
 _MAX = np.uint64(2**64 - 1)
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
