@@ -3,15 +3,20 @@
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` of a text after lower-casing A-Z, and one end token. The model backs off from
 three words to one: a kept n-gram has the probability ``(c - DISCOUNT) / c(history)``, the rest of a history's mass goes to
 the shorter history, and single words have ``(c + 0.1) / (N + 0.1 (V + 1))`` with the exact counts of the training rows,
-where all unseen words share one place. N-grams are kept if they make up at least ``gram_share`` of the tokens.
+where all unseen words share one place. N-grams that occur twice are kept, at every size; ``word_share`` and ``gram_share``
+can ask for more than that.
 
-The kept n-grams become states of an automaton: a state is a history, an arc a kept n-gram, and a failure arc leads to the
-history without its first word at the price of its backoff weight. A text is scored in one left-to-right traversal.
+The states of the automaton are the histories, an arc is a kept n-gram, and a failure arc leads to the history without its
+first word at the price of its backoff weight. A traversal adds for each word its own weight and the failure price of the
+word before; a kept bigram or trigram that it reads replaces the weights of the shorter path. So a text's score is a sum of
+one weight for each word, bigram and trigram that occurs in it, and the arcs can lie anywhere.
 
-What is broadcast is bounded by the shares, whatever the corpus: at most ``1 / word_share`` words and ``1 / gram_share``
-n-grams of each length. The counts of all rarer words stay in a table that grows with the corpus; after such a word the
-automaton is in its root, and the word's own weight is joined to the text by the word. Frequent n-grams are found exactly in
-two passes: hashed counters of fixed size bound every count from above, and what they do not rule out is counted.
+Nothing of the model is broadcast or gathered. Texts are read once and written in chunks of about ``CHUNK`` tokens. A chunk
+sends its distinct n-grams, with counts, to buckets by a hash of the n-gram; the number of buckets grows with the tokens. A
+bucket adds up the counts and keeps n-grams; weights come from joins of these tables; the buckets send the weights of a
+chunk's n-grams back to the chunk. An n-gram has one row per chunk at most, however frequent it is.
+
+A word is a 64-bit hash, checked with another 64 bits over all words; if two words share one, other hashes are taken.
 
 Defined cases: a null text counts as empty and is the end token alone. With no training rows every word is unseen and has
 probability 1. Repeated rows and ids each get their row.
@@ -19,292 +24,302 @@ probability 1. Repeated rows and ids each get their row.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
-import pandas as pd
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import materialize
 from .common import crc_fold, small_batches, text_or_empty
 
 END = b""
-WORD_SHARE, GRAM_SHARE, DISCOUNT = 2.0**-20, 2.0**-18, 0.75
-#: Bits of a word's number in a key; so a trigram fits into 64 bits.
-_BITS = 20
-#: Hashed counters for each length of n-gram, and the pieces in which they are added up.
-_COUNTERS, _PIECES = 1 << 20, 256
-_HELD = 400_000
+WORD_SHARE, GRAM_SHARE, LEAST, DISCOUNT = 0.0, 0.0, 2, 0.75
+#: Tokens of a chunk, and n-grams of one length wanted in a bucket.
+CHUNK, BUCKET = 1 << 20, 1 << 19
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_ORDERS = (1, 2, 3)
 
 
 def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() + [END]  # of bytes: ASCII only
 
 
-def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Word counts of one partition, added up before they are shuffled."""
-    total: Counter = Counter()
-
-    def frame() -> pd.DataFrame:
-        return pd.DataFrame({"word": list(total.keys()), "n": list(total.values())})
-
-    for f in frames:
-        for text in f["text"]:
-            total.update(tokens(text))
-            if len(total) > _HELD:
-                yield frame()
-                total.clear()
-    if total:
-        yield frame()
-
-
-@dataclass
-class Head:
-    """The frequent words, sorted, with their counts."""
-
-    words: list[bytes]
-    counts: np.ndarray
-
-    def numbers(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words)}
-
-
-def _numbered(texts, numbers: dict[bytes, int]) -> Iterator[np.ndarray]:
-    """Word numbers of groups of texts; -1 is a rare word or stands between two texts."""
-    held: list[int] = []
-    for text in texts:
-        held += map(numbers.get, tokens(text), repeat(-1))
-        held.append(-1)
-        if len(held) > 500_000:
-            yield np.array(held, np.int64)
-            held = []
-    if held:
-        yield np.array(held, np.int64)
-
-
-def _gram_keys(text: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    a, b = text[:-1], text[1:]
-    two = (a >= 0) & (b >= 0)
-    yield 2, (a << _BITS | b)[two]
-    three = two[:-1] & two[1:]
-    yield 3, (a[:-1] << 2 * _BITS | b[:-1] << _BITS | b[1:])[three]
-
-
-def _counter_of(keys: np.ndarray) -> np.ndarray:
-    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed ^ mixed >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(44)).astype(np.int64)
-
-
-def _hashed_counts(frames: Iterator[pd.DataFrame], head: Broadcast) -> Iterator[pd.DataFrame]:
-    numbers, sums = head.value.numbers(), {2: np.zeros(_COUNTERS, np.int64), 3: np.zeros(_COUNTERS, np.int64)}
-    for f in frames:
-        for text in _numbered(f["text"], numbers):
-            for order, keys in _gram_keys(text):
-                sums[order] += np.bincount(_counter_of(keys), minlength=_COUNTERS)
-    for order, counts in sums.items():
-        if counts.any():
-            pieces = counts.astype("<i4" if counts.max() < 2**31 else "<i8").reshape(_PIECES, -1)
-            yield pd.DataFrame({"grams": order, "piece": range(_PIECES), "wide": counts.max() >= 2**31,
-                                "counts": [p.tobytes() for p in pieces]})
-
-
-def _possible(frames: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFrame]:
-    """Adds up pieces of counters; a bit says whether a counter reaches ``least``."""
-    sums: dict[tuple[int, int], np.ndarray] = {}
-    for f in frames:
-        for order, piece, wide, counts in f.itertuples(index=False):
-            more = np.frombuffer(counts, "<i8" if wide else "<i4").astype(np.int64)
-            sums[order, piece] = sums[order, piece] + more if (order, piece) in sums else more
-    for (order, piece), counts in sums.items():
-        yield pd.DataFrame({"grams": [order], "piece": [piece], "bits": [np.packbits(counts >= least).tobytes()]})
-
-
-def _counted_grams(frames: Iterator[pd.DataFrame], head: Broadcast, bits: Broadcast) -> Iterator[pd.DataFrame]:
-    numbers, total = head.value.numbers(), None
-    possible = {order: np.unpackbits(b).astype(bool) for order, b in bits.value.items()}
-    for f in frames:
-        for text in _numbered(f["text"], numbers):
-            for order, keys in _gram_keys(text):
-                if order not in possible:
-                    continue
-                key, n = np.unique(keys[possible[order][_counter_of(keys)]], return_counts=True)
-                part = pd.DataFrame({"grams": order, "key": key, "n": n})
-                total = part if total is None else pd.concat([total, part])
-            if total is not None and len(total) > _HELD:
-                total = total.groupby(["grams", "key"], as_index=False)["n"].sum()
-                if len(total) > _HELD // 2:
-                    yield total
-                    total = None
-    if total is not None:
-        yield total
-
-
-@dataclass
-class Automaton:
-    """State 0 is the root. ``arcs``: (state, word) to (weight, state); all weights are log10."""
-
-    words: list[bytes]
-    single: list[float]
-    first: list[int]
-    arcs: dict[int, tuple[float, int]]
-    back: list[float]
-    fail: list[int]
-
-    def score(self, text: list[int]) -> float:
-        """Weight of a traversal; rare words (-1) add the backoff to the root only."""
-        total, state = 0.0, 0
-        arcs, back, fail, single, first = self.arcs.get, self.back, self.fail, self.single, self.first
-        for word in text:
-            if word < 0:
-                while state:
-                    total += back[state]
-                    state = fail[state]
-                continue
-            while state:
-                arc = arcs(state << _BITS | word)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += back[state]
-                state = fail[state]
-            else:
-                total += single[word]
-                state = first[word]
-        return total
-
-
-def build(head: Head, two: dict[int, int], three: dict[int, int], size: float, discount: float = DISCOUNT) -> Automaton:
-    """The automaton of kept bigrams and trigrams (by key, with counts); ``size`` is N + 0.1 (V + 1)."""
-    low = (1 << _BITS) - 1
-    single = (head.counts + 0.1) / size
-    state = {a: i for i, a in enumerate(sorted({k >> _BITS for k in two}), 1)}
-    pair = {h: i for i, h in enumerate(sorted({k >> _BITS for k in three}), len(state) + 1)}
-    fail = [0] * (1 + len(state)) + [state[h & low] for h in sorted(pair)]
-    first = [state.get(w, 0) for w in range(len(head.words))]
-
-    def after(history: int, word: int) -> int:
-        return pair.get(history << _BITS | word) or state.get(word, 0)
-
-    arcs, two_p = {}, {}
-    kept, lower = np.zeros(len(fail)), np.zeros(len(fail))
-    for k, n in two.items():
-        a, w = k >> _BITS, k & low
-        two_p[k] = p = (n - discount) / head.counts[a]
-        arcs[state[a] << _BITS | w] = float(np.log10(p)), after(a, w)
-        kept[state[a]] += p
-        lower[state[a]] += single[w]
-    for k, n in three.items():
-        h, w = k >> _BITS, k & low
-        p = (n - discount) / two[h]
-        arcs[pair[h] << _BITS | w] = float(np.log10(p)), after(h & low, w)
-        kept[pair[h]] += p
-        lower[pair[h]] += two_p[k & (low << _BITS | low)]
-    back = np.log10(np.maximum(1 - kept, 1e-12) / np.maximum(1 - lower, 1e-12))
-    return Automaton(head.words, np.log10(single).tolist(), first, arcs, back.tolist(), fail)
-
-
-@dataclass
-class Model:
-    automaton: Automaton
-    rare: DataFrame
-    train_tokens: int
-    size: float
-
-
-def learn(docs: DataFrame, text: str = "text", word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE,
-          discount: float = DISCOUNT) -> Model:
-    """The model of all rows of ``docs``."""
-    if word_share < 2.0**-_BITS:
-        raise ValueError("word numbers have 20 bits")
-    spark = docs.sparkSession
-    small_batches(spark)
-    texts = docs.select(text_or_empty(text).alias("text"))
-    counted = texts.mapInPandas(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = materialize(counted, "word-counts")
-    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    size = n + 0.1 * (v + 1)
-    frequent = counts.where(F.col("n") >= word_share * n).toPandas().sort_values("word")
-    head = Head([bytes(w) for w in frequent["word"]], frequent["n"].to_numpy(np.int64))
-    rare = counts.where(F.col("n") < word_share * n)
-
-    least = max(2, int(np.ceil(gram_share * n)))
-    shared = spark.sparkContext.broadcast(head)
-    pieces = (
-        texts.mapInPandas(lambda f: _hashed_counts(f, shared), "grams int, piece int, wide boolean, counts binary")
-        .repartition("grams", "piece").mapInPandas(lambda f: _possible(f, least), "grams int, piece int, bits binary")
-    ).toPandas().sort_values(["grams", "piece"])
-    bits = {o: np.frombuffer(b"".join(map(bytes, g["bits"])), np.uint8) for o, g in pieces.groupby("grams")}
-    possible = spark.sparkContext.broadcast(bits)
-    kept = (
-        texts.mapInPandas(lambda f: _counted_grams(f, shared, possible), "grams int, key bigint, n bigint")
-        .groupBy("grams", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
-    )
-    two, three = (dict(zip(*kept.loc[kept["grams"] == o, ["key", "n"]].to_numpy().T.tolist())) if (kept["grams"] == o).any()
-                  else {} for o in (2, 3))
-    return Model(build(head, two, three, size, discount), rare, int(n), size)
-
-
-def _traversal(docs: DataFrame, model: Model, text: str) -> Column:
-    """Struct with what the automaton says of a text, and its rare words with how often they occur."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.automaton)
-    known: dict[str, dict[bytes, int]] = {}
-
-    @F.arrow_udf("struct<n_tokens: bigint, frequent: bigint, base: double, score: double, words: array<binary>, "
-                 "times: array<bigint>>")
-    def of(texts):
-        import pyarrow as pa
-
-        automaton = shared.value
-        numbers = known.get("numbers")
-        if numbers is None:
-            numbers = known["numbers"] = {w: i for i, w in enumerate(automaton.words)}
-        single = np.array(automaton.single + [0.0])  # -1 adds nothing
-        sizes, frequent, base, score, words, times, ends = [], [], [], [], [], [], [0]
-        for t in texts.to_pylist():
-            found = tokens(t)
-            text = [*map(numbers.get, found, repeat(-1))]
-            rare = Counter(w for w, i in zip(found, text) if i < 0)
-            sizes.append(len(found))
-            frequent.append(len(found) - rare.total())
-            base.append(float(single[text].sum()))
-            score.append(automaton.score(text))
-            words += rare.keys()
-            times += rare.values()
-            ends.append(len(words))
-        at = pa.array(ends, pa.int32())
-        lists = [pa.ListArray.from_arrays(at, pa.array(x, kind)) for x, kind in ((words, pa.binary()), (times, pa.int64()))]
-        plain = [pa.array(x, kind) for x, kind in ((sizes, pa.int64()), (frequent, pa.int64()), (base, pa.float64()),
-                                                   (score, pa.float64()))]
-        return pa.StructArray.from_arrays([*plain, *lists], ["n_tokens", "frequent", "base", "score", "words", "times"])
-
-    return of.asNondeterministic()(text_or_empty(text))
+def _hash(word: bytes, seed: int) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(word, seed)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """One row per chunk: its documents as numbers of its own words, and the words."""
+    from pyspark import TaskContext
+
+    nth = TaskContext.get().partitionId() << 32
+    numbers: dict[bytes, int] = {}
+    ids: list[int] = []
+    lens, keys, out = [], [], []
+
+    def row() -> pa.RecordBatch:
+        words = list(numbers)
+        values = [nth, np.array(ids, np.uint32).tobytes(), np.array(lens, np.int64).tobytes(), words, len(ids)]
+        arrays = [pa.array([v], f.type) for v, f in zip(values, schema)]
+        key = pa.concat_arrays(keys)
+        keyed = pa.ListArray.from_arrays(pa.array([0, len(key)], pa.int32()), key)
+        held = pa.array([out], schema.field("held").type)
+        return pa.RecordBatch.from_arrays([*arrays, keyed.cast(schema.field("keys").type), held], schema=schema)
+
+    for batch in batches:
+        for at, (text, held) in enumerate(zip(batch.column("text").to_pylist(), batch.column("held").to_pylist())):
+            found = tokens(text)
+            for w in found:
+                ids.append(numbers.setdefault(w, len(numbers)))
+            lens.append(len(found))
+            out.append(held)
+            keys.append(batch.column("key").slice(at, 1))
+            if len(ids) >= size:
+                yield row()
+                nth += 1
+                numbers, ids, lens, keys, out = {}, [], [], [], []
+    if lens:
+        yield row()
+
+
+def _grams(vocab: np.ndarray, ids: np.ndarray, lens: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """For each length: the starts of the n-grams, the place of each among the distinct ones, their words, and the buckets'
+    bounds; the distinct ones lie by bucket."""
+    doc, wide = np.repeat(np.arange(len(lens)), lens), np.int64(len(vocab))
+    rank, words = ids.astype(np.int64), []
+    for order in _ORDERS:
+        if order == 1:
+            starts, key = np.arange(len(ids)), rank
+        else:
+            starts = np.flatnonzero(doc[:len(ids) - order + 1] == doc[order - 1:]) if len(ids) >= order else np.zeros(0, np.int64)
+            key = rank[starts] * wide + ids[starts + order - 1]
+        distinct, at = np.unique(key, return_inverse=True)
+        if order == 1:
+            words = [vocab[distinct]]
+        else:
+            words = [*(w[distinct // wide] for w in words), vocab[distinct % wide]]
+        rank = np.zeros(len(ids), np.int64)
+        rank[starts] = at
+        mixed = np.zeros(len(distinct), np.uint64)
+        for w in words:
+            mixed = (mixed ^ w) * _MIX
+            mixed ^= mixed >> np.uint64(29)
+        bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        yield order, starts, place[at], [w[by] for w in words], np.searchsorted(bucket[by], np.arange(buckets + 1)), doc
+
+
+def _read(table: pa.Table | pa.RecordBatch, row: int, seed: int) -> tuple:
+    words = table.column("words")[row].as_py()
+    vocab = np.array([_hash(w, seed) for w in words], np.uint64)
+    return (words, vocab, np.frombuffer(table.column("ids")[row].as_py(), np.uint32).astype(np.int64),
+            np.frombuffer(table.column("lens")[row].as_py(), np.int64))
+
+
+_BLOBS = "grams int, bucket int, chunk bigint, words binary, n binary"
+_BLOB = pa.schema([("grams", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("words", pa.binary()), ("n", pa.binary())])
+
+
+def _sent(batches: Iterator[pa.RecordBatch], buckets: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of chunks by bucket, with their counts in training rows; words also with their second hash."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            words, vocab, ids, lens = _read(batch, row, seed)
+            second = dict(zip(vocab.tolist(), (_hash(w, seed + 1) for w in words)))
+            chunk = batch.column("chunk")[row].as_py()
+            train = ~np.array(batch.column("held")[row].as_py(), bool)
+            for order, starts, at, cols, bounds, doc in _grams(vocab, ids, lens, buckets):
+                n = np.bincount(at, train[doc[starts]], minlength=len(cols[0])).astype(np.int64)
+                if order == 1:
+                    cols = [*cols, np.array([second[h] for h in cols[0].tolist()], np.uint64)]
+                used = np.flatnonzero(np.diff(bounds))
+                yield pa.RecordBatch.from_arrays([pa.array([order] * len(used), pa.int32()), pa.array(used, pa.int32()),
+                    pa.array([chunk] * len(used), pa.int64()),
+                    pa.array([np.stack([c[bounds[b]:bounds[b + 1]] for c in cols]).tobytes() for b in used], pa.binary()),
+                    pa.array([n[bounds[b]:bounds[b + 1]].astype(np.uint32).tobytes() for b in used], pa.binary())], schema=_BLOB)
+
+
+def _columns(blob: bytes, wide: int) -> np.ndarray:
+    return np.frombuffer(blob, np.uint64).reshape(wide, -1)
+
+
+def _merged(cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order that sorts the columns, and where a new n-gram begins in it."""
+    by = np.lexsort(cols[::-1])
+    low = cols[:, by]
+    return by, np.r_[True, (low[:, 1:] != low[:, :-1]).any(axis=0)] if len(by) else np.zeros(0, bool)
+
+
+_COUNTED = "grams int, bucket int, a bigint, b bigint, w bigint, n bigint, clash boolean"
+
+
+def _kept(table: pa.Table, least: int) -> pa.Table:
+    """The n-grams of one bucket that occur often enough in training rows."""
+    order, bucket = table.column("grams")[0].as_py(), table.column("bucket")[0].as_py()
+    cols = np.concatenate([_columns(x, max(2, order)) for x in table.column("words").to_pylist()], axis=1)
+    n = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("n").to_pylist()]).astype(np.int64)
+    by, new = _merged(cols)
+    starts = np.flatnonzero(new)
+    cols, n = cols[:, by[starts]], np.add.reduceat(n[by], starts)
+    clash = np.zeros(len(n), bool)
+    if order == 1:
+        clash[1:] = cols[0, 1:] == cols[0, :-1]
+    chosen = (n >= (1 if order == 1 else least)) | clash
+    cols, n, clash = cols[:, chosen].view(np.int64), n[chosen], clash[chosen]
+    none = pa.nulls(len(n), pa.int64())
+    parts = [pa.array(cols[i]) if i < order else none for i in range(3)]
+    return pa.table([pa.array([order] * len(n), pa.int32()), pa.array([bucket] * len(n), pa.int32()), *parts, pa.array(n),
+                     pa.array(clash)], names=["grams", "bucket", "a", "b", "w", "n", "clash"])
+
+
+_BACK = pa.schema([("chunk", pa.int64()), ("grams", pa.int32()), ("bucket", pa.int32()), ("weights", pa.binary())])
+
+
+def _returned(blobs: pa.Table, weights: pa.Table) -> pa.Table:
+    """For each chunk the weights of its n-grams of one bucket: base or nothing, and the score's."""
+    if not len(blobs) or not len(weights):
+        return _BACK.empty_table()
+    order = blobs.column("grams")[0].as_py()
+    kept = np.stack([weights.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("a", "b", "w")[:order]])
+    value = np.stack([weights.column(c).to_numpy() for c in (("base", "score") if order == 1 else ("score",))])
+    sent = [_columns(x, max(2, order))[:order] for x in blobs.column("words").to_pylist()]
+    every = np.concatenate([kept, *sent], axis=1)
+    by, new = _merged(every)
+    group = np.empty(len(by), np.int64)
+    group[by] = np.cumsum(new) - 1
+    known = np.full((len(value), int(new.sum())), np.nan)
+    known[:, group[:kept.shape[1]]] = value
+    out, at = [], kept.shape[1]
+    for piece in sent:
+        out.append(known[:, group[at:at + piece.shape[1]]].tobytes())
+        at += piece.shape[1]
+    return pa.table([blobs.column("chunk"), blobs.column("grams"), blobs.column("bucket"), pa.array(out, pa.binary())],
+                    schema=_BACK)
+
+
+def _scored(chunks: pa.Table, back: pa.Table, buckets: int, seed: int, unseen: float, schema: pa.Schema) -> pa.Table:
+    """Scores of the documents of one chunk."""
+    if not len(chunks):
+        return schema.empty_table()
+    _, vocab, ids, lens = _read(chunks, 0, seed)
+    found = {(o, b): w for o, b, w in zip(*(back.column(c).to_pylist() for c in ("grams", "bucket", "weights")))}
+    # Added up for each place first: the weights of a path that is replaced cancel there, and not in a long sum.
+    path = np.zeros(len(ids))
+    for order, starts, at, cols, bounds, doc in _grams(vocab, ids, lens, buckets):
+        wide = 2 if order == 1 else 1
+        values = np.full((wide, len(cols[0])), np.nan)
+        for b in np.flatnonzero(np.diff(bounds)):
+            if (order, b) in found:
+                values[:, bounds[b]:bounds[b + 1]] = np.frombuffer(found[order, b]).reshape(wide, -1)
+        if order == 1:
+            known = np.bincount(doc, ~np.isnan(values[0])[at], minlength=len(lens))
+            values = np.where(np.isnan(values), unseen, values)
+            base = np.bincount(doc, values[0][at], minlength=len(lens))
+            path += values[1][at]
+        else:
+            path[starts] += np.nan_to_num(values[0])[at]
+    score = np.bincount(doc, path, minlength=len(lens))
+    flat = lambda c: pa.concat_arrays(chunks.column(c).chunks).flatten()
+    return pa.table([flat("keys"), flat("held"), pa.array(lens), pa.array(known.astype(np.int64)), pa.array(base),
+                     pa.array(score)], schema=schema)
+
+
+def _backoff(kept: Column, lower: Column) -> Column:
+    return F.log10(F.greatest(1 - F.sum(kept), F.lit(1e-12)) / F.greatest(1 - F.sum(lower), F.lit(1e-12)))
+
+
+def _weights(counted: DataFrame, end: int, size: float, fewest: float, discount: float) -> DataFrame:
+    """Rows (grams, bucket, a, b, w, base, score): what each word and kept n-gram adds to a text."""
+    zero = F.lit(0.0)
+    one = counted.where("grams = 1").select("bucket", "a", "n", ((F.col("n") + 0.1) / size).alias("p"))
+    head = one.where(F.col("n") >= fewest)
+    before = head.select("a", F.col("n").alias("n_a"))
+    after = head.select(F.col("a").alias("b"), F.col("p").alias("p_b"))
+    two = materialize(
+        counted.where("grams = 2").select("bucket", "a", "b", "n").join(before, "a").join(after, "b")
+        .withColumn("p", (F.col("n") - discount) / F.col("n_a")), "bigrams")
+    back_one = materialize(two.groupBy("a").agg(_backoff(F.col("p"), F.col("p_b")).alias("back")), "backoff-1")
+    # Both bigrams of a trigram are kept if their words are frequent enough: they occur as often as it does.
+    shorter = two.select("a", "b", F.col("n").alias("n_ab"))
+    tail = two.select(F.col("a").alias("b"), F.col("b").alias("w"), F.col("p").alias("p_bw"))
+    three = materialize(
+        counted.where("grams = 3").select("bucket", "a", "b", "w", "n").join(shorter, ["a", "b"]).join(tail, ["b", "w"])
+        .withColumn("p", (F.col("n") - discount) / F.col("n_ab")), "trigrams")
+    back_two = materialize(three.groupBy("a", "b").agg(_backoff(F.col("p"), F.col("p_bw")).alias("back")), "backoff-2")
+
+    none = F.lit(None).cast("bigint")
+    price = F.coalesce("back", zero)
+    words = one.join(back_one, "a", "left").select(
+        F.lit(1).alias("grams"), "bucket", "a", none.alias("b"), none.alias("w"), F.log10("p").alias("base"),
+        (F.log10("p") + F.when(F.col("a") == end, zero).otherwise(price)).alias("score"))
+    own = two.join(back_one.withColumnRenamed("back", "back_a"), "a").join(back_two, ["a", "b"], "left")
+    pairs = own.select(
+        F.lit(2).alias("grams"), "bucket", "a", "b", none.alias("w"), zero.alias("base"),
+        (F.log10("p") - F.col("back_a") - F.log10("p_b") + F.when(F.col("b") == end, zero).otherwise(price)).alias("score"))
+    triples = three.join(back_two, ["a", "b"]).select(
+        F.lit(3).alias("grams"), "bucket", "a", "b", "w", zero.alias("base"),
+        (F.log10("p") - F.col("back") - F.log10("p_bw")).alias("score"))
+    return words.unionByName(pairs).unionByName(triples)
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out: int = 0,
-          word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, discount: float = DISCOUNT) -> DataFrame:
+          word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, discount: float = DISCOUNT,
+          chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learned from the rows outside fold ``held_out``; scores are log10 probabilities.
     """
-    out = crc_fold(key, folds) == held_out
-    model = learn(docs.where(~out), text, word_share, gram_share, discount)
-    answered = docs.select(F.col(key).alias("doc_id"), out.alias("held_out"), _traversal(docs, model, text).alias("t"))
-    # Written, so that the row numbers are the same for both uses below.
-    parts = materialize(answered.select("doc_id", "held_out", "t.*", F.monotonically_increasing_id().alias("row")), "traversed")
-    rare = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("r")).select("row", "r.words", "r.times")
-    weight = F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + F.lit(0.1)) / F.lit(model.size))
-    added = (
-        rare.join(model.rare.withColumnRenamed("word", "words"), "words", "left").groupBy("row")
-        .agg(F.sum(weight).alias("added"), F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("known"))
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    small_batches(docs.sparkSession)
+    kind = docs.select(key).schema[0].dataType
+    rows = docs.select(F.col(key).alias("key"), (crc_fold(key, folds) == held_out).alias("held"), text_or_empty(text).alias("text"))
+    shape = T.StructType([T.StructField(n, t) for n, t in (
+        ("chunk", T.LongType()), ("ids", T.BinaryType()), ("lens", T.BinaryType()), ("words", T.ArrayType(T.BinaryType())),
+        ("tokens", T.LongType()), ("keys", T.ArrayType(kind)), ("held", T.ArrayType(T.BooleanType())))])
+    arrow = to_arrow_schema(shape)
+    chunks = materialize(rows.mapInArrow(lambda b: _chunks(b, chunk, arrow), shape), "chunks")
+    buckets = max(1, -(-(chunks.agg(F.sum("tokens")).first()[0] or 0) // bucket))
+
+    for seed in range(0, 200, 2):
+        blobs = materialize(chunks.mapInArrow(lambda b: _sent(b, buckets, seed), _BLOBS), "n-grams")  # noqa: B023
+        if gram_share:
+            n = _trained(blobs)
+            least = max(LEAST, int(np.ceil(gram_share * n)))
+        else:
+            least = LEAST
+        counted = materialize(blobs.groupBy("grams", "bucket").applyInArrow(lambda t: _kept(t, least), _COUNTED), "counts")  # noqa: B023
+        n, v, clashes = counted.where("grams = 1").agg(
+            F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.col("clash").cast("int")), F.lit(0))).first()
+        if not clashes:
+            break
+    else:
+        raise ValueError("no hash tells the words apart")
+    size = n + 0.1 * (v + 1)
+    unseen = float(np.log10(0.1 / size))
+    end = int(np.array([_hash(END, seed)], np.uint64).view(np.int64)[0])
+    weights = _weights(counted, end, size, word_share * n, discount)
+    back = (
+        blobs.select("grams", "bucket", "chunk", "words").groupBy("grams", "bucket")
+        .cogroup(weights.groupBy("grams", "bucket"))
+        .applyInArrow(_returned, "chunk bigint, grams int, bucket int, weights binary")
     )
-    zero = F.lit(0)
-    return parts.drop("words", "times").join(added, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("frequent") + F.coalesce("known", zero)).alias("n_known"),
-        F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("added", zero)).alias("base_score"),
-        (F.col("score") + F.coalesce("added", zero)).alias("score"))
+    found = T.StructType([T.StructField(n, t) for n, t in (
+        ("doc_id", kind), ("held_out", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()),
+        ("base_score", T.DoubleType()), ("score", T.DoubleType()))])
+    answer = to_arrow_schema(found)
+    scored = chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
+        lambda c, b: _scored(c, b, buckets, seed, unseen, answer), found)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("bigint").alias("train_tokens"),
+                         "base_score", "score")
+
+
+def _trained(blobs: DataFrame) -> int:
+    """Tokens of the training rows."""
+    total = F.udf(lambda n: int(np.frombuffer(n, np.uint32).sum()), "bigint")
+    return blobs.where("grams = 1").agg(F.coalesce(F.sum(total("n")), F.lit(0))).first()[0]

@@ -85,3 +85,22 @@ def test_without_training_rows(spark, docs_of):
     key = next(k for k in range(100) if binascii.crc32(str(k).encode()) % 10 == 0)
     row = op.score(docs_of([(key, "a b")])).first()
     assert tuple(row)[1:] == (True, 3, 0, 0, 0.0, 0.0)
+
+
+def test_ngrams_that_occur_twice_are_kept_at_every_size(spark, docs_of):
+    # So many tokens that a share of 2**-18 would ask for four occurrences.
+    keys = [k for k in range(100) if binascii.crc32(str(k).encode()) % 10][:3]
+    pairs = [(keys[0], "rare pair here"), (keys[1], "rare pair here"), (keys[2], "filler " * 900_000)]
+    got = {r.doc_id: r for r in op.score(docs_of(pairs)).collect()}
+    n = got[keys[0]].train_tokens
+    first = math.log10(2.1 / (n + 0.1 * 6))
+    assert n == 900_009 and got[keys[0]].score == pytest.approx(first + 3 * math.log10(1.25 / 2), rel=1e-9)
+
+
+def test_chunks_and_buckets_change_no_result(spark, docs_of):
+    pairs = list(enumerate(texts())) + [(None, "the of the"), (7, "the end"), (7, "the end")]
+    got = sorted((tuple(r) for r in op.score(docs_of(pairs), chunk=300, bucket=200).collect()), key=repr)
+    want = sorted(brute(pairs, 0, 0), key=repr)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    for g, w in zip(got, want):
+        assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
