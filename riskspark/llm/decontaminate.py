@@ -6,7 +6,7 @@ shift table over blocks of two words says how far the search may jump, blocks wi
 there, and their words are compared directly.
 
 The search strings are collected in blocks of at most ``STRINGS`` and each block is broadcast alone. With several blocks
-the findings per document are written and merged by id, which must then be unique.
+the documents are written with a row number, and the findings of the blocks are merged by it, whatever the ids.
 
 Defined cases: null and empty texts have no words, so no hits; an item without words is never found. Items may repeat; an
 item with a null id marks words as hit but is not counted or listed. Repeated documents each get their row.
@@ -149,17 +149,20 @@ def _findings(docs: DataFrame, benchmark: DataFrame, text: str, window: int, str
 def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
          strings: int = STRINGS) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    parts = []
+    rows, parts = docs.select(F.col(key).alias("doc_id"), text_or_empty(text).alias("text")), []
     for blocks, search in _findings(docs, benchmark, text, window, strings):
-        found = docs.select(F.col(key).alias("doc_id"), _finding(search, text).alias("f")).select("doc_id", "f.*")
         if blocks == 1:
+            found = rows.select("doc_id", _finding(search, "text").alias("f")).select("doc_id", "f.*")
             return found.select("doc_id", *_report(F.col("n_words"), F.col("hit"), F.col("items")))
+        if not parts:  # written, so that the row numbers are the same for all blocks
+            rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "documents")
+        found = rows.select("row", "doc_id", _finding(search, "text").alias("f")).select("row", "doc_id", "f.*")
         parts.append(materialize(found, "findings"))
         search.unpersist()
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
-    merged = merged.groupBy("doc_id").agg(
+    merged = merged.groupBy("row", "doc_id").agg(
         F.max("n_words").alias("n_words"),
         F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))

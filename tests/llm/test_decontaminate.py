@@ -61,3 +61,12 @@ def test_shift_table_skips_and_finds_overlaps():
     search = op.Search({tuple(b"a b a b".split()): ["1"], tuple(b"b a b".split()): ["2"]})
     hit, items = search.find(b"x a b a b a b y b a".split())
     assert hit == set(range(1, 7)) and items == {"1", "2"}
+
+
+def test_repeated_rows_and_null_ids_keep_their_rows_in_several_blocks(spark, docs_of):
+    docs, items = cases()
+    docs = [*docs, *docs[:45], *((None, text) for _, text in docs), (None, None), (0, "SOLO"), (0, "clean text")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    for strings in (7, op.STRINGS):
+        assert sorted((tuple(r) for r in op.scan(docs_of(docs), benchmark, strings=strings).collect()), key=repr) == want
