@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import decontaminate, exact_dedup, html_extract, language_id, license_scan, line_dedup, lm_score, sentencepiece, simhash, suffix_dedup
+from . import decontaminate, exact_dedup, html_extract, language_id, license_scan, line_dedup, lm_score, sentencepiece, shard_ring, simhash, suffix_dedup, token_alignment
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,11 +53,20 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(documents(spark, folder))
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_ring.assign(documents(spark, folder))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align(documents(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_exact_dedup, op3_suffix_array_dedup, op4_line_dedup, op5_html_extract, op6_language_id,
         op7_simhash_near_dedup, op8_lm_score, op9_benchmark_decontamination, op10_license_scan,
+        op11_sharding, op12_token_alignment,
     )
 }
 ORACLES: dict[str, str] = {
