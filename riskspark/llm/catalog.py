@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import decontaminate, exact_dedup, html_extract, language_id, license_scan, line_dedup, lm_score, sentencepiece, shard_ring, simhash, suffix_dedup, token_alignment
+from . import collocations, decontaminate, exact_dedup, html_extract, language_id, license_scan, line_dedup, lm_score, sentencepiece, shard_ring, simhash, suffix_dedup, token_alignment
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,16 +61,21 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.align(documents(spark, folder))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(documents(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_exact_dedup, op3_suffix_array_dedup, op4_line_dedup, op5_html_extract, op6_language_id,
         op7_simhash_near_dedup, op8_lm_score, op9_benchmark_decontamination, op10_license_scan,
-        op11_sharding, op12_token_alignment,
+        op11_sharding, op12_token_alignment, op13_collocations,
     )
 }
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_line_dedup": line_dedup.sql(),
     "op9_benchmark_decontamination": decontaminate.SQL,
+    "op13_collocations": collocations.SQL,
 }
