@@ -11,6 +11,7 @@ from ..operators import binning, distribution, encode, joins, metrics, profile,
 from ..schema import (
     APPLICANT, APPLICANT_COLUMNS, BIN_COLUMNS, BIN_LABELS, DISPLAY_BIN_LABELS, FEATURES, FILL_UNKNOWN, LABELLED, LABELS,
 )
+from ..operators.boosting import NewtonTrees
 from ..session import materialize, scratch_path
 from ..sources import files, payload
 from ..sources.tables import applicants, labelled_docs, numbers_as_whole, table
@@ -1023,6 +1024,55 @@ def tree_round_aucs(spark, folder):
     return aucs.select("round", F.coalesce(sound, F.lit(False)).alias("sound"))
 
 
+_LANGS = ("de", "en", "es", "fr")
+
+
+def _split_rows(spark, folder):
+    """(features, label) of the labelled documents: hundreds of characters up to 200, and one column per language."""
+    docs = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id").where("quality IS NOT NULL")
+    size = F.least(F.floor(F.col("n_chars") / 100), F.lit(200)).cast("double")
+    langs = [(F.col("lang") == x).cast("double") for x in _LANGS]
+    return docs.select(F.array(size, *langs).alias("features"), F.col("quality").cast("int").alias("label"))
+
+
+@query("""WITH d AS (SELECT quality AS y, [least(n_chars // 100, 200)::DOUBLE, (lang = 'de')::INT, (lang = 'en')::INT,
+      (lang = 'es')::INT, (lang = 'fr')::INT] AS x FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+  c AS (SELECT y, f, x[f + 1] AS v FROM d, (SELECT unnest(range(0, 5)) AS f)),
+  b AS (SELECT f, v, sum(0.5 - y) AS g, sum(0.25) AS h FROM c WHERE v IS NOT NULL GROUP BY 1, 2),
+  m AS (SELECT f, g0 AS g_none, h0 AS h_none FROM (SELECT f, sum(0.5 - y) AS g0, sum(0.25) AS h0 FROM c WHERE v IS NULL GROUP BY 1)),
+  t AS (SELECT sum(0.5 - y)::DOUBLE AS g_all, sum(0.25)::DOUBLE AS h_all FROM d),
+  s AS (SELECT b.f, (lag(v) OVER w + v) / 2 AS cut, (sum(g) OVER w - g)::DOUBLE AS g_low, (sum(h) OVER w - h)::DOUBLE AS h_low
+    FROM b WINDOW w AS (PARTITION BY f ORDER BY v)),
+  k AS (SELECT s.f, cut, missing_left, g_low + CASE WHEN missing_left THEN coalesce(g_none, 0) ELSE 0 END::DOUBLE AS gl,
+      h_low + CASE WHEN missing_left THEN coalesce(h_none, 0) ELSE 0 END::DOUBLE AS hl
+    FROM s LEFT JOIN m USING (f), (SELECT unnest([false, true]) AS missing_left) WHERE cut IS NOT NULL),
+  r AS (SELECT *, gl * gl / (hl + 1) + (g_all - gl) * (g_all - gl) / (h_all - hl + 1) - g_all * g_all / (h_all + 1) AS gain FROM k, t
+    WHERE hl >= 1 AND h_all - hl >= 1)
+  SELECT f::INT AS feature, cut, missing_left, round(gain, 6) AS gain, round(-0.1 * gl / (hl + 1), 9) AS left_value,
+    round(-0.1 * (g_all - gl) / (h_all - hl + 1), 9) AS right_value FROM r WHERE gain > 1e-6
+  ORDER BY r.gain DESC, f, cut, missing_left LIMIT 1""")
+def newton_first_split(spark, folder):
+    """The root of the first second-order tree, and the values of its two leaves."""
+    model = NewtonTrees(rounds=1, depth=1).fit(_split_rows(spark, folder))
+    nodes = model.tree_table(spark)
+    value = lambda i: F.max(F.when(F.col("node") == i, F.round("value", 9)))
+    root = lambda c: F.max(F.when(F.col("node") == 1, F.col(c)))
+    return nodes.agg(
+        root("feature").alias("feature"), root("cut").alias("cut"), root("missing_left").alias("missing_left"),
+        F.round(root("gain"), 6).alias("gain"), value(2).alias("left_value"), value(3).alias("right_value"),
+    ).where("feature IS NOT NULL")
+
+
+@query("SELECT CAST(i AS INTEGER) AS round, true AS sound FROM range(1, 6) t(i)")
+def newton_round_aucs(spark, folder):
+    """Validation AUC of second-order trees after each round; the last one is that of the report."""
+    run = _doc_run(spark, folder, "newton", rounds=5)
+    aucs = training.round_aucs(training.merged_rows(run.test, run.features, DOC_LAYOUT), run.classifier)
+    final = run.report.where("metric = 'roc_auc'").select("value").scalar()
+    sound = F.col("auc").between(0, 1) & ((F.col("round") < 5) | (F.abs(F.col("auc") - final) < 1e-9))
+    return aucs.select("round", F.coalesce(sound, F.lit(False)).alias("sound"))
+
+
 @query(_NUMBERED + "SELECT request AS request_id, count(*) AS answers FROM n GROUP BY 1")
 def score_requests_refit(spark, folder):
     """CSV requests answered with bins of their own; one answer per row."""

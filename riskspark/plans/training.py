@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.labels import training_gate
 from ..functions.text import class_at
 from ..operators.binning import QuantileBinner, QuantileBinnerModel
+from ..operators.boosting import LEAST_GAIN, NewtonTrees, NewtonTreesModel
 from ..operators.encode import collapse, drop_helpers, fit_encoder
 from ..operators.metrics import classification_report, roc_auc
 from ..operators.split import stratified_split
@@ -119,6 +120,15 @@ def fit_trees(merged: DataFrame, rounds: int = 20, depth: int = 3, eta: float =
     ).fit(merged)
 
 
+def fit_newton(merged: DataFrame, rounds: int = 20, depth: int = 3, eta: float = 0.1, l2: float = 1.0, least_cover: float = 1.0,
+               least_gain: float = LEAST_GAIN, max_bins: int = 256) -> NewtonTreesModel:
+    """Second-order boosted trees on the logistic loss, with L2 on the leaves."""
+    return NewtonTrees(
+        featuresCol="features", labelCol="label", weightCol="n", rounds=rounds, depth=depth, eta=eta, l2=l2,
+        leastCover=least_cover, leastGain=least_gain, maxBins=max_bins,
+    ).fit(merged)
+
+
 def predictions(scored: DataFrame, *keep: str) -> DataFrame:
     """(keep..., y_prob, y_pred) from the output of a classifier."""
     prob = F.get(vector_to_array("probability"), F.lit(1))
@@ -136,16 +146,23 @@ def evaluate(merged_test: DataFrame, classifier) -> DataFrame:
     return report.unionByName(auc)
 
 
-def round_aucs(merged: DataFrame, model: GBTClassificationModel) -> DataFrame:
+def round_aucs(merged: DataFrame, model: GBTClassificationModel | NewtonTreesModel) -> DataFrame:
     """(round, auc): the AUC on merged rows after each boosting round."""
-    margins = []
     rows = merged.select("label", "n", "features")
+    if isinstance(model, NewtonTreesModel):
+        return _aucs_by_round(model.round_margins(rows, "label", "n"))
+    margins = []
     for i, tree in enumerate(model.trees):
         rows = tree.setPredictionCol(f"_tree_{i}").transform(rows)
         step = F.col(f"_tree_{i}") * float(model.treeWeights[i])
         margins.append(margins[-1] + step if margins else step)
     cells = F.array(*[F.struct(F.lit(i).alias("round"), m.alias("score")) for i, m in enumerate(margins, 1)])
-    by_score = rows.select("label", "n", F.inline(cells)).groupBy("round", "score").agg(
+    return _aucs_by_round(rows.select("label", "n", F.inline(cells)))
+
+
+def _aucs_by_round(scored: DataFrame) -> DataFrame:
+    """(round, auc) from rows (label, n, round, score)."""
+    by_score = scored.groupBy("round", "score").agg(
         F.sum(F.col("n") * F.col("label")).alias("pos"), F.sum(F.col("n") * (1 - F.col("label"))).alias("neg"))
     # One window per round over its distinct scores, of which a round has at most 2 ** (depth * round).
     upto = Window.partitionBy("round").orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -200,7 +217,7 @@ def fit(
     """Prepare and fit, without evaluating."""
     train, test = prepare(df, key, layout, test_size=test_size, seed=seed)
     features, merged = fit_features(train, layout)
-    classifier = {"logistic": fit_logistic, "trees": fit_trees}[algorithm](merged, **options)
+    classifier = {"logistic": fit_logistic, "trees": fit_trees, "newton": fit_newton}[algorithm](merged, **options)
     return Fitted(PipelineModel([*features.stages, classifier]), merged, train, test)
 
 
