@@ -13,7 +13,7 @@ from ..schema import (
 )
 from ..operators.boosting import NewtonTrees
 from ..session import materialize, scratch_path
-from ..sources import files, payload
+from ..sources import files, payload, quoted_csv
 from ..sources.tables import applicants, labelled_docs, numbers_as_whole, table
 from ..streaming.scoring import either_layout, read_arrivals, score_stream as start_scoring
 from . import annotation, scoring, scripted, training
@@ -712,6 +712,18 @@ def csv_mixed_headers(spark, folder):
     return files.read_table_csv(spark, path, docs.select("doc_id", "lang", "n_chars").schema, {})
 
 
+@query("""SELECT doc_id, lang, chr(10) || text || chr(10) || '"' || lang || '",' || chr(10) AS text FROM documents
+    WHERE text IS NOT NULL AND lang IS NOT NULL""")
+def csv_quoted_splits(spark, folder):
+    """Texts with line breaks and quotes, read from splits of 64 KB."""
+    path = scratch_path(spark, "quoted")
+    docs = table(spark, folder, "documents").where("text IS NOT NULL AND lang IS NOT NULL").select(
+        "doc_id", "lang", F.concat(F.lit("\n"), "text", F.lit('\n"'), "lang", F.lit('",\n')).alias("text"))
+    files.write_table_csv(docs.coalesce(2), path, {})
+    with files.settings(spark, spark_sql_files_maxPartitionBytes=1 << 16, spark_sql_files_openCostInBytes=1 << 14):
+        return quoted_csv.read_quoted_csv(spark, path, docs.schema, {})
+
+
 @query("SELECT doc_id, text FROM documents")
 def publish_round_trip(spark, folder):
     """Published twice: the second time takes the place of the first."""
@@ -755,6 +767,19 @@ def csv_payload_wide_quoted(spark, folder):
     return payload.parse_csv_bodies(bodies, "request_id").drop("error")
 
 
+@query("""SELECT doc_id // 64 AS request_id, CAST(row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) - 1 AS INTEGER) AS pos,
+    doc_id, chr(10) || text || chr(13) || chr(10) || '"' AS text FROM documents WHERE text IS NOT NULL""")
+def csv_payload_multiline(spark, folder):
+    """Bodies whose quoted texts hold line breaks and quotes of their own."""
+    docs = table(spark, folder, "documents").where("text IS NOT NULL").select(
+        F.expr("doc_id div 64").alias("request_id"), "doc_id", F.concat(F.lit("\n"), "text", F.lit('\r\n"')).alias("text"))
+    names = {"doc id": "doc_id", "the\ntext": "text"}
+    bodies = payload.csv_bodies(docs, "request_id", "doc_id", {"doc id": "doc_id", "text": "text"})
+    # The header's own line break stands in the bodies as a quoted field.
+    bodies = bodies.withColumn("body", F.regexp_replace("body", "^doc id,text", 'doc id,"the\ntext"'))
+    return payload.parse_csv_bodies(bodies, "request_id", docs.select("doc_id", "text").schema, names).drop("error")
+
+
 def _answered(spark, folder):
     bodies = payload.csv_bodies(_requests(spark, folder), "request_id", "row_id")
     rows = payload.parse_csv_bodies(bodies, "request_id")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -39,18 +41,42 @@ def typed(texts: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> D
     return texts.select(*keep, *cells)
 
 
+def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return  # the rest of the file is not read
+
+
+@contextmanager
+def settings(spark: SparkSession, **conf: object) -> Iterator[None]:
+    """Session settings for the jobs run inside; ``conf`` keys use ``_`` for ``.``."""
+    keys = {k.replace("_", "."): str(v) for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _files_by_header(spark: SparkSession, path: str | Sequence[str]) -> list[list[str]]:
-    """The files at ``path``, those with equal first lines together: Spark takes one header for all files it reads."""
+    """The files at ``path``, those with equal first lines together: Spark takes one header for all files it reads.
+
+    Each file is one task, which stops after its first line; a file is opened but not read through.
+    """
     lines = spark.read.text(path)
-    files = lines.inputFiles()
-    if len(files) < 2:
+    if len(lines.inputFiles()) < 2:
         return [[path] if isinstance(path, str) else list(path)]
-    numbered = lines.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
-        F.monotonically_increasing_id().alias("nth"))
-    # One line per file; the first line is in the file's first block and before its other lines.
-    first = numbered.where("start = 0").groupBy("file").agg(F.min_by("value", "nth").alias("header"))
-    return [r.files for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()]
+    whole = 1 << 60
+    named = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"))
+    with settings(spark, spark_sql_files_maxPartitionBytes=whole, spark_sql_files_openCostInBytes=whole,
+                   spark_sql_files_minPartitionNum=1, spark_sql_execution_arrow_maxRecordsPerBatch=1):
+        first = named.mapInArrow(_first_rows, named.schema)
+        groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+        return [r.files for r in groups.collect()]
 
 
 def read_table_csv(

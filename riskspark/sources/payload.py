@@ -17,6 +17,8 @@ CSV_TYPE = "text/csv"
 JSON_TYPE = "application/json"
 # Stands for a field's end while a line is taken apart; no character of any text.
 FIELD_END = "\uffff"
+# Stands for a record's end while a body is taken apart; no character of any text either.
+RECORD_END = "\ufffe"
 
 
 def csv_line(columns: Sequence[Column]) -> Column:
@@ -45,6 +47,19 @@ def csv_fields(line: Column) -> Column:
     return F.when(line.contains('"'), F.split(F.array_join(F.transform(pieces, plain), ""), FIELD_END)).otherwise(F.split(line, ","))
 
 
+def csv_records(body: Column) -> Column:
+    """The records of a CSV body: line breaks inside quotes belong to a field, the others end records.
+
+    Cut at the quotes, every second piece stands inside quotes, so a piece's place is the state it is read in. A quote
+    that is not closed goes on to the end of the body. Empty lines are no records.
+    """
+    breaks = "\r\n|\n|\r"
+    marked = F.transform(
+        F.split(body, '"'), lambda piece, i: F.when(i % 2 == 1, piece).otherwise(F.regexp_replace(piece, breaks, RECORD_END)))
+    quoted = F.split(F.array_join(marked, '"'), RECORD_END)
+    return F.filter(F.when(body.contains('"'), quoted).otherwise(F.split(body, breaks)), lambda record: record != "")
+
+
 def csv_bodies(
     df: DataFrame, request_id: str, order: str, names: Mapping[str, str] = APPLICANT_COLUMNS
 ) -> DataFrame:
@@ -71,9 +86,9 @@ def parse_csv_bodies(
     """(request_id, pos, error, columns...): rows of every body, columns taken by header name.
 
     A body of another content type or without a needed column gives one row with ``error`` set instead of failing
-    the whole batch. Line breaks inside quoted fields are not supported.
+    the whole batch. Quoted fields, those of the header too, may hold line breaks.
     """
-    lines = F.filter(F.split("body", "\r\n|\n|\r"), lambda line: line != "")
+    lines = csv_records(F.col("body"))
 
     bodies = requests.select(request_id, "content_type", lines.alias("_lines"))
     header = F.transform(csv_fields(F.get("_lines", F.lit(0))), lambda title: F.trim(title))

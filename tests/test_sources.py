@@ -157,3 +157,29 @@ def test_joins_by_key(spark):
     assert sorted(map(tuple, fixed.collect())) == [(1, "a"), (2, "z")]
     small = joins.join_small(left, spark.createDataFrame([(2, 5)], "k int, n int"), ["k"], "left")
     assert sorted(map(tuple, small.collect())) == [(1, "a", None), (2, "b", 5)]
+
+
+def test_payload_fields_with_line_breaks(spark):
+    names = {"a": "a", "b\nc": "b"}
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    texts = ["x\ny", 'say ""no""\r\n', "\n\n", "plain", '""', ',\n""']
+    body = 'a,"b\nc"\r\n' + "".join(f'{i},"{t}"\r\n' for i, t in enumerate(texts)) + '\n\r7,end'
+    got = payload.parse_csv_bodies(bodies(spark, ("r", "text/csv", body)), "request_id", schema, names).orderBy("pos").collect()
+    assert [(r.a, r.b) for r in got] == [(i, t.replace('""', '"')) for i, t in enumerate(texts)] + [(7, "end")]
+
+
+def test_bodies_with_line_breaks_round_trip(spark):
+    rows = [(i, 1, f'line "{i}"\nnext, {i}\r') for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, request_id int, description string")
+    names = {"Id": "id", "Description": "description"}
+    schema = df.select("id", "description").schema
+    got = payload.parse_csv_bodies(payload.csv_bodies(df, "request_id", "id", names), "request_id", schema, names)
+    assert sorted((r.id, 1, r.description) for r in got.collect()) == rows
+
+
+def test_header_probe_reads_first_lines_only(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.csv").write_text(("x,y\n" if name < "c" else "y,x\n") + "1,2\n" * 50_000)
+    (tmp_path / "empty.csv").write_text("")
+    found = sorted(sorted(f.rsplit("/", 1)[1] for f in g) for g in files._files_by_header(spark, str(tmp_path)))
+    assert found == [["a.csv", "b.csv"], ["c.csv"]]
