@@ -1,19 +1,25 @@
 """Row annotation through a caller-supplied model client, with retry, pacing, checkpoints, resume and repair.
 
 ``client_factory()`` returns a callable ``client(prompts: list[str]) -> list[str]``; it is built once per partition on
-the executor. Answers are keyed, appended to a Parquet table chunk by chunk, and the latest pass of a key counts, so a
-repeated task or a restarted job never mixes rows up.
+the executor. Answers are keyed and the latest pass of a key counts, so a repeated task or a restarted job never mixes rows
+up.
+
+Answers are saved by chunk, many chunks in a job. A task answers one chunk and its file moves to its place when the task
+ends, not when the job does. A manifest names the chunks that count; readers take those only. After an interruption the
+next run first adds the chunks that had been finished to the manifest, then asks for what is still open. (On stores whose
+committer publishes files at the end of a job only, that end is what is saved.)
 """
 
 from __future__ import annotations
 
 import random
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.labels import normalise_label
 from ..operators.joins import update_rows
@@ -23,16 +29,10 @@ from ..session import materialize
 from ..sources.files import read_or_empty
 
 Client = Callable[[list[str]], list[str]]
-#: Rows between two saves, and so the most answers an interruption can lose.
+#: Rows wanted in a chunk; an interruption loses the chunks that are being answered.
 CHUNK_ROWS = 10_000
-LOG = T.StructType(
-    [
-        T.StructField("chunk", T.IntegerType()),
-        T.StructField("rows", T.LongType()),
-        T.StructField("errors", T.LongType()),
-        T.StructField("seconds", T.DoubleType()),
-    ]
-)
+#: Most jobs of a run, however many rows there are.
+JOBS = 64
 
 
 @dataclass(frozen=True)
@@ -82,6 +82,17 @@ class Pace:
 
 
 ONE_TRY = Calls(attempts=1)
+MANIFEST = T.StructType(
+    [
+        T.StructField("attempt", T.StringType()),
+        T.StructField("job", T.IntegerType()),
+        T.StructField("chunk", T.IntegerType()),
+        T.StructField("pass_no", T.IntegerType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("errors", T.LongType()),
+        T.StructField("finished", T.DoubleType()),
+    ]
+)
 
 
 def result_schema(key: T.StructField) -> T.StructType:
@@ -101,10 +112,18 @@ def annotate(
     counters: Counters | None = None,
 ) -> DataFrame:
     """(key, text, status, error, attempts) per row; a row that keeps failing has status ``error`` and no text."""
-    done, failed = (counters.done, counters.failed) if counters else (None, None)
     rows = prompts.select(key, prompt)
     if calls.in_flight:
         rows = rows.repartition(calls.in_flight)
+    return _answers(rows, key, prompt, client_factory, calls, counters)
+
+
+def _answers(
+    rows: DataFrame, key: str, prompt: str, client_factory: Callable[[], Client], calls: Calls,
+    counters: Counters | None = None, also: tuple[str, ...] = (),
+) -> DataFrame:
+    """Answers of the rows where they lie, with further columns of theirs."""
+    done, failed = (counters.done, counters.failed) if counters else (None, None)
     gap = calls.in_flight / calls.rate if calls.rate else 0.0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,10 +143,11 @@ def annotate(
                     "status": pd.Series(["ok" if a[1] is None else "error" for a in answers], dtype=object),
                     "error": pd.Series([a[1] for a in answers], dtype=object),
                     "attempts": pd.Series([a[2] for a in answers], dtype="int32"),
+                    **{c: frame[c] for c in also},
                 }
             )
 
-    return rows.mapInPandas(run, result_schema(prompts.schema[key]))
+    return rows.mapInPandas(run, T.StructType([*result_schema(rows.schema[key]), *[rows.schema[c] for c in also]]))
 
 
 def _answer(client: Client, texts: list[str], calls: Calls, pace: Pace) -> list[tuple[str | None, str | None, int]]:
@@ -154,41 +174,78 @@ def _answer(client: Client, texts: list[str], calls: Calls, pace: Pace) -> list[
 
 
 class AnnotationTable:
-    """The appended answers of one job."""
+    """The answers of one job: folders of attempts, and the manifest that says which of their chunks count."""
 
     def __init__(self, spark: SparkSession, path: str, key: T.StructField):
-        self.spark, self.path, self.key = spark, path, key.name
+        self.spark, self.path, self.key = spark, path.rstrip("/"), key.name
         self.schema = T.StructType(
             result_schema(key).fields
             + [T.StructField("pass_no", T.IntegerType()), T.StructField("chunk", T.IntegerType())]
         )
+        self.placed = T.StructType([*self.schema, T.StructField("attempt", T.StringType()), T.StructField("job", T.IntegerType())])
+
+    def manifest(self) -> DataFrame:
+        """(attempt, job, chunk, pass_no, rows, errors, finished): the chunks that count."""
+        return read_or_empty(self.spark, f"{self.path}_manifest", MANIFEST)
+
+    def _files(self) -> DataFrame:
+        return read_or_empty(self.spark, self.path, self.placed)
 
     def rows(self) -> DataFrame:
-        return read_or_empty(self.spark, self.path, self.schema)
+        # One row per chunk; read anew each time, as another run may have added some.
+        named = self.manifest().select("attempt", "job", "chunk").distinct()
+        return self._files().join(named, ["attempt", "job", "chunk"], "left_semi").select(*self.schema.names)
 
     def latest(self) -> DataFrame:
         """One answer per key: the one of the last pass."""
         fields = ("text", "status", "error", "attempts")
-        newest = F.max_by(F.struct(*fields), F.col("pass_no")).alias("_last")
+        newest = F.max_by(F.struct(*fields), F.struct("pass_no", "chunk")).alias("_last")
         return self.rows().groupBy(self.key).agg(newest).select(self.key, "_last.*")
 
+    def write(self, answers: DataFrame, attempt: str, job: int) -> None:
+        """``answers`` with pass_no and chunk, a file for each task, in place as soon as its task has ended."""
+        now = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+        answers.select(*self.schema.names).write.options(**now).mode("append").parquet(f"{self.path}/attempt={attempt}/job={job}")
+
+    def commit(self, attempt: str | None = None, job: int | None = None) -> None:
+        """Name the finished chunks that the manifest does not name yet: of one job, or of all that were interrupted."""
+        files = self._files()
+        if attempt is not None:
+            files = files.where((F.col("attempt") == attempt) & (F.col("job") == job))
+        if not files.columns or files.isEmpty():
+            return
+        finished = F.max(F.col("_metadata.file_modification_time").cast("double"))
+        found = files.groupBy("attempt", "job", "chunk", "pass_no").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("status") == "error").alias("errors"), finished.alias("finished"))
+        new = found.join(self.manifest().select("attempt", "job", "chunk"), ["attempt", "job", "chunk"], "left_anti")
+        new.select(*MANIFEST.names).coalesce(1).write.mode("append").parquet(f"{self.path}_manifest")
+
     def append(self, answers: DataFrame, pass_no: int, chunk: int | Column) -> None:
         chunk = F.lit(chunk) if isinstance(chunk, int) else chunk
-        rows = answers.withColumns({"pass_no": F.lit(pass_no), "chunk": chunk.cast("int")})
-        rows.select(self.schema.names).write.mode("append").partitionBy("chunk").parquet(self.path)
+        attempt = _new_attempt()
+        self.write(answers.withColumns({"pass_no": F.lit(pass_no), "chunk": chunk.cast("int")}), attempt, 0)
+        self.commit(attempt, 0)
 
     def log(self) -> DataFrame:
-        """The run log: (chunk, rows, errors, seconds) per finished chunk."""
-        return read_or_empty(self.spark, self.path.rstrip("/") + "_log", LOG)
+        """The run log: (chunk, rows, errors, seconds) per chunk of a first pass, in the order in which they ended.
 
-    def append_logged(self, answers: DataFrame, chunk: int) -> None:
-        start = time.monotonic()
-        self.append(answers, 0, chunk)
-        # Reads the files of this chunk only.
-        written = self.rows().where((F.col("chunk") == chunk) & (F.col("pass_no") == 0))
-        rows, errors = written.agg(F.count(F.lit(1)), F.count_if(F.col("status") == "error")).first()
-        line = (chunk, rows, errors, time.monotonic() - start)
-        self.spark.createDataFrame([line], LOG).coalesce(1).write.mode("append").parquet(self.path.rstrip("/") + "_log")
+        ``seconds`` is the time since the chunk before ended, or since the attempt began, so the sum is the time taken.
+        """
+        ended = self.manifest().where("pass_no = 0")
+        order = Window.partitionBy("attempt").orderBy("finished", "job", "chunk")
+        began = F.substring_index("attempt", "-", 1).cast("double") / 1000
+        each = ended.select("attempt", "rows", "errors", F.row_number().over(order).alias("nth"), F.greatest(
+            F.lit(0.0), F.col("finished") - F.coalesce(F.lag("finished").over(order), began)).alias("seconds"))
+        # One row per attempt.
+        before = Window.orderBy("attempt").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = each.groupBy("attempt").agg(F.count(F.lit(1)).alias("n")).select(
+            "attempt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+        return each.join(offsets, "attempt").select((F.col("before") + F.col("nth") - 1).cast("int").alias("chunk"), "rows", "errors", "seconds")
+
+
+def _new_attempt() -> str:
+    """Names sort by time: milliseconds since 1970, then letters of no meaning."""
+    return f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:12]}"
 
 
 def run_annotation(
@@ -199,26 +256,31 @@ def run_annotation(
     path: str,
     calls: Calls = Calls(),
     chunk_rows: int = CHUNK_ROWS,
+    jobs: int = JOBS,
+    counters: Counters | None = None,
 ) -> AnnotationTable:
-    """Annotate the rows that have no answer yet, saving after every chunk of about ``chunk_rows`` rows.
+    """Annotate the rows that have no answer yet, saving each chunk of about ``chunk_rows`` rows when it is done.
 
-    Chunks are hash ranges of the key. The open prompts are written once, clustered and partitioned by chunk, so each
-    chunk reads only its own few files. Calling again after an interruption goes on with the rows still open.
+    Chunks are hash ranges of the key. Without ``in_flight`` one job holds all chunks. With it a job holds one chunk for
+    each caller, and there are as many jobs as the rows need, but no more than ``jobs``; beyond that the chunks are larger.
+    Calling again after an interruption goes on with the rows still open.
     """
     spark = prompts.sparkSession
     out = AnnotationTable(spark, path, prompts.schema[key])
+    out.commit()
     waiting = prompts.select(key, prompt).join(out.rows().select(key), key, "left_anti")
-    chunks = max(1, -(-waiting.select(key).count() // chunk_rows))
-    chunk = F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int")
-    # A chunk is spread over as many files as there are tasks to call from, not over every task that found a row.
-    lanes = calls.in_flight or max(1, spark.sparkContext.defaultParallelism)
-    lane = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(lanes))
-    waiting = waiting.withColumn("chunk", chunk).repartition("chunk", lane)
-    waiting = materialize(waiting, "prompts", partition_by="chunk")
-    todo = sorted(r.chunk for r in waiting.select("chunk").distinct().collect())  # numbers only
-    for number in todo:
-        rows = waiting.where(F.col("chunk") == number)
-        out.append_logged(annotate(rows, key, prompt, client_factory, calls), number)
+    waiting = materialize(waiting, "prompts")
+    wanted = max(1, -(-waiting.count() // chunk_rows))
+    lanes = calls.in_flight or wanted
+    rounds = max(1, min(jobs, -(-wanted // lanes)))
+    chunk = F.pmod(F.xxhash64(key), F.lit(lanes * rounds)).cast("int")
+    cut = waiting.select(key, prompt, F.lit(0).alias("pass_no"), chunk.alias("chunk"))
+    attempt = _new_attempt()
+    for job in range(rounds):
+        # Chunk by chunk to the tasks: the number is the task's own, so a task has one chunk.
+        rows = cut.where(F.col("chunk") % rounds == job).repartitionById(lanes, F.floor(F.col("chunk") / rounds).cast("int"))
+        out.write(_answers(rows, key, prompt, client_factory, calls, counters, ("pass_no", "chunk")), attempt, job)
+        out.commit(attempt, job)
     return out
 
 

@@ -111,6 +111,77 @@ def test_resume_equals_one_run(spark, prompts):
     assert resumed.rows().count() == 40
 
 
+def jobs_of(spark, group, run):
+    """Jobs that ``run`` starts."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_number_of_jobs_does_not_grow_with_the_chunks(spark):
+    def run(rows, calls=ONCE, **more):
+        many = spark.range(rows).select("id", F.concat(F.lit("p"), F.col("id").cast("string")).alias("prompt"))
+        path = scratch_path(spark, "jobs")
+        out = {}
+        n = jobs_of(spark, f"jobs-{path[-8:]}", lambda: out.setdefault("t", annotation.run_annotation(
+            many, "id", "prompt", refusing("p3"), path, calls, chunk_rows=8, **more)))
+        assert out["t"].rows().count() == rows and out["t"].latest().count() == rows
+        return n, out["t"].manifest().count()
+
+    (few, chunks), (many, more_chunks) = run(40), run(800)
+    assert 4 <= chunks <= 5 and 90 <= more_chunks <= 100 and many <= few + 2
+    lanes = Calls(attempts=1, in_flight=3)
+    (few, _), (many, chunks) = run(200, lanes, jobs=4), run(800, lanes, jobs=4)
+    assert many <= few + 2 and chunks == 12
+
+
+def test_a_killed_run_keeps_its_finished_chunks(spark, prompts, tmp_path):
+    """Every chunk but the one with the fatal prompt is saved, although the job fails; then only that one is asked again."""
+    asked = tmp_path / "asked"
+
+    def deadly(fatal):
+        def factory():
+            def client(texts):
+                import os
+                import time
+
+                with open(asked, "a") as f:
+                    f.write("".join(t + "\n" for t in texts))
+                if fatal in texts:
+                    time.sleep(4)  # the others end meanwhile
+                    os._exit(1)
+                return [f"<{t}>" for t in texts]
+
+            return client
+
+        return factory
+
+    path = scratch_path(spark, "killed")
+    with pytest.raises(Exception, match="(?i)worker|abort"):
+        annotation.run_annotation(prompts, "id", "prompt", deadly("p7"), path, ONCE, chunk_rows=8)
+    table = annotation.AnnotationTable(spark, path, prompts.schema["id"])
+    assert table.rows().count() == 0  # nothing is named yet
+    table.commit()
+    saved = table.rows().count()
+    assert 0 < saved < 40 and table.rows().where("id = 7").isEmpty()
+    asked.write_text("")
+    out = annotation.run_annotation(prompts, "id", "prompt", deadly("none"), path, ONCE, chunk_rows=8)
+    assert len(asked.read_text().split()) == 40 - saved
+    whole = annotation.run_annotation(prompts, "id", "prompt", refusing(), scratch_path(spark, "whole"), ONCE, chunk_rows=8)
+    assert by_id(out.latest()) == by_id(whole.latest()) and out.rows().count() == 40
+
+
+def test_files_without_a_name_in_the_manifest_are_not_read(spark, prompts):
+    path = scratch_path(spark, "unnamed")
+    out = annotation.run_annotation(prompts.where("id < 20"), "id", "prompt", refusing(), path, ONCE, chunk_rows=8)
+    strays = out.rows().withColumn("text", F.lit("stray")).withColumn("chunk", F.lit(77))
+    out.write(strays, "999-other", 0)
+    assert out.rows().count() == 20 and out.latest().where("text = 'stray'").isEmpty()
+
+
 def test_repair_pass_asks_only_failed_rows(spark, prompts):
     out = annotation.run_annotation(
         prompts, "id", "prompt", refusing("p3", "p4"), scratch_path(spark, "repair"), ONCE, chunk_rows=20
