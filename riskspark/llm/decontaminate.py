@@ -18,6 +18,7 @@ import hashlib
 from collections import defaultdict
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
@@ -103,21 +104,29 @@ def search_strings(benchmark: DataFrame, key: str = "item_id", text: str = "text
     )
 
 
-def _block(rows: list) -> Search:
+def _block(rows: list) -> dict:
+    """A block's strings as plain data, as executors need not have the class of the tables."""
     strings: dict[tuple[bytes, ...], list[str]] = defaultdict(list)
     for row in rows:
         items = strings[tuple(row["string"].encode("utf-8", "surrogatepass").split(b" "))]
         if row["item"] is not None:
             items.append(row["item"])
-    return Search(strings)
+    return {"strings": dict(strings)}
 
 
-def _finding(search, text: str | Column) -> Column:
+def _tables(search: Broadcast) -> Search:
+    held = search.value  # one dict per worker process, so the tables are built once in it
+    if "search" not in held:
+        held["search"] = Search(held["strings"])
+    return held["search"]
+
+
+def _finding(search: Broadcast, text: str | Column) -> Column:
     """Struct (n_words, hit, items) of a text for one broadcast block."""
 
     @F.pandas_udf("n_words bigint, hit array<int>, items array<string>")
     def of(texts: pd.Series) -> pd.DataFrame:
-        table, out = search.value, []
+        table, out = _tables(search), []
         for words in map(words_of, texts):
             hit, items = table.find(words)
             out.append((len(words), sorted(hit), sorted(items)))

@@ -155,17 +155,17 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", min_share: fl
 def prediction(docs: DataFrame, model: GramFilter, text: str = "text") -> Column:
     """Struct (lang_pred, score) for a text of ``docs``."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    known: dict[str, np.ndarray] = {}
+    # Plain data, as executors need not have this class.
+    shared = docs.sparkSession.sparkContext.broadcast((model.rows, model.languages, model.false))
+    known: dict = {}
 
     @F.pandas_udf("lang_pred string, score double")
     def of(texts: pd.Series) -> pd.DataFrame:
-        letters = known.get("letters")
-        if letters is None:
-            letters = known["letters"] = _letters()
+        if not known:
+            known.update(letters=_letters(), model=GramFilter(*shared.value))
         best, score = [], [np.zeros(0)]
         for group in _pieces(texts):
-            b, s = shared.value.predict(group, letters)
+            b, s = known["model"].predict(group, known["letters"])
             best += b
             score.append(s)
         return pd.DataFrame({"lang_pred": best, "score": np.concatenate(score)})
