@@ -6,17 +6,18 @@ the shorter history, and single words have ``(c + 0.1) / (N + 0.1 (V + 1))`` wit
 where all unseen words share one place. N-grams that occur twice are kept, at every size; ``word_share`` and ``gram_share``
 can ask for more than that.
 
-The states of the automaton are the histories, an arc is a kept n-gram, and a failure arc leads to the history without its
-first word at the price of its backoff weight. A traversal adds for each word its own weight and the failure price of the
-word before; a kept bigram or trigram that it reads replaces the weights of the shorter path. So a text's score is a sum of
-one weight for each word, bigram and trigram that occurs in it, and the arcs can lie anywhere.
-
-Nothing of the model is broadcast or gathered. Texts are read once and written in chunks of about ``CHUNK`` tokens. A chunk
-sends its distinct n-grams, with counts, to buckets by a hash of the n-gram; the number of buckets grows with the tokens. A
-bucket adds up the counts and keeps n-grams; weights come from joins of these tables; the buckets send the weights of a
-chunk's n-grams back to the chunk. An n-gram has one row per chunk at most, however frequent it is.
-
-A word is a 64-bit hash, checked with another 64 bits over all words; if two words share one, other hashes are taken.
+The states of the automaton are the histories of kept n-grams, and a root. An arc is a kept n-gram: it leads from its history,
+by its last word, to the longest history that the words read so far end in. A failure arc leads to the history without its
+first word, at the price of its backoff weight. A text is scored in one traversal from left to right that carries the state:
+failure arcs are taken until an arc reads the next word.
+
+The automaton is written as tables and cut into buckets whose number grows with the tokens; nothing of it is broadcast or
+gathered. Texts are read once and lie in compressed chunks of about ``CHUNK`` bytes. A chunk sends its distinct words to
+buckets, which add up counts and send back a number for each word. Then it sends two-word n-grams of words that occur twice,
+as pairs of numbers, and gets the numbers of those that are kept; then three-word n-grams of which both parts are kept. So an
+n-gram that cannot be kept is hardly ever sent, and one that is sent has one entry per chunk, however frequent it is. Last, a
+chunk asks for the backoff weights of its histories, puts together the part of the automaton that its texts can reach, and
+traverses it. N-grams are told apart by numbers of words, not by hashes.
 
 Defined cases: a null text counts as empty and is the end token alone. With no training rows every word is unseen and has
 probability 1. Repeated rows and ids each get their row.
@@ -33,238 +34,399 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..session import materialize
 from .common import crc_fold, small_batches, text_or_empty
 
-END = b""
 WORD_SHARE, GRAM_SHARE, LEAST, DISCOUNT = 0.0, 0.0, 2, 0.75
-#: Tokens of a chunk, and n-grams of one length wanted in a bucket.
-CHUNK, BUCKET = 1 << 20, 1 << 19
+#: Text bytes of a chunk, and tokens of the corpus for each bucket.
+CHUNK, BUCKET = 8 << 20, 1 << 20
+#: Ends a text; no byte of any UTF-8 text.
+_END = b"\xff"
+_BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_ORDERS = (1, 2, 3)
+#: Stands for what is no kept n-gram, and for the rows that describe the model itself.
+NONE, MODEL = -1, -1
 
 
-def tokens(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split() + [END]  # of bytes: ASCII only
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers as compressed planes of bytes: high bytes are mostly zero."""
+    planes = values.view(np.uint8).reshape(-1, 8).T
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
-def _hash(word: bytes, seed: int) -> int:
-    import xxhash
+def _unpack(blob: bytes, kind: type = np.int64) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(blob[8:], 8 * n, "zstd", asbytes=True), np.uint8)
+    return planes.reshape(8, n).T.copy().view(kind).ravel()
 
-    return xxhash.xxh64_intdigest(word, seed)
 
+def _pack_sorted(values: np.ndarray) -> bytes:
+    return _pack(np.diff(values, prepend=0))
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """One row per chunk: its documents as numbers of its own words, and the words."""
-    from pyspark import TaskContext
 
-    nth = TaskContext.get().partitionId() << 32
-    numbers: dict[bytes, int] = {}
-    ids: list[int] = []
-    lens, keys, out = [], [], []
+def _unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(blob))
 
-    def row() -> pa.RecordBatch:
-        words = list(numbers)
-        values = [nth, np.array(ids, np.uint32).tobytes(), np.array(lens, np.int64).tobytes(), words, len(ids)]
-        arrays = [pa.array([v], f.type) for v, f in zip(values, schema)]
-        key = pa.concat_arrays(keys)
-        keyed = pa.ListArray.from_arrays(pa.array([0, len(key)], pa.int32()), key)
-        held = pa.array([out], schema.field("held").type)
-        return pa.RecordBatch.from_arrays([*arrays, keyed.cast(schema.field("keys").type), held], schema=schema)
 
-    for batch in batches:
-        for at, (text, held) in enumerate(zip(batch.column("text").to_pylist(), batch.column("held").to_pylist())):
-            found = tokens(text)
-            for w in found:
-                ids.append(numbers.setdefault(w, len(numbers)))
-            lens.append(len(found))
-            out.append(held)
-            keys.append(batch.column("key").slice(at, 1))
-            if len(ids) >= size:
-                yield row()
-                nth += 1
-                numbers, ids, lens, keys, out = {}, [], [], [], []
-    if lens:
-        yield row()
+class Words:
+    """The tokens of a chunk as numbers of its own words, in the order of the documents."""
+
+    def __init__(self, texts: bytes, held: list[bool]) -> None:
+        data = np.frombuffer(texts.replace(_END, b" " + _END + b" "), np.uint8)
+        letter = ~_BLANK[data]
+        starts = np.flatnonzero(letter & ~np.r_[False, letter[:-1]])
+        packed = np.cumsum(letter)
+        at = np.r_[packed[starts] - 1, packed[-1]]
+        tokens = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data[letter].tobytes())])
+        coded = tokens.dictionary_encode()
+        self.words: list[bytes] = coded.dictionary.to_pylist()
+        self.code = coded.indices.to_numpy().astype(np.int64)
+        ends = self.code == self.words.index(_END)
+        self.doc = np.cumsum(ends) - ends
+        self.lens = np.bincount(self.doc, minlength=len(held))
+        self.train = ~np.array(held, bool)[self.doc]
+
+    def dealt(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """The words' places by bucket, and the buckets' bounds."""
+        import xxhash
+
+        hashed = np.array([xxhash.xxh64_intdigest(w, 42) for w in self.words], np.uint64)
+        bucket = (hashed % np.uint64(buckets)).astype(np.int64)
+        by = np.lexsort((hashed, bucket))
+        return by, np.searchsorted(bucket[by], np.arange(buckets + 1))
+
 
+class Grams:
+    """The distinct n-grams that begin at ``starts``, as (history, word) by bucket: numbers of a shorter n-gram and a word."""
 
-def _grams(vocab: np.ndarray, ids: np.ndarray, lens: np.ndarray, buckets: int) -> Iterator[tuple]:
-    """For each length: the starts of the n-grams, the place of each among the distinct ones, their words, and the buckets'
-    bounds; the distinct ones lie by bucket."""
-    doc, wide = np.repeat(np.arange(len(lens)), lens), np.int64(len(vocab))
-    rank, words = ids.astype(np.int64), []
-    for order in _ORDERS:
-        if order == 1:
-            starts, key = np.arange(len(ids)), rank
-        else:
-            starts = np.flatnonzero(doc[:len(ids) - order + 1] == doc[order - 1:]) if len(ids) >= order else np.zeros(0, np.int64)
-            key = rank[starts] * wide + ids[starts + order - 1]
-        distinct, at = np.unique(key, return_inverse=True)
-        if order == 1:
-            words = [vocab[distinct]]
-        else:
-            words = [*(w[distinct // wide] for w in words), vocab[distinct % wide]]
-        rank = np.zeros(len(ids), np.int64)
-        rank[starts] = at
-        mixed = np.zeros(len(distinct), np.uint64)
-        for w in words:
-            mixed = (mixed ^ w) * _MIX
-            mixed ^= mixed >> np.uint64(29)
-        bucket = (mixed % np.uint64(buckets)).astype(np.int64)
-        by = np.argsort(bucket, kind="stable")
+    def __init__(self, words: Words, starts: np.ndarray, history: np.ndarray, code: np.ndarray, number: np.ndarray, buckets: int) -> None:
+        known, rank = np.unique(history, return_inverse=True)
+        wide = len(words.words)
+        distinct, at = np.unique(rank * wide + code, return_inverse=True)
+        first, second = known[distinct // wide], number[distinct % wide]
+        mixed = (first.astype(np.uint64) ^ (second.astype(np.uint64) << np.uint64(32))) * _MIX
+        bucket = ((mixed >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
+        by = np.lexsort((second, first, bucket))
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
-        yield order, starts, place[at], [w[by] for w in words], np.searchsorted(bucket[by], np.arange(buckets + 1)), doc
+        self.starts, self.at, self.code = starts, place[at], (distinct % wide)[by]
+        self.first, self.second = first[by], second[by]
+        self.n = np.bincount(self.at, words.train[starts], len(by)).astype(np.int64)
+        self.bounds = np.searchsorted(bucket[by], np.arange(buckets + 1))
 
+    def at_place(self, found: np.ndarray, size: int) -> np.ndarray:
+        """What ``found`` says of each n-gram, at the token where it begins."""
+        out = np.full(size, NONE, np.int64)
+        out[self.starts] = found[self.at]
+        return out
 
-def _read(table: pa.Table | pa.RecordBatch, row: int, seed: int) -> tuple:
-    words = table.column("words")[row].as_py()
-    vocab = np.array([_hash(w, seed) for w in words], np.uint64)
-    return (words, vocab, np.frombuffer(table.column("ids")[row].as_py(), np.uint32).astype(np.int64),
-            np.frombuffer(table.column("lens")[row].as_py(), np.int64))
 
+def _two(words: Words, number: np.ndarray, buckets: int) -> Grams:
+    """Two-word n-grams of the words that have a ``number``."""
+    code, doc = words.code, words.doc
+    ok = number[code] >= 0
+    starts = np.flatnonzero(ok[:-1] & ok[1:] & (doc[:-1] == doc[1:]))
+    return Grams(words, starts, number[code[starts]], code[starts + 1], number, buckets)
 
-_BLOBS = "grams int, bucket int, chunk bigint, words binary, n binary"
-_BLOB = pa.schema([("grams", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("words", pa.binary()), ("n", pa.binary())])
 
+def _three(words: Words, number: np.ndarray, two_at: np.ndarray, buckets: int) -> Grams:
+    """Three-word n-grams of which both two-word parts are kept."""
+    starts = np.flatnonzero((two_at[:-1] >= 0) & (two_at[1:] >= 0))
+    return Grams(words, starts, two_at[starts], words.code[starts + 2], number, buckets)
 
-def _sent(batches: Iterator[pa.RecordBatch], buckets: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of chunks by bucket, with their counts in training rows; words also with their second hash."""
+
+_SENT = pa.schema([("size", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("first", pa.binary()), ("second", pa.binary()), ("n", pa.binary())])
+_SENDS = "size int, bucket int, chunk bigint, first binary, second binary, n binary"
+#: Size of an n-gram, or with a minus of the history whose weight is asked for.
+_BACK = pa.schema([("to_chunk", pa.int64()), ("size", pa.int32()), ("bucket", pa.int32()), ("number", pa.binary()), ("n", pa.binary()), ("first", pa.binary()), ("second", pa.binary())])
+_BACKS = "to_chunk bigint, size int, bucket int, number binary, n binary, first binary, second binary"
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    cols = zip(*rows) if rows else [[]] * len(schema)
+    return pa.table([pa.array(list(c), f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+def _read(chunks: pa.Table | pa.RecordBatch, row: int = 0) -> tuple[int, Words]:
+    chunk, texts, size, held = (chunks.column(c)[row].as_py() for c in ("chunk", "texts", "size", "held"))
+    return chunk, Words(pa.decompress(texts, size, "zstd", asbytes=True), held)
+
+
+def _used(bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    for b in np.flatnonzero(np.diff(bounds)).tolist():
+        yield b, int(bounds[b]), int(bounds[b + 1])
+
+
+def _sent_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            words, vocab, ids, lens = _read(batch, row, seed)
-            second = dict(zip(vocab.tolist(), (_hash(w, seed + 1) for w in words)))
-            chunk = batch.column("chunk")[row].as_py()
-            train = ~np.array(batch.column("held")[row].as_py(), bool)
-            for order, starts, at, cols, bounds, doc in _grams(vocab, ids, lens, buckets):
-                n = np.bincount(at, train[doc[starts]], minlength=len(cols[0])).astype(np.int64)
-                if order == 1:
-                    cols = [*cols, np.array([second[h] for h in cols[0].tolist()], np.uint64)]
-                used = np.flatnonzero(np.diff(bounds))
-                yield pa.RecordBatch.from_arrays([pa.array([order] * len(used), pa.int32()), pa.array(used, pa.int32()),
-                    pa.array([chunk] * len(used), pa.int64()),
-                    pa.array([np.stack([c[bounds[b]:bounds[b + 1]] for c in cols]).tobytes() for b in used], pa.binary()),
-                    pa.array([n[bounds[b]:bounds[b + 1]].astype(np.uint32).tobytes() for b in used], pa.binary())], schema=_BLOB)
+            chunk, words = _read(batch, row)
+            by, bounds = words.dealt(buckets)
+            n = np.bincount(words.code, words.train, len(words.words)).astype(np.int64)
+            rows = []
+            for b, lo, hi in _used(bounds):
+                text = b"\n".join([words.words[i] for i in by[lo:hi].tolist()])
+                rows.append((1, b, chunk, len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True), b"", _pack(n[by[lo:hi]])))
+            yield from _table(rows, _SENT).to_batches()
+
+
+def _numbered_words(sent: pa.Table, buckets: int) -> pa.Table:
+    """One bucket of words: numbers for those of training rows, and what each chunk needs to know of its own."""
+    bucket = sent.column("bucket")[0].as_py()
+    lists = [pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd", asbytes=True).split(b"\n") for x in sent.column("first").to_pylist()]
+    total: dict[bytes, int] = {}
+    for words, n in zip(lists, sent.column("n").to_pylist()):
+        for w, c in zip(words, _unpack(n).tolist()):
+            total[w] = total.get(w, 0) + c
+    number = {w: i * buckets + bucket for i, w in enumerate(sorted(w for w, c in total.items() if c))}
+    counts = np.array([total[w] for w in number], np.int64)
+    rows = [(MODEL, 1, bucket, _pack(np.array(list(number.values()), np.int64)), _pack(counts), None, None)]
+    for chunk, words in zip(sent.column("chunk").to_pylist(), lists):
+        rows.append((chunk, 1, bucket, _pack(np.array([number.get(w, NONE) for w in words], np.int64)), _pack(np.array([total[w] for w in words], np.int64)), None, None))
+    return _table(rows, _BACK)
+
+
+def _numbered_grams(sent: pa.Table, buckets: int, least: int) -> pa.Table:
+    """One bucket of n-grams: numbers for those that are kept, and what each chunk needs to know of its own."""
+    size, bucket = sent.column("size")[0].as_py(), sent.column("bucket")[0].as_py()
+    firsts = [_unpack_sorted(x) for x in sent.column("first").to_pylist()]
+    first, second = np.concatenate(firsts), np.concatenate([_unpack(x) for x in sent.column("second").to_pylist()])
+    n = np.concatenate([_unpack(x) for x in sent.column("n").to_pylist()])
+    by = np.lexsort((second, first))
+    new = np.r_[True, (first[by][1:] != first[by][:-1]) | (second[by][1:] != second[by][:-1])]
+    starts = np.flatnonzero(new)
+    counts = np.add.reduceat(n[by], starts)
+    kept = counts >= least
+    number = np.where(kept, (np.cumsum(kept) - 1) * buckets + bucket, NONE)
+    group = np.empty(len(by), np.int64)
+    group[by] = np.cumsum(new) - 1
+    one = by[starts[kept]]
+    rows = [(MODEL, size, bucket, _pack(number[kept]), _pack(counts[kept]), _pack(first[one]), _pack(second[one]))]
+    at = 0
+    for chunk, part in zip(sent.column("chunk").to_pylist(), firsts):
+        mine = group[at:at + len(part)]
+        rows.append((chunk, size, bucket, _pack(number[mine]), _pack(np.where(kept[mine], counts[mine], 0)), None, None))
+        at += len(part)
+    return _table(rows, _BACK)
 
 
-def _columns(blob: bytes, wide: int) -> np.ndarray:
-    return np.frombuffer(blob, np.uint64).reshape(wide, -1)
+class Told:
+    """What the buckets have sent back to a chunk."""
 
+    def __init__(self, back: pa.Table) -> None:
+        cols = (back.column(c).to_pylist() for c in ("size", "bucket", "number", "n"))
+        self.rows = {(s, b): (number, n) for s, b, number, n in zip(*cols)}
 
-def _merged(cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order that sorts the columns, and where a new n-gram begins in it."""
-    by = np.lexsort(cols[::-1])
-    low = cols[:, by]
-    return by, np.r_[True, (low[:, 1:] != low[:, :-1]).any(axis=0)] if len(by) else np.zeros(0, bool)
+    def of(self, size: int, bounds: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+        number, n = np.full(total, NONE, np.int64), np.zeros(total, np.int64)
+        for b, lo, hi in _used(bounds):
+            if (size, b) in self.rows:
+                number[lo:hi], n[lo:hi] = map(_unpack, self.rows[size, b])
+        return number, n
 
+    def words(self, words: Words, buckets: int, fewest: float) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each word that n-grams may have, and the count of each."""
+        by, bounds = words.dealt(buckets)
+        number, n = (np.empty(len(by), np.int64) for _ in range(2))
+        number[by], n[by] = self.of(1, bounds, len(by))
+        return np.where(n >= fewest, number, NONE), n
 
-_COUNTED = "grams int, bucket int, a bigint, b bigint, w bigint, n bigint, clash boolean"
 
+def _rows_of(chunk: int, size: int, grams: Grams) -> list[tuple]:
+    return [(size, b, chunk, _pack_sorted(grams.first[lo:hi]), _pack(grams.second[lo:hi]), _pack(grams.n[lo:hi]))
+            for b, lo, hi in _used(grams.bounds)]
 
-def _kept(table: pa.Table, least: int) -> pa.Table:
-    """The n-grams of one bucket that occur often enough in training rows."""
-    order, bucket = table.column("grams")[0].as_py(), table.column("bucket")[0].as_py()
-    cols = np.concatenate([_columns(x, max(2, order)) for x in table.column("words").to_pylist()], axis=1)
-    n = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("n").to_pylist()]).astype(np.int64)
-    by, new = _merged(cols)
-    starts = np.flatnonzero(new)
-    cols, n = cols[:, by[starts]], np.add.reduceat(n[by], starts)
-    clash = np.zeros(len(n), bool)
-    if order == 1:
-        clash[1:] = cols[0, 1:] == cols[0, :-1]
-    chosen = (n >= (1 if order == 1 else least)) | clash
-    cols, n, clash = cols[:, chosen].view(np.int64), n[chosen], clash[chosen]
-    none = pa.nulls(len(n), pa.int64())
-    parts = [pa.array(cols[i]) if i < order else none for i in range(3)]
-    return pa.table([pa.array([order] * len(n), pa.int32()), pa.array([bucket] * len(n), pa.int32()), *parts, pa.array(n),
-                     pa.array(clash)], names=["grams", "bucket", "a", "b", "w", "n", "clash"])
+
+def _sent_two(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float) -> pa.Table:
+    if not len(chunks):
+        return _SENT.empty_table()
+    chunk, words = _read(chunks)
+    number, _ = Told(back).words(words, buckets, fewest)
+    return _table(_rows_of(chunk, 2, _two(words, number, buckets)), _SENT)
 
 
-_BACK = pa.schema([("chunk", pa.int64()), ("grams", pa.int32()), ("bucket", pa.int32()), ("weights", pa.binary())])
+def _asked(chunk: int, size: int, numbers: np.ndarray, buckets: int) -> list[tuple]:
+    """Histories whose weights are wanted, in the buckets that gave them their numbers."""
+    numbers = np.unique(numbers[numbers >= 0])
+    by = np.lexsort((numbers, numbers % buckets))
+    bounds = np.searchsorted((numbers % buckets)[by], np.arange(buckets + 1))
+    return [(-size, b, chunk, _pack_sorted(numbers[by[lo:hi]]), b"", b"") for b, lo, hi in _used(bounds)]
 
 
-def _returned(blobs: pa.Table, weights: pa.Table) -> pa.Table:
-    """For each chunk the weights of its n-grams of one bucket: base or nothing, and the score's."""
-    if not len(blobs) or not len(weights):
+def _sent_three(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float) -> pa.Table:
+    """The three-word n-grams of a chunk, and its histories."""
+    if not len(chunks):
+        return _SENT.empty_table()
+    chunk, words = _read(chunks)
+    told = Told(back)
+    number, _ = told.words(words, buckets, fewest)
+    two = _two(words, number, buckets)
+    found, _ = told.of(2, two.bounds, len(two.first))
+    rows = _rows_of(chunk, 3, _three(words, number, two.at_place(found, len(words.code)), buckets))
+    return _table([*rows, *_asked(chunk, 1, number, buckets), *_asked(chunk, 2, found, buckets)], _SENT)
+
+
+def _answered(asked: pa.Table, weights: pa.Table) -> pa.Table:
+    """Backoff weights of the histories that chunks ask for; NaN for what is no history."""
+    if not len(asked):
         return _BACK.empty_table()
-    order = blobs.column("grams")[0].as_py()
-    kept = np.stack([weights.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("a", "b", "w")[:order]])
-    value = np.stack([weights.column(c).to_numpy() for c in (("base", "score") if order == 1 else ("score",))])
-    sent = [_columns(x, max(2, order))[:order] for x in blobs.column("words").to_pylist()]
-    every = np.concatenate([kept, *sent], axis=1)
-    by, new = _merged(every)
-    group = np.empty(len(by), np.int64)
-    group[by] = np.cumsum(new) - 1
-    known = np.full((len(value), int(new.sum())), np.nan)
-    known[:, group[:kept.shape[1]]] = value
-    out, at = [], kept.shape[1]
-    for piece in sent:
-        out.append(known[:, group[at:at + piece.shape[1]]].tobytes())
-        at += piece.shape[1]
-    return pa.table([blobs.column("chunk"), blobs.column("grams"), blobs.column("bucket"), pa.array(out, pa.binary())],
-                    schema=_BACK)
-
-
-def _scored(chunks: pa.Table, back: pa.Table, buckets: int, seed: int, unseen: float, schema: pa.Schema) -> pa.Table:
-    """Scores of the documents of one chunk."""
+    number, back = (weights.column(c).to_numpy() if len(weights) else np.zeros(0) for c in ("number", "back"))
+    by = np.argsort(number)
+    number, back = np.r_[number[by], np.iinfo(np.int64).max], np.r_[back[by], np.nan]
+    rows = []
+    for chunk, size, bucket, first in zip(*(asked.column(c).to_pylist() for c in ("chunk", "size", "bucket", "first"))):
+        wanted = _unpack_sorted(first)
+        at = np.searchsorted(number, wanted)
+        rows.append((chunk, size, bucket, first, _pack(np.where(number[at] == wanted, back[at], np.nan)), None, None))
+    return _table(rows, _BACK)
+
+
+class Automaton:
+    """The part of the automaton that a chunk's texts can reach. State 0 is the root."""
+
+    def __init__(self, words: Words, back: pa.Table, buckets: int, fewest: float, size: float, discount: float) -> None:
+        told, wide = Told(back), len(words.words)
+        number, self.n = told.words(words, buckets, fewest)
+        two = _two(words, number, buckets)
+        found, n_two = told.of(2, two.bounds, len(two.first))
+        three = _three(words, number, two.at_place(found, len(words.code)), buckets)
+        _, n_three = told.of(3, three.bounds, len(three.first))
+        self.base = np.log10((self.n + 0.1) / size)
+        prices: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for k in (1, 2):
+            asked = [(_unpack_sorted(x), _unpack(y, np.float64)) for (s, _), (x, y) in told.rows.items() if s == -k]
+            of, price = (np.concatenate([a[i] for a in asked]) if asked else np.zeros(0) for i in (0, 1))
+            of, price = of[~np.isnan(price)], price[~np.isnan(price)]
+            by = np.argsort(of)
+            prices[k] = of[by].astype(np.int64), price[by]
+
+        def states(k: int, numbers: np.ndarray, first: int) -> np.ndarray:
+            """State of each history, 0 for what is none."""
+            of = prices[k][0]
+            at = np.minimum(np.searchsorted(of, numbers), max(0, len(of) - 1))
+            return np.where(of[at] == numbers, at + first, 0) if len(of) else np.zeros(len(numbers), np.int64)
+
+        ones = len(prices[1][0])
+        word_state = states(1, number, 1)
+        two_kept = found >= 0
+        # A state of two words goes where its last word leads: that is its failure arc as well.
+        code_of = dict(zip(number.tolist(), range(wide)))
+        head = np.array([code_of[x] for x in two.first[two_kept].tolist()], np.int64)
+        tail, number_two = two.code[two_kept], found[two_kept]
+        two_state = states(2, number_two, 1 + ones)
+        after_two = np.where(two_state > 0, two_state, word_state[tail])
+        three_kept = n_three > 0
+        by = np.argsort(number_two)
+        order = by[np.searchsorted(number_two[by], three.first[three_kept])]  # the two words before each third
+        last = three.code[three_kept]
+        pair = tail[order] * wide + last
+        keyed = np.argsort(head * wide + tail)
+        follow = keyed[np.searchsorted((head * wide + tail)[keyed], pair)]
+        self.back = [0.0, *prices[1][1].tolist(), *prices[2][1].tolist()]
+        fail = np.zeros(len(self.back), np.int64)
+        fail[two_state[two_state > 0]] = word_state[tail[two_state > 0]]
+        self.fail = fail.tolist()
+        # Arcs by state and word: their weight, and where they lead.
+        source = np.r_[np.zeros(wide, np.int64), word_state[head], two_state[order]]
+        reads = np.r_[np.arange(wide), tail, last]
+        weight = np.r_[self.base, np.log10((n_two[two_kept] - discount) / np.maximum(self.n[head], 1)),
+                       np.log10((n_three[three_kept] - discount) / np.maximum(n_two[two_kept][order], 1))]
+        to = np.r_[word_state, after_two, after_two[follow]]
+        self.wide = wide
+        self.arcs = dict(zip((source * wide + reads).tolist(), zip(weight.tolist(), to.tolist())))
+
+    def score(self, codes: list[int]) -> float:
+        """One traversal from the root."""
+        arc_of, back, fail, wide = self.arcs.get, self.back, self.fail, self.wide
+        state, total = 0, 0.0
+        for word in codes:
+            arc = arc_of(state * wide + word)
+            while arc is None:
+                total += back[state]
+                state = fail[state]
+                arc = arc_of(state * wide + word)
+            total += arc[0]
+            state = arc[1]
+        return total
+
+
+def _scored(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float, size: float, discount: float, schema: pa.Schema) -> pa.Table:
     if not len(chunks):
         return schema.empty_table()
-    _, vocab, ids, lens = _read(chunks, 0, seed)
-    found = {(o, b): w for o, b, w in zip(*(back.column(c).to_pylist() for c in ("grams", "bucket", "weights")))}
-    # Added up for each place first: the weights of a path that is replaced cancel there, and not in a long sum.
-    path = np.zeros(len(ids))
-    for order, starts, at, cols, bounds, doc in _grams(vocab, ids, lens, buckets):
-        wide = 2 if order == 1 else 1
-        values = np.full((wide, len(cols[0])), np.nan)
-        for b in np.flatnonzero(np.diff(bounds)):
-            if (order, b) in found:
-                values[:, bounds[b]:bounds[b + 1]] = np.frombuffer(found[order, b]).reshape(wide, -1)
-        if order == 1:
-            known = np.bincount(doc, ~np.isnan(values[0])[at], minlength=len(lens))
-            values = np.where(np.isnan(values), unseen, values)
-            base = np.bincount(doc, values[0][at], minlength=len(lens))
-            path += values[1][at]
-        else:
-            path[starts] += np.nan_to_num(values[0])[at]
-    score = np.bincount(doc, path, minlength=len(lens))
+    _, words = _read(chunks)
+    automaton = Automaton(words, back, buckets, fewest, size, discount)
+    docs = len(words.lens)
+    known = np.bincount(words.doc, automaton.n[words.code] > 0, docs).astype(np.int64)
+    base = np.bincount(words.doc, automaton.base[words.code], docs)
+    ends = np.cumsum(words.lens).tolist()
+    scores = [automaton.score(words.code[lo:hi].tolist()) for lo, hi in zip([0, *ends], ends)]
     flat = lambda c: pa.concat_arrays(chunks.column(c).chunks).flatten()
-    return pa.table([flat("keys"), flat("held"), pa.array(lens), pa.array(known.astype(np.int64)), pa.array(base),
-                     pa.array(score)], schema=schema)
-
-
-def _backoff(kept: Column, lower: Column) -> Column:
-    return F.log10(F.greatest(1 - F.sum(kept), F.lit(1e-12)) / F.greatest(1 - F.sum(lower), F.lit(1e-12)))
-
-
-def _weights(counted: DataFrame, end: int, size: float, fewest: float, discount: float) -> DataFrame:
-    """Rows (grams, bucket, a, b, w, base, score): what each word and kept n-gram adds to a text."""
-    zero = F.lit(0.0)
-    one = counted.where("grams = 1").select("bucket", "a", "n", ((F.col("n") + 0.1) / size).alias("p"))
-    head = one.where(F.col("n") >= fewest)
-    before = head.select("a", F.col("n").alias("n_a"))
-    after = head.select(F.col("a").alias("b"), F.col("p").alias("p_b"))
-    two = materialize(
-        counted.where("grams = 2").select("bucket", "a", "b", "n").join(before, "a").join(after, "b")
-        .withColumn("p", (F.col("n") - discount) / F.col("n_a")), "bigrams")
-    back_one = materialize(two.groupBy("a").agg(_backoff(F.col("p"), F.col("p_b")).alias("back")), "backoff-1")
-    # Both bigrams of a trigram are kept if their words are frequent enough: they occur as often as it does.
-    shorter = two.select("a", "b", F.col("n").alias("n_ab"))
-    tail = two.select(F.col("a").alias("b"), F.col("b").alias("w"), F.col("p").alias("p_bw"))
-    three = materialize(
-        counted.where("grams = 3").select("bucket", "a", "b", "w", "n").join(shorter, ["a", "b"]).join(tail, ["b", "w"])
-        .withColumn("p", (F.col("n") - discount) / F.col("n_ab")), "trigrams")
-    back_two = materialize(three.groupBy("a", "b").agg(_backoff(F.col("p"), F.col("p_bw")).alias("back")), "backoff-2")
-
-    none = F.lit(None).cast("bigint")
-    price = F.coalesce("back", zero)
-    words = one.join(back_one, "a", "left").select(
-        F.lit(1).alias("grams"), "bucket", "a", none.alias("b"), none.alias("w"), F.log10("p").alias("base"),
-        (F.log10("p") + F.when(F.col("a") == end, zero).otherwise(price)).alias("score"))
-    own = two.join(back_one.withColumnRenamed("back", "back_a"), "a").join(back_two, ["a", "b"], "left")
-    pairs = own.select(
-        F.lit(2).alias("grams"), "bucket", "a", "b", none.alias("w"), zero.alias("base"),
-        (F.log10("p") - F.col("back_a") - F.log10("p_b") + F.when(F.col("b") == end, zero).otherwise(price)).alias("score"))
-    triples = three.join(back_two, ["a", "b"]).select(
-        F.lit(3).alias("grams"), "bucket", "a", "b", "w", zero.alias("base"),
-        (F.log10("p") - F.col("back") - F.log10("p_bw")).alias("score"))
-    return words.unionByName(pairs).unionByName(triples)
+    return pa.table([flat("keys"), flat("held"), pa.array(words.lens), pa.array(known), pa.array(base), pa.array(scores, pa.float64())], schema=schema)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """One row per chunk: its lower-cased texts, compressed, and its documents' keys and folds."""
+    from pyspark import TaskContext
+
+    nth = TaskContext.get().partitionId() << 32
+    texts, held, keys, length = [], [], [], 0
+
+    def row() -> pa.RecordBatch:
+        whole = b"".join(texts)
+        key = pa.concat_arrays(keys)
+        values = [nth, pa.compress(whole, "zstd", asbytes=True), len(whole), None, held, len(Words(whole, held).code)]
+        arrays = [pa.array([v], f.type) for v, f in zip(values, schema)]
+        arrays[3] = pa.ListArray.from_arrays(pa.array([0, len(key)], pa.int32()), key).cast(schema.field("keys").type)
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    for batch in batches:
+        for at, (text, out) in enumerate(zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("held").to_pylist())):
+            texts += [text.lower(), _END]  # of bytes: ASCII only
+            held.append(out)
+            keys.append(batch.column("key").slice(at, 1))
+            length += len(text) + 1
+            if length >= size:
+                yield row()
+                nth, texts, held, keys, length = nth + 1, [], [], [], 0
+    if held:
+        yield row()
+
+
+def _model_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(number, first, second, n) of the words or n-grams of the model's own rows."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            number, n = (_unpack(batch.column(c)[row].as_py()) for c in ("number", "n"))
+            first, second = (batch.column(c)[row].as_py() for c in ("first", "second"))
+            none = np.full(len(number), NONE)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                number, none if first is None else _unpack(first), none if second is None else _unpack(second), n)],
+                names=["number", "first", "second", "n"])
+
+
+def model_rows(back: DataFrame, size: int) -> DataFrame:
+    """The words (size 1) or kept n-grams of the model: (number, first, second, n), where first is the number of the history."""
+    own = back.where((F.col("to_chunk") == MODEL) & (F.col("size") == size))
+    return own.select("number", "n", "first", "second").mapInArrow(_model_rows, "number bigint, first bigint, second bigint, n bigint")
+
+
+def _price(kept: Column, lower: Column) -> Column:
+    return F.log10(F.greatest(1 - F.sum(kept), F.lit(1e-12)) / F.greatest(1 - F.sum(lower), F.lit(1e-12))).alias("back")
+
+
+def backoff(words: DataFrame, two: DataFrame, three: DataFrame, size: float, discount: float) -> DataFrame:
+    """The states of the automaton: (size, number, back), the weight of a history's failure arc."""
+    p = (F.col("n") - discount) / F.col("n_a")
+    one = words.select(F.col("number").alias("second"), ((F.col("n") + 0.1) / size).alias("lower"))
+    arcs = two.join(words.select(F.col("number").alias("first"), F.col("n").alias("n_a")), "first").join(one, "second")
+    arcs = materialize(arcs.select("number", "first", "second", "n", "lower", p.alias("p")), "arcs")
+    short = arcs.groupBy("first").agg(_price(F.col("p"), F.col("lower")))
+    history = arcs.select(F.col("number").alias("first"), F.col("second").alias("middle"), F.col("n").alias("n_a"))
+    # Both parts of a kept n-gram of three words are kept: they occur as often as it does.
+    rest = arcs.select(F.col("first").alias("middle"), "second", F.col("p").alias("lower"))
+    triples = three.select("first", "second", "n").join(history, "first").join(rest, ["middle", "second"])
+    long = triples.withColumn("p", p).groupBy("first").agg(_price(F.col("p"), F.col("lower")))
+    return short.select(F.lit(1).alias("size"), F.col("first").alias("number"), "back").unionByName(
+        long.select(F.lit(2).alias("size"), F.col("first").alias("number"), "back"))
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out: int = 0,
@@ -280,46 +442,39 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     kind = docs.select(key).schema[0].dataType
     rows = docs.select(F.col(key).alias("key"), (crc_fold(key, folds) == held_out).alias("held"), text_or_empty(text).alias("text"))
     shape = T.StructType([T.StructField(n, t) for n, t in (
-        ("chunk", T.LongType()), ("ids", T.BinaryType()), ("lens", T.BinaryType()), ("words", T.ArrayType(T.BinaryType())),
-        ("tokens", T.LongType()), ("keys", T.ArrayType(kind)), ("held", T.ArrayType(T.BooleanType())))])
+        ("chunk", T.LongType()), ("texts", T.BinaryType()), ("size", T.LongType()), ("keys", T.ArrayType(kind)),
+        ("held", T.ArrayType(T.BooleanType())), ("tokens", T.LongType()))])
     arrow = to_arrow_schema(shape)
     chunks = materialize(rows.mapInArrow(lambda b: _chunks(b, chunk, arrow), shape), "chunks")
     buckets = max(1, -(-(chunks.agg(F.sum("tokens")).first()[0] or 0) // bucket))
 
-    for seed in range(0, 200, 2):
-        blobs = materialize(chunks.mapInArrow(lambda b: _sent(b, buckets, seed), _BLOBS), "n-grams")  # noqa: B023
-        if gram_share:
-            n = _trained(blobs)
-            least = max(LEAST, int(np.ceil(gram_share * n)))
-        else:
-            least = LEAST
-        counted = materialize(blobs.groupBy("grams", "bucket").applyInArrow(lambda t: _kept(t, least), _COUNTED), "counts")  # noqa: B023
-        n, v, clashes = counted.where("grams = 1").agg(
-            F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.col("clash").cast("int")), F.lit(0))).first()
-        if not clashes:
-            break
-    else:
-        raise ValueError("no hash tells the words apart")
+    def with_chunks(back: DataFrame, fn, schema) -> DataFrame:
+        told = back.where(F.col("to_chunk") != MODEL).groupBy("to_chunk")
+        return chunks.groupBy("chunk").cogroup(told).applyInArrow(fn, schema)
+
+    sent = chunks.mapInArrow(lambda b: _sent_words(b, buckets), _SENDS)
+    known = materialize(sent.groupBy("size", "bucket").applyInArrow(lambda t: _numbered_words(t, buckets), _BACKS), "words")
+    words = model_rows(known, 1)
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     size = n + 0.1 * (v + 1)
-    unseen = float(np.log10(0.1 / size))
-    end = int(np.array([_hash(END, seed)], np.uint64).view(np.int64)[0])
-    weights = _weights(counted, end, size, word_share * n, discount)
-    back = (
-        blobs.select("grams", "bucket", "chunk", "words").groupBy("grams", "bucket")
-        .cogroup(weights.groupBy("grams", "bucket"))
-        .applyInArrow(_returned, "chunk bigint, grams int, bucket int, weights binary")
-    )
+    least = max(LEAST, int(np.ceil(gram_share * n)))
+    fewest = max(float(least), word_share * n)
+    sent = with_chunks(known, lambda c, b: _sent_two(c, b, buckets, fewest), _SENDS)
+    two = materialize(sent.groupBy("size", "bucket").applyInArrow(lambda t: _numbered_grams(t, buckets, least), _BACKS), "two-words")
+    known = known.unionByName(two)
+    sent = materialize(with_chunks(known, lambda c, b: _sent_three(c, b, buckets, fewest), _SENDS), "three-words")
+    three = materialize(sent.where("size > 0").groupBy("size", "bucket").applyInArrow(
+        lambda t: _numbered_grams(t, buckets, least), _BACKS), "three-words-kept")
+    states = materialize(backoff(words, model_rows(two, 2), model_rows(three, 3), size, discount), "states")
+    keyed = states.select((-F.col("size")).alias("of_size"), F.pmod("number", F.lit(buckets)).cast("int").alias("of_bucket"), "number", "back")
+    prices = sent.where("size < 0").select("size", "bucket", "chunk", "first").groupBy("size", "bucket").cogroup(
+        keyed.groupBy("of_size", "of_bucket")).applyInArrow(_answered, _BACKS)
+
     found = T.StructType([T.StructField(n, t) for n, t in (
         ("doc_id", kind), ("held_out", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()),
         ("base_score", T.DoubleType()), ("score", T.DoubleType()))])
     answer = to_arrow_schema(found)
-    scored = chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
-        lambda c, b: _scored(c, b, buckets, seed, unseen, answer), found)
+    scored = with_chunks(known.unionByName(three).unionByName(prices),
+                         lambda c, b: _scored(c, b, buckets, fewest, size, discount, answer), found)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("bigint").alias("train_tokens"),
                          "base_score", "score")
-
-
-def _trained(blobs: DataFrame) -> int:
-    """Tokens of the training rows."""
-    total = F.udf(lambda n: int(np.frombuffer(n, np.uint32).sum()), "bigint")
-    return blobs.where("grams = 1").agg(F.coalesce(F.sum(total("n")), F.lit(0))).first()[0]
