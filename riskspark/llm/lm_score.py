@@ -15,9 +15,10 @@ The automaton is written as tables and cut into buckets whose number grows with
 gathered. Texts are read once and lie in compressed chunks of about ``CHUNK`` bytes. A chunk sends its distinct words to
 buckets, which add up counts and send back a number for each word. Then it sends two-word n-grams of words that occur twice,
 as pairs of numbers, and gets the numbers of those that are kept; then three-word n-grams of which both parts are kept. So an
-n-gram that cannot be kept is hardly ever sent, and one that is sent has one entry per chunk, however frequent it is. Last, a
-chunk asks for the backoff weights of its histories, puts together the part of the automaton that its texts can reach, and
-traverses it. N-grams are told apart by numbers of words, not by hashes.
+n-gram that cannot be kept is hardly ever sent, and one that is sent has one entry per chunk, however frequent it is. The
+buckets write the arcs, and sums for the backoff weights of their histories, which are added up to the table of states. Last,
+a chunk gets the weights of its states, puts together the part of the automaton that its texts can reach, and traverses it.
+N-grams are told apart by numbers of words, not by hashes.
 
 Defined cases: a null text counts as empty and is the end token alone. With no training rows every word is unseen and has
 probability 1. Repeated rows and ids each get their row.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import materialize
 from .common import crc_fold, small_batches, text_or_empty
@@ -41,8 +42,8 @@ CHUNK, BUCKET = 8 << 20, 1 << 20
 _END = b"\xff"
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Stands for what is no kept n-gram, and for the rows that describe the model itself.
-NONE, MODEL = -1, -1
+#: Stands for what is no kept n-gram; and in place of a chunk, for a bucket's arcs and for its sums of backoff weights.
+NONE, ARCS, SUMS = -1, -1, -2
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -67,13 +68,26 @@ def _unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(_unpack(blob))
 
 
+def _squeezed(texts: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=5).compress(texts, asbytes=True)
+
+
+def _starts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin, and which bytes are theirs."""
+    letter = ~_BLANK[data]
+    return np.flatnonzero(letter & ~np.r_[False, letter[:-1]]), letter
+
+
+def _spaced(texts: bytes) -> np.ndarray:
+    return np.frombuffer(texts.replace(_END, b" " + _END + b" "), np.uint8)
+
+
 class Words:
     """The tokens of a chunk as numbers of its own words, in the order of the documents."""
 
     def __init__(self, texts: bytes, held: list[bool]) -> None:
-        data = np.frombuffer(texts.replace(_END, b" " + _END + b" "), np.uint8)
-        letter = ~_BLANK[data]
-        starts = np.flatnonzero(letter & ~np.r_[False, letter[:-1]])
+        data = _spaced(texts)
+        starts, letter = _starts(data)
         packed = np.cumsum(letter)
         at = np.r_[packed[starts] - 1, packed[-1]]
         tokens = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data[letter].tobytes())])
@@ -86,37 +100,59 @@ class Words:
         self.train = ~np.array(held, bool)[self.doc]
 
     def dealt(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """The words' places by bucket, and the buckets' bounds."""
-        import xxhash
-
-        hashed = np.array([xxhash.xxh64_intdigest(w, 42) for w in self.words], np.uint64)
+        """The words' places by bucket and hash, and the buckets' bounds."""
+        hashed = _hashes(self.words)
         bucket = (hashed % np.uint64(buckets)).astype(np.int64)
         by = np.lexsort((hashed, bucket))
         return by, np.searchsorted(bucket[by], np.arange(buckets + 1))
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    import xxhash
+
+    return np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64)
+
+
+def _ranked(values: np.ndarray) -> np.ndarray:
+    """Places of distinct values in their order."""
+    out = np.empty(len(values), np.int64)
+    out[np.argsort(values)] = np.arange(len(values))
+    return out
+
+
 class Grams:
-    """The distinct n-grams that begin at ``starts``, as (history, word) by bucket: numbers of a shorter n-gram and a word."""
-
-    def __init__(self, words: Words, starts: np.ndarray, history: np.ndarray, code: np.ndarray, number: np.ndarray, buckets: int) -> None:
-        known, rank = np.unique(history, return_inverse=True)
-        wide = len(words.words)
-        distinct, at = np.unique(rank * wide + code, return_inverse=True)
-        first, second = known[distinct // wide], number[distinct % wide]
-        mixed = (first.astype(np.uint64) ^ (second.astype(np.uint64) << np.uint64(32))) * _MIX
+    """The distinct n-grams that begin at ``starts``, by bucket: ``head``, the place of the history among the shorter ones,
+    ``code`` of the last word, and the numbers of both, ``first`` and ``second``."""
+
+    def __init__(self, words: Words, starts: np.ndarray, head: np.ndarray, code: np.ndarray, first: np.ndarray, second: np.ndarray,
+                 buckets: int) -> None:
+        import pandas as pd
+
+        wide = len(second)
+        at, distinct = pd.factorize(head * wide + code)
+        head, code = distinct // wide, distinct % wide
+        mixed = (first[head].astype(np.uint64) ^ (second[code].astype(np.uint64) << np.uint64(32))) * _MIX
         bucket = ((mixed >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
-        by = np.lexsort((second, first, bucket))
+        if buckets * len(first) * wide < 2**62:
+            by = np.argsort((bucket * len(first) + _ranked(first)[head]) * wide + _ranked(second)[code])
+        else:
+            by = np.lexsort((second[code], first[head], bucket))
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
-        self.starts, self.at, self.code = starts, place[at], (distinct % wide)[by]
-        self.first, self.second = first[by], second[by]
+        self.starts, self.at, self.head, self.code = starts, place[at], head[by], code[by]
+        self.first, self.second = first[self.head], second[self.code]
         self.n = np.bincount(self.at, words.train[starts], len(by)).astype(np.int64)
         self.bounds = np.searchsorted(bucket[by], np.arange(buckets + 1))
 
-    def at_place(self, found: np.ndarray, size: int) -> np.ndarray:
-        """What ``found`` says of each n-gram, at the token where it begins."""
+    def of_each(self, at_token: np.ndarray) -> np.ndarray:
+        """What is known at the tokens where the n-grams begin; the same wherever one does."""
+        out = np.zeros(len(self.head), np.int64)
+        out[self.at] = at_token[self.starts]
+        return out
+
+    def at_tokens(self, of_each: np.ndarray, size: int) -> np.ndarray:
         out = np.full(size, NONE, np.int64)
-        out[self.starts] = found[self.at]
+        out[self.starts] = of_each[self.at]
         return out
 
 
@@ -125,20 +161,22 @@ def _two(words: Words, number: np.ndarray, buckets: int) -> Grams:
     code, doc = words.code, words.doc
     ok = number[code] >= 0
     starts = np.flatnonzero(ok[:-1] & ok[1:] & (doc[:-1] == doc[1:]))
-    return Grams(words, starts, number[code[starts]], code[starts + 1], number, buckets)
+    return Grams(words, starts, code[starts], code[starts + 1], number, number, buckets)
 
 
-def _three(words: Words, number: np.ndarray, two_at: np.ndarray, buckets: int) -> Grams:
-    """Three-word n-grams of which both two-word parts are kept."""
-    starts = np.flatnonzero((two_at[:-1] >= 0) & (two_at[1:] >= 0))
-    return Grams(words, starts, two_at[starts], words.code[starts + 2], number, buckets)
+def _three(words: Words, number: np.ndarray, two: Grams, found: np.ndarray, buckets: int) -> tuple[Grams, np.ndarray]:
+    """Three-word n-grams of which both two-word parts are kept, and the places of their second parts."""
+    place = two.at_tokens(np.where(found >= 0, np.arange(len(found)), NONE), len(words.code))
+    starts = np.flatnonzero((place[:-1] >= 0) & (place[1:] >= 0))
+    three = Grams(words, starts, place[starts], words.code[starts + 2], found, number, buckets)
+    return three, three.of_each(np.r_[place[1:], NONE])
 
 
-_SENT = pa.schema([("size", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("first", pa.binary()), ("second", pa.binary()), ("n", pa.binary())])
-_SENDS = "size int, bucket int, chunk bigint, first binary, second binary, n binary"
-#: Size of an n-gram, or with a minus of the history whose weight is asked for.
-_BACK = pa.schema([("to_chunk", pa.int64()), ("size", pa.int32()), ("bucket", pa.int32()), ("number", pa.binary()), ("n", pa.binary()), ("first", pa.binary()), ("second", pa.binary())])
-_BACKS = "to_chunk bigint, size int, bucket int, number binary, n binary, first binary, second binary"
+_PARTS = ("first", "second", "n", "n_first", "n_lower", "n_middle")
+_SENT = pa.schema([("size", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), *[(c, pa.binary()) for c in _PARTS]])
+_SENDS = "size int, bucket int, chunk bigint, " + ", ".join(f"{c} binary" for c in _PARTS)
+_BACK = pa.schema([("to_chunk", pa.int64()), ("size", pa.int32()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("kept", "place", "n", "first", "second")]])
+_BACKS = "to_chunk bigint, size int, bucket int, kept binary, place binary, n binary, first binary, second binary"
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
@@ -165,46 +203,64 @@ def _sent_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.
             rows = []
             for b, lo, hi in _used(bounds):
                 text = b"\n".join([words.words[i] for i in by[lo:hi].tolist()])
-                rows.append((1, b, chunk, len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True), b"", _pack(n[by[lo:hi]])))
+                packed = len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
+                rows.append((1, b, chunk, packed, None, _pack(n[by[lo:hi]]), None, None, None))
             yield from _table(rows, _SENT).to_batches()
 
 
-def _numbered_words(sent: pa.Table, buckets: int) -> pa.Table:
-    """One bucket of words: numbers for those of training rows, and what each chunk needs to know of its own."""
+def _told(chunk: int, size: int, bucket: int, kept: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple:
+    """A chunk's n-grams of one bucket: which are kept, and the places in the bucket and counts of those."""
+    return chunk, size, bucket, np.packbits(kept).tobytes(), _pack_sorted(place[kept]), _pack(n[kept]), None, None
+
+
+def _numbered_words(sent: pa.Table) -> pa.Table:
+    """One bucket of words: those of training rows in a fixed order, and what each chunk needs to know of its own."""
     bucket = sent.column("bucket")[0].as_py()
     lists = [pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd", asbytes=True).split(b"\n") for x in sent.column("first").to_pylist()]
     total: dict[bytes, int] = {}
     for words, n in zip(lists, sent.column("n").to_pylist()):
         for w, c in zip(words, _unpack(n).tolist()):
             total[w] = total.get(w, 0) + c
-    number = {w: i * buckets + bucket for i, w in enumerate(sorted(w for w, c in total.items() if c))}
-    counts = np.array([total[w] for w in number], np.int64)
-    rows = [(MODEL, 1, bucket, _pack(np.array(list(number.values()), np.int64)), _pack(counts), None, None)]
+    known = sorted(w for w, c in total.items() if c)
+    place = dict(zip((known[i] for i in np.argsort(_hashes(known), kind="stable").tolist()), range(len(known))))
+    counts = np.array([total[w] for w in place], np.int64)
+    rows = [(ARCS, 1, bucket, None, None, _pack(counts), None, None)]
     for chunk, words in zip(sent.column("chunk").to_pylist(), lists):
-        rows.append((chunk, 1, bucket, _pack(np.array([number.get(w, NONE) for w in words], np.int64)), _pack(np.array([total[w] for w in words], np.int64)), None, None))
+        at = np.array([place.get(w, NONE) for w in words], np.int64)
+        rows.append(_told(chunk, 1, bucket, at >= 0, at, counts[at] if len(counts) else at))
     return _table(rows, _BACK)
 
 
-def _numbered_grams(sent: pa.Table, buckets: int, least: int) -> pa.Table:
-    """One bucket of n-grams: numbers for those that are kept, and what each chunk needs to know of its own."""
-    size, bucket = sent.column("size")[0].as_py(), sent.column("bucket")[0].as_py()
+def _numbered_grams(sent: pa.Table, least: int, size: float, discount: float) -> pa.Table:
+    """One bucket of n-grams: the kept ones in a fixed order, sums for their histories, and what each chunk needs to know."""
+    order, bucket = sent.column("size")[0].as_py(), sent.column("bucket")[0].as_py()
     firsts = [_unpack_sorted(x) for x in sent.column("first").to_pylist()]
-    first, second = np.concatenate(firsts), np.concatenate([_unpack(x) for x in sent.column("second").to_pylist()])
-    n = np.concatenate([_unpack(x) for x in sent.column("n").to_pylist()])
+    first = np.concatenate(firsts)
+    second, n, n_first, n_lower = (np.concatenate([_unpack(x) for x in sent.column(c).to_pylist()]) for c in ("second", "n", "n_first", "n_lower"))
     by = np.lexsort((second, first))
     new = np.r_[True, (first[by][1:] != first[by][:-1]) | (second[by][1:] != second[by][:-1])]
     starts = np.flatnonzero(new)
     counts = np.add.reduceat(n[by], starts)
     kept = counts >= least
-    number = np.where(kept, (np.cumsum(kept) - 1) * buckets + bucket, NONE)
-    group = np.empty(len(by), np.int64)
+    place, group = np.cumsum(kept) - 1, np.empty(len(by), np.int64)
     group[by] = np.cumsum(new) - 1
     one = by[starts[kept]]
-    rows = [(MODEL, size, bucket, _pack(number[kept]), _pack(counts[kept]), _pack(first[one]), _pack(second[one]))]
+    rows = []
+    if len(one):
+        rows.append((ARCS, order, bucket, None, None, _pack(counts[kept]), _pack_sorted(first[one]), _pack(second[one])))
+        # What the history gives to its arcs, and what the shorter history would give to the same words.
+        given = (counts[kept] - discount) / n_first[one]
+        if order == 2:
+            lower = (n_lower[one] + 0.1) / size
+        else:
+            n_middle = np.concatenate([_unpack(x) for x in sent.column("n_middle").to_pylist()])
+            lower = (n_lower[one] - discount) / n_middle[one]
+        cuts = np.flatnonzero(np.r_[True, first[one][1:] != first[one][:-1]])
+        rows.append((SUMS, order - 1, bucket, None, _pack_sorted(first[one][cuts]), None, _pack(np.add.reduceat(given, cuts)), _pack(np.add.reduceat(lower, cuts))))
     at = 0
     for chunk, part in zip(sent.column("chunk").to_pylist(), firsts):
         mine = group[at:at + len(part)]
-        rows.append((chunk, size, bucket, _pack(number[mine]), _pack(np.where(kept[mine], counts[mine], 0)), None, None))
+        rows.append(_told(chunk, order, bucket, kept[mine], place[mine], counts[mine]))
         at += len(part)
     return _table(rows, _BACK)
 
@@ -212,27 +268,42 @@ def _numbered_grams(sent: pa.Table, buckets: int, least: int) -> pa.Table:
 class Told:
     """What the buckets have sent back to a chunk."""
 
-    def __init__(self, back: pa.Table) -> None:
-        cols = (back.column(c).to_pylist() for c in ("size", "bucket", "number", "n"))
-        self.rows = {(s, b): (number, n) for s, b, number, n in zip(*cols)}
+    def __init__(self, back: pa.Table, buckets: int) -> None:
+        cols = (back.column(c).to_pylist() for c in ("size", "bucket", "kept", "place", "n"))
+        self.rows, self.buckets = {(s, b): rest for s, b, *rest in zip(*cols)}, buckets
 
     def of(self, size: int, bounds: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and counts of n-grams dealt out within ``bounds``: place in the bucket times buckets, plus bucket."""
         number, n = np.full(total, NONE, np.int64), np.zeros(total, np.int64)
         for b, lo, hi in _used(bounds):
             if (size, b) in self.rows:
-                number[lo:hi], n[lo:hi] = map(_unpack, self.rows[size, b])
+                kept, place, count = self.rows[size, b]
+                at = lo + np.flatnonzero(np.unpackbits(np.frombuffer(kept, np.uint8), count=hi - lo))
+                number[at], n[at] = _unpack_sorted(place) * self.buckets + b, _unpack(count)
         return number, n
 
-    def words(self, words: Words, buckets: int, fewest: float) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, words: Words, fewest: float) -> tuple[np.ndarray, np.ndarray]:
         """Number of each word that n-grams may have, and the count of each."""
-        by, bounds = words.dealt(buckets)
+        by, bounds = words.dealt(self.buckets)
         number, n = (np.empty(len(by), np.int64) for _ in range(2))
         number[by], n[by] = self.of(1, bounds, len(by))
         return np.where(n >= fewest, number, NONE), n
 
-
-def _rows_of(chunk: int, size: int, grams: Grams) -> list[tuple]:
-    return [(size, b, chunk, _pack_sorted(grams.first[lo:hi]), _pack(grams.second[lo:hi]), _pack(grams.n[lo:hi]))
+    def prices(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The states of one length among a chunk's histories, in order, and the prices of their failure arcs."""
+        numbers, prices = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for (s, b), (kept, place, _) in self.rows.items():
+            if s == -size:
+                wanted = _unpack_sorted(self.rows[size, b][1]) * self.buckets + b
+                numbers.append(wanted[np.unpackbits(np.frombuffer(kept, np.uint8), count=len(wanted)).astype(bool)])
+                prices.append(_unpack(place, np.float64))
+        number, price = np.concatenate(numbers), np.concatenate(prices)
+        by = np.argsort(number)
+        return number[by], price[by]
+
+
+def _rows_of(chunk: int, size: int, grams: Grams, n_first: np.ndarray, n_lower: np.ndarray, n_middle: np.ndarray | None) -> list[tuple]:
+    return [(size, b, chunk, _pack_sorted(grams.first[lo:hi]), *(None if x is None else _pack(x[lo:hi]) for x in (grams.second, grams.n, n_first, n_lower, n_middle)))
             for b, lo, hi in _used(grams.bounds)]
 
 
@@ -240,43 +311,36 @@ def _sent_two(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float) ->
     if not len(chunks):
         return _SENT.empty_table()
     chunk, words = _read(chunks)
-    number, _ = Told(back).words(words, buckets, fewest)
-    return _table(_rows_of(chunk, 2, _two(words, number, buckets)), _SENT)
-
-
-def _asked(chunk: int, size: int, numbers: np.ndarray, buckets: int) -> list[tuple]:
-    """Histories whose weights are wanted, in the buckets that gave them their numbers."""
-    numbers = np.unique(numbers[numbers >= 0])
-    by = np.lexsort((numbers, numbers % buckets))
-    bounds = np.searchsorted((numbers % buckets)[by], np.arange(buckets + 1))
-    return [(-size, b, chunk, _pack_sorted(numbers[by[lo:hi]]), b"", b"") for b, lo, hi in _used(bounds)]
+    number, n = Told(back, buckets).words(words, fewest)
+    two = _two(words, number, buckets)
+    return _table(_rows_of(chunk, 2, two, n[two.head], n[two.code], None), _SENT)
 
 
 def _sent_three(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float) -> pa.Table:
-    """The three-word n-grams of a chunk, and its histories."""
     if not len(chunks):
         return _SENT.empty_table()
     chunk, words = _read(chunks)
-    told = Told(back)
-    number, _ = told.words(words, buckets, fewest)
+    told = Told(back, buckets)
+    number, n = told.words(words, fewest)
     two = _two(words, number, buckets)
-    found, _ = told.of(2, two.bounds, len(two.first))
-    rows = _rows_of(chunk, 3, _three(words, number, two.at_place(found, len(words.code)), buckets))
-    return _table([*rows, *_asked(chunk, 1, number, buckets), *_asked(chunk, 2, found, buckets)], _SENT)
+    found, n_two = told.of(2, two.bounds, len(two.head))
+    three, rest = _three(words, number, two, found, buckets)
+    return _table(_rows_of(chunk, 3, three, n_two[three.head], n_two[rest], n[two.head[rest]]), _SENT)
 
 
-def _answered(asked: pa.Table, weights: pa.Table) -> pa.Table:
-    """Backoff weights of the histories that chunks ask for; NaN for what is no history."""
-    if not len(asked):
+def _priced(asked: pa.Table, states: pa.Table, buckets: int) -> pa.Table:
+    """The states among the histories of chunks in one bucket, and the prices of their failure arcs."""
+    if not len(asked) or not len(states):
         return _BACK.empty_table()
-    number, back = (weights.column(c).to_numpy() if len(weights) else np.zeros(0) for c in ("number", "back"))
+    number, back = states.column("number").to_numpy(), states.column("back").to_numpy()
     by = np.argsort(number)
-    number, back = np.r_[number[by], np.iinfo(np.int64).max], np.r_[back[by], np.nan]
+    number, back = number[by], back[by]
     rows = []
-    for chunk, size, bucket, first in zip(*(asked.column(c).to_pylist() for c in ("chunk", "size", "bucket", "first"))):
-        wanted = _unpack_sorted(first)
-        at = np.searchsorted(number, wanted)
-        rows.append((chunk, size, bucket, first, _pack(np.where(number[at] == wanted, back[at], np.nan)), None, None))
+    for chunk, size, bucket, place in zip(*(asked.column(c).to_pylist() for c in ("chunk", "size", "bucket", "place"))):
+        wanted = _unpack_sorted(place) * buckets + bucket
+        at = np.minimum(np.searchsorted(number, wanted), len(number) - 1)
+        state = number[at] == wanted
+        rows.append((chunk, -size, bucket, np.packbits(state).tobytes(), _pack(back[at[state]]), None, None, None))
     return _table(rows, _BACK)
 
 
@@ -284,53 +348,37 @@ class Automaton:
     """The part of the automaton that a chunk's texts can reach. State 0 is the root."""
 
     def __init__(self, words: Words, back: pa.Table, buckets: int, fewest: float, size: float, discount: float) -> None:
-        told, wide = Told(back), len(words.words)
-        number, self.n = told.words(words, buckets, fewest)
+        told, wide = Told(back, buckets), len(words.words)
+        number, self.n = told.words(words, fewest)
         two = _two(words, number, buckets)
-        found, n_two = told.of(2, two.bounds, len(two.first))
-        three = _three(words, number, two.at_place(found, len(words.code)), buckets)
-        _, n_three = told.of(3, three.bounds, len(three.first))
+        found, n_two = told.of(2, two.bounds, len(two.head))
+        three, rest = _three(words, number, two, found, buckets)
+        _, n_three = told.of(3, three.bounds, len(three.head))
         self.base = np.log10((self.n + 0.1) / size)
-        prices: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k in (1, 2):
-            asked = [(_unpack_sorted(x), _unpack(y, np.float64)) for (s, _), (x, y) in told.rows.items() if s == -k]
-            of, price = (np.concatenate([a[i] for a in asked]) if asked else np.zeros(0) for i in (0, 1))
-            of, price = of[~np.isnan(price)], price[~np.isnan(price)]
-            by = np.argsort(of)
-            prices[k] = of[by].astype(np.int64), price[by]
-
-        def states(k: int, numbers: np.ndarray, first: int) -> np.ndarray:
-            """State of each history, 0 for what is none."""
-            of = prices[k][0]
-            at = np.minimum(np.searchsorted(of, numbers), max(0, len(of) - 1))
-            return np.where(of[at] == numbers, at + first, 0) if len(of) else np.zeros(len(numbers), np.int64)
-
-        ones = len(prices[1][0])
-        word_state = states(1, number, 1)
-        two_kept = found >= 0
-        # A state of two words goes where its last word leads: that is its failure arc as well.
-        code_of = dict(zip(number.tolist(), range(wide)))
-        head = np.array([code_of[x] for x in two.first[two_kept].tolist()], np.int64)
-        tail, number_two = two.code[two_kept], found[two_kept]
-        two_state = states(2, number_two, 1 + ones)
-        after_two = np.where(two_state > 0, two_state, word_state[tail])
-        three_kept = n_three > 0
-        by = np.argsort(number_two)
-        order = by[np.searchsorted(number_two[by], three.first[three_kept])]  # the two words before each third
-        last = three.code[three_kept]
-        pair = tail[order] * wide + last
-        keyed = np.argsort(head * wide + tail)
-        follow = keyed[np.searchsorted((head * wide + tail)[keyed], pair)]
-        self.back = [0.0, *prices[1][1].tolist(), *prices[2][1].tolist()]
-        fail = np.zeros(len(self.back), np.int64)
-        fail[two_state[two_state > 0]] = word_state[tail[two_state > 0]]
-        self.fail = fail.tolist()
+        (ones, price_one), (twos, price_two) = told.prices(1), told.prices(2)
+
+        def states(of: np.ndarray, numbers: np.ndarray, first: int) -> np.ndarray:
+            """State of each history, the root for what is none."""
+            if not len(of):
+                return np.zeros(len(numbers), np.int64)
+            at = np.minimum(np.searchsorted(of, numbers), len(of) - 1)
+            return np.where(of[at] == numbers, at + first, 0)
+
+        word_state = states(ones, number, 1)
+        two_state = states(twos, found, 1 + len(ones))
+        # Two words that are no state lead where the last of them leads; that is also where a state of two words fails to.
+        after_two = np.where(two_state > 0, two_state, word_state[two.code])
+        fail = np.zeros(1 + len(ones) + len(twos), np.int64)
+        fail[two_state] = word_state[two.code]
+        fail[0] = 0
+        self.back, self.fail = [0.0, *price_one.tolist(), *price_two.tolist()], fail.tolist()
         # Arcs by state and word: their weight, and where they lead.
-        source = np.r_[np.zeros(wide, np.int64), word_state[head], two_state[order]]
-        reads = np.r_[np.arange(wide), tail, last]
-        weight = np.r_[self.base, np.log10((n_two[two_kept] - discount) / np.maximum(self.n[head], 1)),
-                       np.log10((n_three[three_kept] - discount) / np.maximum(n_two[two_kept][order], 1))]
-        to = np.r_[word_state, after_two, after_two[follow]]
+        kept, last = found >= 0, n_three > 0
+        source = np.r_[np.zeros(wide, np.int64), word_state[two.head[kept]], two_state[three.head[last]]]
+        reads = np.r_[np.arange(wide), two.code[kept], three.code[last]]
+        weight = np.r_[self.base, np.log10((n_two[kept] - discount) / self.n[two.head[kept]]),
+                       np.log10((n_three[last] - discount) / n_two[three.head[last]])]
+        to = np.r_[word_state, after_two[kept], after_two[rest[last]]]
         self.wide = wide
         self.arcs = dict(zip((source * wide + reads).tolist(), zip(weight.tolist(), to.tolist())))
 
@@ -373,7 +421,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) ->
     def row() -> pa.RecordBatch:
         whole = b"".join(texts)
         key = pa.concat_arrays(keys)
-        values = [nth, pa.compress(whole, "zstd", asbytes=True), len(whole), None, held, len(Words(whole, held).code)]
+        values = [nth, _squeezed(whole), len(whole), None, held, len(_starts(_spaced(whole))[0])]
         arrays = [pa.array([v], f.type) for v, f in zip(values, schema)]
         arrays[3] = pa.ListArray.from_arrays(pa.array([0, len(key)], pa.int32()), key).cast(schema.field("keys").type)
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
@@ -391,42 +439,44 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) ->
         yield row()
 
 
-def _model_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(number, first, second, n) of the words or n-grams of the model's own rows."""
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in range(batch.num_rows):
-            number, n = (_unpack(batch.column(c)[row].as_py()) for c in ("number", "n"))
-            first, second = (batch.column(c)[row].as_py() for c in ("first", "second"))
-            none = np.full(len(number), NONE)
+        for size, place, first, second in zip(*(batch.column(c).to_pylist() for c in ("size", "place", "first", "second"))):
+            number = _unpack_sorted(place)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
-                number, none if first is None else _unpack(first), none if second is None else _unpack(second), n)],
-                names=["number", "first", "second", "n"])
+                np.full(len(number), size, np.int32), number, _unpack(first, np.float64), _unpack(second, np.float64))],
+                names=["size", "number", "given", "lower"])
 
 
-def model_rows(back: DataFrame, size: int) -> DataFrame:
-    """The words (size 1) or kept n-grams of the model: (number, first, second, n), where first is the number of the history."""
-    own = back.where((F.col("to_chunk") == MODEL) & (F.col("size") == size))
-    return own.select("number", "n", "first", "second").mapInArrow(_model_rows, "number bigint, first bigint, second bigint, n bigint")
+def states_of(back: DataFrame) -> DataFrame:
+    """The states of the automaton: (size, number, back), a history with the price of its failure arc."""
+    sums = back.where(F.col("to_chunk") == SUMS).select("size", "place", "first", "second").mapInArrow(
+        _sums, "size int, number bigint, given double, lower double")
+    rest = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
+    return sums.groupBy("size", "number").agg(F.log10(rest("given") / rest("lower")).alias("back"))
 
 
-def _price(kept: Column, lower: Column) -> Column:
-    return F.log10(F.greatest(1 - F.sum(kept), F.lit(1e-12)) / F.greatest(1 - F.sum(lower), F.lit(1e-12))).alias("back")
+def _arcs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for size, bucket, n, first, second in zip(*(batch.column(c).to_pylist() for c in ("size", "bucket", "n", "first", "second"))):
+            count = _unpack(n)
+            none = np.full(len(count), NONE)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                np.full(len(count), size, np.int32), np.arange(len(count)) * buckets + bucket,
+                none if first is None else _unpack_sorted(first), none if second is None else _unpack(second), count)],
+                names=["size", "number", "first", "second", "n"])
 
 
-def backoff(words: DataFrame, two: DataFrame, three: DataFrame, size: float, discount: float) -> DataFrame:
-    """The states of the automaton: (size, number, back), the weight of a history's failure arc."""
-    p = (F.col("n") - discount) / F.col("n_a")
-    one = words.select(F.col("number").alias("second"), ((F.col("n") + 0.1) / size).alias("lower"))
-    arcs = two.join(words.select(F.col("number").alias("first"), F.col("n").alias("n_a")), "first").join(one, "second")
-    arcs = materialize(arcs.select("number", "first", "second", "n", "lower", p.alias("p")), "arcs")
-    short = arcs.groupBy("first").agg(_price(F.col("p"), F.col("lower")))
-    history = arcs.select(F.col("number").alias("first"), F.col("second").alias("middle"), F.col("n").alias("n_a"))
-    # Both parts of a kept n-gram of three words are kept: they occur as often as it does.
-    rest = arcs.select(F.col("first").alias("middle"), "second", F.col("p").alias("lower"))
-    triples = three.select("first", "second", "n").join(history, "first").join(rest, ["middle", "second"])
-    long = triples.withColumn("p", p).groupBy("first").agg(_price(F.col("p"), F.col("lower")))
-    return short.select(F.lit(1).alias("size"), F.col("first").alias("number"), "back").unionByName(
-        long.select(F.lit(2).alias("size"), F.col("first").alias("number"), "back"))
+def arcs_of(back: DataFrame, buckets: int) -> DataFrame:
+    """The arcs of the automaton: (size, number, first, second, n), an n-gram as its history's number and its last word's."""
+    return back.where(F.col("to_chunk") == ARCS).select("size", "bucket", "n", "first", "second").mapInArrow(
+        lambda b: _arcs(b, buckets), "size int, number bigint, first bigint, second bigint, n bigint")
+
+
+def _word_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = [_unpack(x) for x in batch.column("n").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([int(c.sum()) for c in counts], pa.int64()), pa.array([len(c) for c in counts], pa.int64())], names=["n", "v"])
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out: int = 0,
@@ -449,32 +499,32 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     buckets = max(1, -(-(chunks.agg(F.sum("tokens")).first()[0] or 0) // bucket))
 
     def with_chunks(back: DataFrame, fn, schema) -> DataFrame:
-        told = back.where(F.col("to_chunk") != MODEL).groupBy("to_chunk")
+        told = back.where(F.col("to_chunk") >= 0).drop("first", "second").groupBy("to_chunk")
         return chunks.groupBy("chunk").cogroup(told).applyInArrow(fn, schema)
 
-    sent = chunks.mapInArrow(lambda b: _sent_words(b, buckets), _SENDS)
-    known = materialize(sent.groupBy("size", "bucket").applyInArrow(lambda t: _numbered_words(t, buckets), _BACKS), "words")
-    words = model_rows(known, 1)
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    def by_bucket(sent: DataFrame, fn, name: str) -> DataFrame:
+        return materialize(sent.groupBy("size", "bucket").applyInArrow(fn, _BACKS), name)
+
+    one = by_bucket(chunks.mapInArrow(lambda b: _sent_words(b, buckets), _SENDS), _numbered_words, "words")
+    n, v = one.where(F.col("to_chunk") == ARCS).select("n").mapInArrow(_word_totals, "n bigint, v bigint").agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     size = n + 0.1 * (v + 1)
     least = max(LEAST, int(np.ceil(gram_share * n)))
     fewest = max(float(least), word_share * n)
-    sent = with_chunks(known, lambda c, b: _sent_two(c, b, buckets, fewest), _SENDS)
-    two = materialize(sent.groupBy("size", "bucket").applyInArrow(lambda t: _numbered_grams(t, buckets, least), _BACKS), "two-words")
-    known = known.unionByName(two)
-    sent = materialize(with_chunks(known, lambda c, b: _sent_three(c, b, buckets, fewest), _SENDS), "three-words")
-    three = materialize(sent.where("size > 0").groupBy("size", "bucket").applyInArrow(
-        lambda t: _numbered_grams(t, buckets, least), _BACKS), "three-words-kept")
-    states = materialize(backoff(words, model_rows(two, 2), model_rows(three, 3), size, discount), "states")
-    keyed = states.select((-F.col("size")).alias("of_size"), F.pmod("number", F.lit(buckets)).cast("int").alias("of_bucket"), "number", "back")
-    prices = sent.where("size < 0").select("size", "bucket", "chunk", "first").groupBy("size", "bucket").cogroup(
-        keyed.groupBy("of_size", "of_bucket")).applyInArrow(_answered, _BACKS)
+    number = lambda t: _numbered_grams(t, least, size, discount)
+    two = by_bucket(with_chunks(one, lambda c, b: _sent_two(c, b, buckets, fewest), _SENDS), number, "two-words")
+    three = by_bucket(with_chunks(one.unionByName(two), lambda c, b: _sent_three(c, b, buckets, fewest), _SENDS), number, "three-words")
+    states = materialize(states_of(two.unionByName(three)), "states")
+    keyed = states.select(F.col("size").alias("of_size"), F.pmod("number", F.lit(buckets)).cast("int").alias("of_bucket"), "number", "back")
+    asked = one.unionByName(two).where(F.col("to_chunk") >= 0).select("size", "bucket", F.col("to_chunk").alias("chunk"), "place")
+    prices = asked.groupBy("size", "bucket").cogroup(keyed.groupBy("of_size", "of_bucket")).applyInArrow(
+        lambda a, s: _priced(a, s, buckets), _BACKS)
 
     found = T.StructType([T.StructField(n, t) for n, t in (
         ("doc_id", kind), ("held_out", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()),
         ("base_score", T.DoubleType()), ("score", T.DoubleType()))])
     answer = to_arrow_schema(found)
-    scored = with_chunks(known.unionByName(three).unionByName(prices),
+    scored = with_chunks(one.unionByName(two).unionByName(three).unionByName(prices),
                          lambda c, b: _scored(c, b, buckets, fewest, size, discount, answer), found)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("bigint").alias("train_tokens"),
                          "base_score", "score")
