@@ -12,7 +12,7 @@ first word, at the price of its backoff weight. A text is scored in one traversa
 failure arcs are taken until an arc reads the next word.
 
 The automaton is written as tables and cut into buckets whose number grows with the tokens; nothing of it is broadcast or
-gathered. Texts are read once and lie in compressed chunks of about ``CHUNK`` bytes. A chunk sends its distinct words to
+gathered. Texts are read once and written as numbers of words in chunks of about ``CHUNK`` bytes. A chunk sends its distinct words to
 buckets, which add up counts and send back a number for each word. Then it sends two-word n-grams of words that occur twice,
 as pairs of numbers, and gets the numbers of those that are kept; then three-word n-grams of which both parts are kept. So an
 n-gram that cannot be kept is hardly ever sent, and one that is sent has one entry per chunk, however frequent it is. The
@@ -68,49 +68,40 @@ def _unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(_unpack(blob))
 
 
-def _squeezed(texts: bytes) -> bytes:
-    return pa.Codec("zstd", compression_level=5).compress(texts, asbytes=True)
+def _hashes(words: list[bytes]) -> np.ndarray:
+    import xxhash
 
+    return np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64)
 
-def _starts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words begin, and which bytes are theirs."""
-    letter = ~_BLANK[data]
-    return np.flatnonzero(letter & ~np.r_[False, letter[:-1]]), letter
 
+def _buckets_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of hashes, so words in order of their hashes lie by bucket."""
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
-def _spaced(texts: bytes) -> np.ndarray:
-    return np.frombuffer(texts.replace(_END, b" " + _END + b" "), np.uint8)
+
+def tokenized(texts: bytes) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words of texts in order of their hashes, and the number of each token's word."""
+    data = np.frombuffer(texts.replace(_END, b" " + _END + b" "), np.uint8)
+    letter = ~_BLANK[data]
+    edge = np.flatnonzero(np.diff(letter, prepend=False, append=False))
+    at = np.r_[0, np.cumsum(edge[1::2] - edge[::2])]
+    tokens = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data[letter].tobytes())])
+    coded = tokens.dictionary_encode()
+    words: list[bytes] = coded.dictionary.to_pylist()
+    by = np.argsort(_hashes(words), kind="stable")
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by))
+    return [words[i] for i in by.tolist()], rank[coded.indices.to_numpy()]
 
 
 class Words:
     """The tokens of a chunk as numbers of its own words, in the order of the documents."""
 
-    def __init__(self, texts: bytes, held: list[bool]) -> None:
-        data = _spaced(texts)
-        starts, letter = _starts(data)
-        packed = np.cumsum(letter)
-        at = np.r_[packed[starts] - 1, packed[-1]]
-        tokens = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data[letter].tobytes())])
-        coded = tokens.dictionary_encode()
-        self.words: list[bytes] = coded.dictionary.to_pylist()
-        self.code = coded.indices.to_numpy().astype(np.int64)
-        ends = self.code == self.words.index(_END)
-        self.doc = np.cumsum(ends) - ends
-        self.lens = np.bincount(self.doc, minlength=len(held))
-        self.train = ~np.array(held, bool)[self.doc]
-
-    def dealt(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """The words' places by bucket and hash, and the buckets' bounds."""
-        hashed = _hashes(self.words)
-        bucket = (hashed % np.uint64(buckets)).astype(np.int64)
-        by = np.lexsort((hashed, bucket))
-        return by, np.searchsorted(bucket[by], np.arange(buckets + 1))
-
-
-def _hashes(words: list[bytes]) -> np.ndarray:
-    import xxhash
-
-    return np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64)
+    def __init__(self, code: np.ndarray, lens: np.ndarray, held: np.ndarray) -> None:
+        self.code, self.lens = code, lens
+        self.doc = np.repeat(np.arange(len(lens)), lens)
+        self.train = np.repeat(~held, lens)
+        self.size = int(code.max()) + 1
 
 
 def _ranked(values: np.ndarray) -> np.ndarray:
@@ -175,8 +166,8 @@ def _three(words: Words, number: np.ndarray, two: Grams, found: np.ndarray, buck
 _PARTS = ("first", "second", "n", "n_first", "n_lower", "n_middle")
 _SENT = pa.schema([("size", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), *[(c, pa.binary()) for c in _PARTS]])
 _SENDS = "size int, bucket int, chunk bigint, " + ", ".join(f"{c} binary" for c in _PARTS)
-_BACK = pa.schema([("to_chunk", pa.int64()), ("size", pa.int32()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("kept", "place", "n", "first", "second")]])
-_BACKS = "to_chunk bigint, size int, bucket int, kept binary, place binary, n binary, first binary, second binary"
+_BACK = pa.schema([("to_chunk", pa.int64()), ("size", pa.int32()), ("bucket", pa.int32()), ("total", pa.int32()), *[(c, pa.binary()) for c in ("kept", "place", "n", "first", "second")]])
+_BACKS = "to_chunk bigint, size int, bucket int, total int, kept binary, place binary, n binary, first binary, second binary"
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
@@ -185,8 +176,8 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 
 def _read(chunks: pa.Table | pa.RecordBatch, row: int = 0) -> tuple[int, Words]:
-    chunk, texts, size, held = (chunks.column(c)[row].as_py() for c in ("chunk", "texts", "size", "held"))
-    return chunk, Words(pa.decompress(texts, size, "zstd", asbytes=True), held)
+    chunk, codes, lens, held = (chunks.column(c)[row].as_py() for c in ("chunk", "codes", "lens", "held"))
+    return chunk, Words(_unpack(codes), _unpack(lens), np.array(held, bool))
 
 
 def _used(bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -194,29 +185,35 @@ def _used(bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield b, int(bounds[b]), int(bounds[b + 1])
 
 
+def _joined(words: list[bytes]) -> bytes:
+    text = b"\n".join(words)
+    return len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
+
+
+def _split(blob: bytes) -> list[bytes]:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True).split(b"\n")
+
+
 def _sent_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             chunk, words = _read(batch, row)
-            by, bounds = words.dealt(buckets)
-            n = np.bincount(words.code, words.train, len(words.words)).astype(np.int64)
-            rows = []
-            for b, lo, hi in _used(bounds):
-                text = b"\n".join([words.words[i] for i in by[lo:hi].tolist()])
-                packed = len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
-                rows.append((1, b, chunk, packed, None, _pack(n[by[lo:hi]]), None, None, None))
+            names = _split(batch.column("words")[row].as_py())
+            bounds = np.searchsorted(_buckets_of(_hashes(names), buckets), np.arange(buckets + 1))
+            n = np.bincount(words.code, words.train, len(names)).astype(np.int64)
+            rows = [(1, b, chunk, _joined(names[lo:hi]), None, _pack(n[lo:hi]), None, None, None) for b, lo, hi in _used(bounds)]
             yield from _table(rows, _SENT).to_batches()
 
 
 def _told(chunk: int, size: int, bucket: int, kept: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple:
     """A chunk's n-grams of one bucket: which are kept, and the places in the bucket and counts of those."""
-    return chunk, size, bucket, np.packbits(kept).tobytes(), _pack_sorted(place[kept]), _pack(n[kept]), None, None
+    return chunk, size, bucket, len(kept), np.packbits(kept).tobytes(), _pack_sorted(place[kept]), _pack(n[kept]), None, None
 
 
 def _numbered_words(sent: pa.Table) -> pa.Table:
     """One bucket of words: those of training rows in a fixed order, and what each chunk needs to know of its own."""
     bucket = sent.column("bucket")[0].as_py()
-    lists = [pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd", asbytes=True).split(b"\n") for x in sent.column("first").to_pylist()]
+    lists = [_split(x) for x in sent.column("first").to_pylist()]
     total: dict[bytes, int] = {}
     for words, n in zip(lists, sent.column("n").to_pylist()):
         for w, c in zip(words, _unpack(n).tolist()):
@@ -224,7 +221,7 @@ def _numbered_words(sent: pa.Table) -> pa.Table:
     known = sorted(w for w, c in total.items() if c)
     place = dict(zip((known[i] for i in np.argsort(_hashes(known), kind="stable").tolist()), range(len(known))))
     counts = np.array([total[w] for w in place], np.int64)
-    rows = [(ARCS, 1, bucket, None, None, _pack(counts), None, None)]
+    rows = [(ARCS, 1, bucket, len(counts), None, None, _pack(counts), None, None)]
     for chunk, words in zip(sent.column("chunk").to_pylist(), lists):
         at = np.array([place.get(w, NONE) for w in words], np.int64)
         rows.append(_told(chunk, 1, bucket, at >= 0, at, counts[at] if len(counts) else at))
@@ -247,7 +244,7 @@ def _numbered_grams(sent: pa.Table, least: int, size: float, discount: float) ->
     one = by[starts[kept]]
     rows = []
     if len(one):
-        rows.append((ARCS, order, bucket, None, None, _pack(counts[kept]), _pack_sorted(first[one]), _pack(second[one])))
+        rows.append((ARCS, order, bucket, len(one), None, None, _pack(counts[kept]), _pack_sorted(first[one]), _pack(second[one])))
         # What the history gives to its arcs, and what the shorter history would give to the same words.
         given = (counts[kept] - discount) / n_first[one]
         if order == 2:
@@ -256,7 +253,7 @@ def _numbered_grams(sent: pa.Table, least: int, size: float, discount: float) ->
             n_middle = np.concatenate([_unpack(x) for x in sent.column("n_middle").to_pylist()])
             lower = (n_lower[one] - discount) / n_middle[one]
         cuts = np.flatnonzero(np.r_[True, first[one][1:] != first[one][:-1]])
-        rows.append((SUMS, order - 1, bucket, None, _pack_sorted(first[one][cuts]), None, _pack(np.add.reduceat(given, cuts)), _pack(np.add.reduceat(lower, cuts))))
+        rows.append((SUMS, order - 1, bucket, len(cuts), None, _pack_sorted(first[one][cuts]), None, _pack(np.add.reduceat(given, cuts)), _pack(np.add.reduceat(lower, cuts))))
     at = 0
     for chunk, part in zip(sent.column("chunk").to_pylist(), firsts):
         mine = group[at:at + len(part)]
@@ -269,7 +266,7 @@ class Told:
     """What the buckets have sent back to a chunk."""
 
     def __init__(self, back: pa.Table, buckets: int) -> None:
-        cols = (back.column(c).to_pylist() for c in ("size", "bucket", "kept", "place", "n"))
+        cols = (back.column(c).to_pylist() for c in ("size", "bucket", "kept", "place", "n", "total"))
         self.rows, self.buckets = {(s, b): rest for s, b, *rest in zip(*cols)}, buckets
 
     def of(self, size: int, bounds: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
@@ -277,22 +274,22 @@ class Told:
         number, n = np.full(total, NONE, np.int64), np.zeros(total, np.int64)
         for b, lo, hi in _used(bounds):
             if (size, b) in self.rows:
-                kept, place, count = self.rows[size, b]
+                kept, place, count, _ = self.rows[size, b]
                 at = lo + np.flatnonzero(np.unpackbits(np.frombuffer(kept, np.uint8), count=hi - lo))
                 number[at], n[at] = _unpack_sorted(place) * self.buckets + b, _unpack(count)
         return number, n
 
     def words(self, words: Words, fewest: float) -> tuple[np.ndarray, np.ndarray]:
         """Number of each word that n-grams may have, and the count of each."""
-        by, bounds = words.dealt(self.buckets)
-        number, n = (np.empty(len(by), np.int64) for _ in range(2))
-        number[by], n[by] = self.of(1, bounds, len(by))
+        totals = {b: rest[3] for (s, b), rest in self.rows.items() if s == 1}
+        bounds = np.cumsum([0, *(totals.get(b, 0) for b in range(self.buckets))])
+        number, n = self.of(1, bounds, words.size)
         return np.where(n >= fewest, number, NONE), n
 
     def prices(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """The states of one length among a chunk's histories, in order, and the prices of their failure arcs."""
         numbers, prices = [np.zeros(0, np.int64)], [np.zeros(0)]
-        for (s, b), (kept, place, _) in self.rows.items():
+        for (s, b), (kept, place, _, _) in self.rows.items():
             if s == -size:
                 wanted = _unpack_sorted(self.rows[size, b][1]) * self.buckets + b
                 numbers.append(wanted[np.unpackbits(np.frombuffer(kept, np.uint8), count=len(wanted)).astype(bool)])
@@ -340,7 +337,7 @@ def _priced(asked: pa.Table, states: pa.Table, buckets: int) -> pa.Table:
         wanted = _unpack_sorted(place) * buckets + bucket
         at = np.minimum(np.searchsorted(number, wanted), len(number) - 1)
         state = number[at] == wanted
-        rows.append((chunk, -size, bucket, np.packbits(state).tobytes(), _pack(back[at[state]]), None, None, None))
+        rows.append((chunk, -size, bucket, len(wanted), np.packbits(state).tobytes(), _pack(back[at[state]]), None, None, None))
     return _table(rows, _BACK)
 
 
@@ -348,7 +345,7 @@ class Automaton:
     """The part of the automaton that a chunk's texts can reach. State 0 is the root."""
 
     def __init__(self, words: Words, back: pa.Table, buckets: int, fewest: float, size: float, discount: float) -> None:
-        told, wide = Told(back, buckets), len(words.words)
+        told, wide = Told(back, buckets), words.size
         number, self.n = told.words(words, fewest)
         two = _two(words, number, buckets)
         found, n_two = told.of(2, two.bounds, len(two.head))
@@ -379,12 +376,12 @@ class Automaton:
         weight = np.r_[self.base, np.log10((n_two[kept] - discount) / self.n[two.head[kept]]),
                        np.log10((n_three[last] - discount) / n_two[three.head[last]])]
         to = np.r_[word_state, after_two[kept], after_two[rest[last]]]
-        self.wide = wide
-        self.arcs = dict(zip((source * wide + reads).tolist(), zip(weight.tolist(), to.tolist())))
+        self.wide, self.weight, self.to = wide, weight.tolist(), to.tolist()
+        self.arcs = dict(zip((source * wide + reads).tolist(), range(len(to))))
 
     def score(self, codes: list[int]) -> float:
         """One traversal from the root."""
-        arc_of, back, fail, wide = self.arcs.get, self.back, self.fail, self.wide
+        arc_of, weight, to, back, fail, wide = self.arcs.get, self.weight, self.to, self.back, self.fail, self.wide
         state, total = 0, 0.0
         for word in codes:
             arc = arc_of(state * wide + word)
@@ -392,8 +389,8 @@ class Automaton:
                 total += back[state]
                 state = fail[state]
                 arc = arc_of(state * wide + word)
-            total += arc[0]
-            state = arc[1]
+            total += weight[arc]
+            state = to[arc]
         return total
 
 
@@ -412,18 +409,19 @@ def _scored(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float, size:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """One row per chunk: its lower-cased texts, compressed, and its documents' keys and folds."""
+    """One row per chunk: its documents as numbers of its own words, the words, and the documents' keys and folds."""
     from pyspark import TaskContext
 
     nth = TaskContext.get().partitionId() << 32
     texts, held, keys, length = [], [], [], 0
 
     def row() -> pa.RecordBatch:
-        whole = b"".join(texts)
+        words, code = tokenized(b"".join(texts))
+        ends = np.flatnonzero(code == words.index(_END))
         key = pa.concat_arrays(keys)
-        values = [nth, _squeezed(whole), len(whole), None, held, len(_starts(_spaced(whole))[0])]
+        values = [nth, _pack(code), _pack(np.diff(ends, prepend=-1)), _joined(words), None, held, len(code)]
         arrays = [pa.array([v], f.type) for v, f in zip(values, schema)]
-        arrays[3] = pa.ListArray.from_arrays(pa.array([0, len(key)], pa.int32()), key).cast(schema.field("keys").type)
+        arrays[4] = pa.ListArray.from_arrays(pa.array([0, len(key)], pa.int32()), key).cast(schema.field("keys").type)
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     for batch in batches:
@@ -492,15 +490,15 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     kind = docs.select(key).schema[0].dataType
     rows = docs.select(F.col(key).alias("key"), (crc_fold(key, folds) == held_out).alias("held"), text_or_empty(text).alias("text"))
     shape = T.StructType([T.StructField(n, t) for n, t in (
-        ("chunk", T.LongType()), ("texts", T.BinaryType()), ("size", T.LongType()), ("keys", T.ArrayType(kind)),
-        ("held", T.ArrayType(T.BooleanType())), ("tokens", T.LongType()))])
+        ("chunk", T.LongType()), ("codes", T.BinaryType()), ("lens", T.BinaryType()), ("words", T.BinaryType()),
+        ("keys", T.ArrayType(kind)), ("held", T.ArrayType(T.BooleanType())), ("tokens", T.LongType()))])
     arrow = to_arrow_schema(shape)
     chunks = materialize(rows.mapInArrow(lambda b: _chunks(b, chunk, arrow), shape), "chunks")
     buckets = max(1, -(-(chunks.agg(F.sum("tokens")).first()[0] or 0) // bucket))
 
     def with_chunks(back: DataFrame, fn, schema) -> DataFrame:
         told = back.where(F.col("to_chunk") >= 0).drop("first", "second").groupBy("to_chunk")
-        return chunks.groupBy("chunk").cogroup(told).applyInArrow(fn, schema)
+        return chunks.drop("words").groupBy("chunk").cogroup(told).applyInArrow(fn, schema)
 
     def by_bucket(sent: DataFrame, fn, name: str) -> DataFrame:
         return materialize(sent.groupBy("size", "bucket").applyInArrow(fn, _BACKS), name)
