@@ -37,7 +37,7 @@ from .common import crc_fold, small_batches, text_or_empty
 
 WORD_SHARE, GRAM_SHARE, LEAST, DISCOUNT = 0.0, 0.0, 2, 0.75
 #: Text bytes of a chunk, and tokens of the corpus for each bucket.
-CHUNK, BUCKET = 8 << 20, 1 << 20
+CHUNK, BUCKET = 6 << 20, 1 << 20
 #: Ends a text; no byte of any UTF-8 text.
 _END = b"\xff"
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
@@ -112,8 +112,8 @@ def _ranked(values: np.ndarray) -> np.ndarray:
 
 
 class Grams:
-    """The distinct n-grams that begin at ``starts``, by bucket: ``head``, the place of the history among the shorter ones,
-    ``code`` of the last word, and the numbers of both, ``first`` and ``second``."""
+    """The distinct n-grams that begin at ``starts``, by bucket: ``head``, the place of the history among the shorter ones, and
+    ``code`` of the last word. ``first`` and ``second`` are the numbers of these."""
 
     def __init__(self, words: Words, starts: np.ndarray, head: np.ndarray, code: np.ndarray, first: np.ndarray, second: np.ndarray,
                  buckets: int) -> None:
@@ -131,9 +131,7 @@ class Grams:
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
         self.starts, self.at, self.head, self.code = starts, place[at], head[by], code[by]
-        self.first, self.second = first[self.head], second[self.code]
-        self.n = np.bincount(self.at, words.train[starts], len(by)).astype(np.int64)
-        self.bounds = np.searchsorted(bucket[by], np.arange(buckets + 1))
+        self.numbers, self.bounds = (first, second), np.searchsorted(bucket[by], np.arange(buckets + 1))
 
     def of_each(self, at_token: np.ndarray) -> np.ndarray:
         """What is known at the tokens where the n-grams begin; the same wherever one does."""
@@ -299,8 +297,10 @@ class Told:
         return number[by], price[by]
 
 
-def _rows_of(chunk: int, size: int, grams: Grams, n_first: np.ndarray, n_lower: np.ndarray, n_middle: np.ndarray | None) -> list[tuple]:
-    return [(size, b, chunk, _pack_sorted(grams.first[lo:hi]), *(None if x is None else _pack(x[lo:hi]) for x in (grams.second, grams.n, n_first, n_lower, n_middle)))
+def _rows_of(chunk: int, size: int, words: Words, grams: Grams, n_first: np.ndarray, n_lower: np.ndarray, n_middle: np.ndarray | None) -> list[tuple]:
+    first, second = grams.numbers[0][grams.head], grams.numbers[1][grams.code]
+    n = np.bincount(grams.at, words.train[grams.starts], len(first)).astype(np.int64)
+    return [(size, b, chunk, _pack_sorted(first[lo:hi]), *(None if x is None else _pack(x[lo:hi]) for x in (second, n, n_first, n_lower, n_middle)))
             for b, lo, hi in _used(grams.bounds)]
 
 
@@ -310,7 +310,7 @@ def _sent_two(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float) ->
     chunk, words = _read(chunks)
     number, n = Told(back, buckets).words(words, fewest)
     two = _two(words, number, buckets)
-    return _table(_rows_of(chunk, 2, two, n[two.head], n[two.code], None), _SENT)
+    return _table(_rows_of(chunk, 2, words, two, n[two.head], n[two.code], None), _SENT)
 
 
 def _sent_three(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float) -> pa.Table:
@@ -322,7 +322,7 @@ def _sent_three(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float) -
     two = _two(words, number, buckets)
     found, n_two = told.of(2, two.bounds, len(two.head))
     three, rest = _three(words, number, two, found, buckets)
-    return _table(_rows_of(chunk, 3, three, n_two[three.head], n_two[rest], n[two.head[rest]]), _SENT)
+    return _table(_rows_of(chunk, 3, words, three, n_two[three.head], n_two[rest], n[two.head[rest]]), _SENT)
 
 
 def _priced(asked: pa.Table, states: pa.Table, buckets: int) -> pa.Table:
@@ -398,6 +398,7 @@ def _scored(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float, size:
     if not len(chunks):
         return schema.empty_table()
     _, words = _read(chunks)
+    pa.default_memory_pool().release_unused()  # of earlier stages
     automaton = Automaton(words, back, buckets, fewest, size, discount)
     docs = len(words.lens)
     known = np.bincount(words.doc, automaton.n[words.code] > 0, docs).astype(np.int64)
