@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import materialize
-from .common import crc_fold, small_batches, text_or_empty
+from .common import crc_fold, drop_old_shuffles, small_batches, text_or_empty
 
 WORD_SHARE, GRAM_SHARE, LEAST, DISCOUNT = 0.0, 0.0, 2, 0.75
 #: Text bytes of a chunk, and tokens of the corpus for each bucket.
@@ -502,7 +502,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
         return chunks.drop("words").groupBy("chunk").cogroup(told).applyInArrow(fn, schema)
 
     def by_bucket(sent: DataFrame, fn, name: str) -> DataFrame:
-        return materialize(sent.groupBy("size", "bucket").applyInArrow(fn, _BACKS), name)
+        done = materialize(sent.groupBy("size", "bucket").applyInArrow(fn, _BACKS), name)
+        drop_old_shuffles(docs.sparkSession)
+        return done
 
     one = by_bucket(chunks.mapInArrow(lambda b: _sent_words(b, buckets), _SENDS), _numbered_words, "words")
     n, v = one.where(F.col("to_chunk") == ARCS).select("n").mapInArrow(_word_totals, "n bigint, v bigint").agg(
