@@ -20,12 +20,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def drop_old_shuffles(spark: SparkSession) -> None:
-    """Spark deletes shuffle files once the driver's collector has found that nothing uses them any more, which may be long
-    after; a job of several large steps asks for it between them. What is still in use stays."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
