@@ -27,6 +27,7 @@ probability 1. Repeated rows and ids each get their row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -478,13 +479,32 @@ def _word_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([int(c.sum()) for c in counts], pa.int64()), pa.array([len(c) for c in counts], pa.int64())], names=["n", "v"])
 
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out: int = 0,
-          word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, discount: float = DISCOUNT,
-          chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+class Learned(NamedTuple):
+    """The written chunks, what the buckets said of words and n-grams of two and three words, the states, and the sizes."""
 
-    Learned from the rows outside fold ``held_out``; scores are log10 probabilities.
-    """
+    chunks: DataFrame
+    one: DataFrame
+    two: DataFrame
+    three: DataFrame
+    states: DataFrame
+    buckets: int
+    tokens: int
+    size: float
+    fewest: float
+
+    def arcs(self) -> DataFrame:
+        """The arcs of the automaton: (size, number, first, second, n), by the numbers of history and last word."""
+        return arcs_of(self.one.unionByName(self.two).unionByName(self.three), self.buckets)
+
+    def with_chunks(self, back: DataFrame, fn, schema) -> DataFrame:
+        told = back.where(F.col("to_chunk") >= 0).drop("first", "second").groupBy("to_chunk")
+        return self.chunks.drop("words").groupBy("chunk").cogroup(told).applyInArrow(fn, schema)
+
+
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out: int = 0,
+          word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, discount: float = DISCOUNT,
+          chunk: int = CHUNK, bucket: int = BUCKET) -> Learned:
+    """The automaton of the rows outside fold ``held_out``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     small_batches(docs.sparkSession)
@@ -497,10 +517,6 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     chunks = materialize(rows.mapInArrow(lambda b: _chunks(b, chunk, arrow), shape), "chunks")
     buckets = max(1, -(-(chunks.agg(F.sum("tokens")).first()[0] or 0) // bucket))
 
-    def with_chunks(back: DataFrame, fn, schema) -> DataFrame:
-        told = back.where(F.col("to_chunk") >= 0).drop("first", "second").groupBy("to_chunk")
-        return chunks.drop("words").groupBy("chunk").cogroup(told).applyInArrow(fn, schema)
-
     def by_bucket(sent: DataFrame, fn, name: str) -> DataFrame:
         return materialize(sent.groupBy("size", "bucket").applyInArrow(fn, _BACKS), name)
 
@@ -511,11 +527,27 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     least = max(LEAST, int(np.ceil(gram_share * n)))
     fewest = max(float(least), word_share * n)
     number = lambda t: _numbered_grams(t, least, size, discount)
-    two = by_bucket(with_chunks(one, lambda c, b: _sent_two(c, b, buckets, fewest), _SENDS), number, "two-words")
-    three = by_bucket(with_chunks(one.unionByName(two), lambda c, b: _sent_three(c, b, buckets, fewest), _SENDS), number, "three-words")
+    made = Learned(chunks, one, one, one, one, buckets, int(n), size, fewest)
+    two = by_bucket(made.with_chunks(one, lambda c, b: _sent_two(c, b, buckets, fewest), _SENDS), number, "two-words")
+    three = by_bucket(made.with_chunks(one.unionByName(two), lambda c, b: _sent_three(c, b, buckets, fewest), _SENDS), number, "three-words")
     states = materialize(states_of(two.unionByName(three)), "states")
-    keyed = states.select(F.col("size").alias("of_size"), F.pmod("number", F.lit(buckets)).cast("int").alias("of_bucket"), "number", "back")
-    asked = one.unionByName(two).where(F.col("to_chunk") >= 0).select("size", "bucket", F.col("to_chunk").alias("chunk"), "place")
+    return made._replace(two=two, three=three, states=states)
+
+
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out: int = 0,
+          word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, discount: float = DISCOUNT,
+          chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    Learned from the rows outside fold ``held_out``; scores are log10 probabilities.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    made = learn(docs, key, text, folds, held_out, word_share, gram_share, discount, chunk, bucket)
+    buckets, size, fewest, kind = made.buckets, made.size, made.fewest, made.chunks.schema["keys"].dataType.elementType
+    keyed = made.states.select(F.col("size").alias("of_size"), F.pmod("number", F.lit(buckets)).cast("int").alias("of_bucket"), "number", "back")
+    known = made.one.unionByName(made.two)
+    asked = known.where(F.col("to_chunk") >= 0).select("size", "bucket", F.col("to_chunk").alias("chunk"), "place")
     prices = asked.groupBy("size", "bucket").cogroup(keyed.groupBy("of_size", "of_bucket")).applyInArrow(
         lambda a, s: _priced(a, s, buckets), _BACKS)
 
@@ -523,7 +555,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
         ("doc_id", kind), ("held_out", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()),
         ("base_score", T.DoubleType()), ("score", T.DoubleType()))])
     answer = to_arrow_schema(found)
-    scored = with_chunks(one.unionByName(two).unionByName(three).unionByName(prices),
-                         lambda c, b: _scored(c, b, buckets, fewest, size, discount, answer), found)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("bigint").alias("train_tokens"),
+    scored = made.with_chunks(known.unionByName(made.three).unionByName(prices),
+                              lambda c, b: _scored(c, b, buckets, fewest, size, discount, answer), found)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(made.tokens).cast("bigint").alias("train_tokens"),
                          "base_score", "score")

@@ -104,3 +104,20 @@ def test_chunks_and_buckets_change_no_result(spark, docs_of):
     assert [g[:5] for g in got] == [w[:5] for w in want]
     for g, w in zip(got, want):
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
+
+
+def test_written_arcs_and_states(spark, docs_of):
+    pairs = list(enumerate(texts()))
+    made = op.learn(docs_of(pairs), chunk=500, bucket=150)
+    arcs = made.arcs().collect()
+    train = [tokens(t) for k, t in pairs if binascii.crc32(str(k).encode()) % 10]
+    for size, least in ((1, 1), (2, 2), (3, 2)):
+        want = Counter(tuple(t[i:i + size]) for t in train for i in range(len(t) - size + 1))
+        mine = [a for a in arcs if a["size"] == size]
+        assert sorted(a.n for a in mine) == sorted(n for n in want.values() if n >= least)
+        assert len({a.number for a in mine}) == len(mine)
+    # An arc's history is an arc of the shorter kind, and the states are the histories that have arcs.
+    for size in (2, 3):
+        histories = {a.first for a in arcs if a["size"] == size}
+        assert histories <= {a.number for a in arcs if a["size"] == size - 1}
+        assert histories == {r.number for r in made.states.collect() if r["size"] == size - 1}
