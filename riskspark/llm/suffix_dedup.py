@@ -9,9 +9,9 @@ smaller id, or earlier in the same document. Runs are judged on the input, and o
    sent on: the others are covered. So a passage that a third of all documents share is sent once a task.
 2. *Classes.* By anchor hash, equal contexts form a class, and all but the first of a class are covered. An anchor hash with one
    class needs no more. Of others, the contexts of the classes' first places are asked for.
-3. *Suffix arrays.* The contexts of an anchor hash are in one group. A suffix array of the group is built by prefix doubling, its
-   longest common prefixes are read off the doubling's ranks, and one scan with a stack lists the tree of common-prefix
-   intervals. An interval is a repeat of all the places in it; it is maximal if the bytes before them differ. All its places but
+3. *Suffix arrays.* The contexts of an anchor hash are in one group. Suffixes whose first ``least`` bytes never repeat, or repeat
+   after one and the same byte only, start no maximal repeat and are left out. The others are sorted to a suffix array with
+   the common prefixes of neighbours, and one scan with a stack lists the tree of common-prefix intervals. An interval is a repeat of all the places in it; it is maximal if the bytes before them differ. All its places but
    the first are covered.
    A group of more than ``GROUP`` contexts does not go to one task: its runs are sent by the hash of the run itself, again
    only the first of a task, and all but the first are covered.
@@ -203,20 +203,22 @@ def _runs(ids, marks, starts, ends, buckets: int, offset: int = 0) -> list[tuple
     ids, marks, starts = ids[lead], marks[lead], starts[lead]
     ends = np.maximum.reduceat(ends, lead) if len(lead) else ends
     return [_pack(bucket + offset, _SPANS, ids[p], marks[p], starts[p].astype("<i4"), ends[p].astype("<i4"))
-            for bucket, p in _by_bucket(_home(ids, buckets))]
+            for bucket, p in _by_bucket(_home(ids, marks, buckets))]
 
 
 #: Prime and factor that mix ids; the products fit into 64 bits here and in Spark.
 _PRIME, _FACTOR = 2**31 - 1, 48271
 
 
-def _home(ids: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket in which a document's spans meet its text."""
-    return ids.astype(np.int64) % _PRIME * _FACTOR % _PRIME % buckets
+def _home(ids: np.ndarray, marks: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket in which a document's spans meet its text; texts that share an id are spread by their marks."""
+    mixed = ids.astype(np.int64) % _PRIME * _FACTOR + marks.astype(np.int64) % _PRIME
+    return mixed % _PRIME * _FACTOR % _PRIME % buckets
 
 
-def _home_column(id_: str, buckets: int) -> Column:
-    return (F.pmod(F.col(id_), F.lit(_PRIME)) * _FACTOR % _PRIME % buckets).cast("int")
+def _home_column(id_: str, mark: str, buckets: int) -> Column:
+    mixed = F.pmod(F.col(id_), F.lit(_PRIME)) * _FACTOR + F.pmod(F.col(mark).cast("bigint"), F.lit(_PRIME))
+    return (mixed % _PRIME * _FACTOR % _PRIME % buckets).cast("int")
 
 
 def _find(frames: Iterator[pd.DataFrame], buckets: int, least: int) -> Iterator[pd.DataFrame]:
@@ -243,7 +245,7 @@ def _classify(frame: pd.DataFrame, buckets: int, least: int, group: int) -> pd.D
     size = np.diff(np.r_[np.flatnonzero(new), len(h)])[np.cumsum(new) - 1] if len(h) else np.zeros(0, np.int64)
     asked = size > 1
     ids, marks, h, at, size = (x[asked] for x in (ids, marks, h, at, size))
-    for bucket, p in _by_bucket(_home(ids, buckets)):
+    for bucket, p in _by_bucket(_home(ids, marks, buckets)):
         rows.append(_pack(bucket, _ASKED, ids[p], marks[p], h[p], at[p].astype("<i4"), (size[p] > group).astype("<i4")))
     return _frame(rows)
 
@@ -281,62 +283,77 @@ def _contexts(docs: pd.DataFrame, asked: pd.DataFrame, buckets: int, least: int)
     return _frame(rows)
 
 
-def _ranked(values: np.ndarray) -> np.ndarray:
-    return np.unique(values, return_inverse=True)[1].astype(np.int64)
+def _run_hashes(data: np.ndarray, least: int) -> np.ndarray:
+    """Polynomial hashes of the runs of ``least`` bytes at all places of ``data``, put together from powers of two."""
+    def shift(n: int) -> np.uint64:
+        return np.uint64(pow(int(_C[0]), n, 2**64))
+
+    power, width = data.astype(np.uint64) * _C[1] + _C[2], 1
+    found, done = np.zeros(len(data), np.uint64), 0
+    while done < least:
+        if least & width:
+            count = len(data) - done - width + 1
+            found = found[:count] * shift(width) + power[done:done + count]
+            done += width
+        power, width = power[:-width] * shift(width) + power[width:], 2 * width
+    return found ^ (found >> np.uint64(32))
+
+
+def diverse_places(texts: list[bytes], least: int) -> np.ndarray:
+    """Places in the joined texts of the runs of ``least`` bytes that repeat with different bytes before them.
+
+    A longer repeat has its places among those of its first ``least`` bytes. If these all have one byte before them, it is not
+    maximal, so no suffix that starts at them is needed. Runs are told apart by 64-bit hashes: a clash can only keep more.
+    """
+    lengths = np.array([len(t) for t in texts], np.int64)
+    begins = np.cumsum(lengths) - lengths
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    counts = np.maximum(lengths - least + 1, 0)
+    places = np.arange(counts.sum()) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
+    if not len(places):
+        return places
+    before = data[places - 1].astype(np.int16)
+    before[np.repeat(begins, counts) == places] = -1
+    hashes = _run_hashes(data, least)[places]
+    order = np.argsort(hashes)
+    new = _starts(hashes[order])
+    lead = np.flatnonzero(new)
+    low, high = (pick.reduceat(before[order], lead) for pick in (np.minimum, np.maximum))
+    kept = (np.diff(np.r_[lead, len(order)]) > 1) & ((low != high) | (low < 0))
+    return np.sort(places[order[kept[np.cumsum(new) - 1]]])
 
 
 class SuffixArray:
-    """Suffixes of texts that are ``least`` bytes or longer, in order, with the common prefixes of neighbours."""
-
-    def __init__(self, texts: list[bytes], least: int):
-        data = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
-        size = len(data) - 8
-        ends = np.cumsum([len(t) for t in texts])
-        self.owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        left = ends[self.owner] - np.arange(size) if size else np.zeros(0, np.int64)
-        self.begin = (ends - [len(t) for t in texts])[self.owner] if size else left
-        self.places = np.flatnonzero(left >= least)
-        # Ranks of prefixes of 8, 16, 32, ... bytes. A prefix ends with its text, and comes before longer ones it begins.
-        words = np.ndarray((size,), ">u8", data.tobytes(), strides=(1,)).astype(np.uint64)
-        here = np.minimum(left, 8)
-        words &= ~np.uint64(0) << (8 * (8 - here)).astype(np.uint64)
-        ranks, width = [_ranked(_ranked(words) * 9 + here)], 8
-        longest = int(left.max()) if size else 0
-        while width < longest:
-            last = ranks[-1]
-            next_ = np.zeros(size, np.int64)
-            longer = np.flatnonzero(left > width)
-            next_[longer] = last[longer + width] + 1
-            keys = last * (size + 1) + next_
-            width *= 2
-            if width < longest:
-                ranks.append(_ranked(keys))
-            else:  # the longest prefixes are only compared from the suffixes' own places on
-                ranks.append(np.zeros(size, np.int64))
-                ranks[-1][self.places] = _ranked(keys[self.places])
-        self.places = self.places[np.argsort(ranks[-1][self.places], kind="stable")]
-        self.common = self._common(data, ranks, left)
-        before = np.where(np.arange(size) > self.begin, np.r_[np.zeros(1, np.int64), data[:max(0, size - 1)]][:size], -1)
-        self.before = before[self.places]
-
-    def _common(self, data, ranks, left) -> np.ndarray:
-        """Length of the common prefix of each suffix and the one before it."""
-        a, b = self.places[:-1].copy(), self.places[1:].copy()
-        most = np.minimum(left[a], left[b])
-        found, size = np.zeros(len(a), np.int64), len(left)
-        for level in range(len(ranks) - 1, -1, -1):
-            ok = (a < size) & (b < size)
-            same = np.zeros(len(a), bool)
-            same[ok] = ranks[level][a[ok]] == ranks[level][b[ok]]
-            step = np.where(same, 8 << level, 0)
-            a, b, found = a + step, b + step, found + step
-        for _ in range(7):
-            ok = (a < size) & (b < size)
-            same = np.zeros(len(a), bool)
-            same[ok] = data[a[ok]] == data[b[ok]]
-            a, b, found = a + same, b + same, found + same
-            if not same.any():
-                break
+    """Suffixes of short texts that are ``least`` bytes or longer, in order, with the common prefixes of neighbours.
+
+    With ``starts``, only the suffixes at these places of the joined texts.
+    """
+
+    def __init__(self, texts: list[bytes], least: int, starts: np.ndarray | None = None):
+        data = b"".join(texts)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(lengths)
+        self.owner = np.repeat(np.arange(len(texts)), lengths)
+        self.begin = (ends - lengths)[self.owner]
+        stop = ends[self.owner]
+        places = np.flatnonzero(stop - np.arange(len(data)) >= least) if starts is None else starts
+        suffixes = [data[a:b] for a, b in zip(places.tolist(), stop[places].tolist())]
+        self.places = places[np.array(sorted(range(len(places)), key=suffixes.__getitem__), np.int64)]
+        self.common = self._common(data, stop)
+        seen = np.frombuffer(b"\0" + data, np.uint8).astype(np.int64)
+        self.before = np.where(self.places > self.begin[self.places], seen[self.places], -1)
+
+    def _common(self, data: bytes, stop: np.ndarray) -> np.ndarray:
+        """Length of the common prefix of each suffix and the one before it, compared eight bytes at a time."""
+        words = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))
+        a, b = self.places[:-1], self.places[1:]
+        most = np.minimum(stop[a] - a, stop[b] - b)
+        found, open_ = np.zeros(len(a), np.int64), np.arange(len(a))
+        while len(open_):
+            differ = words[a[open_] + found[open_]] ^ words[b[open_] + found[open_]]
+            # The lowest bit that differs tells the first byte that differs; none differs: eight bytes are equal.
+            found[open_] += np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)).astype(np.int64) // 8
+            open_ = open_[(differ == 0) & (found[open_] < most[open_])]
         return np.r_[np.zeros(min(1, len(self.places)), np.int64), np.minimum(found, most)]
 
 
@@ -369,20 +386,23 @@ def maximal_repeats(array: SuffixArray, least: int) -> Iterator[tuple[int, int,
 
 def _covered_in_contexts(texts: list[bytes], ids, begins, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Contexts, and starts and ends in their documents, of what an earlier place of a maximal repeat covers."""
-    array = SuffixArray(texts, least)
+    array = SuffixArray(texts, least, diverse_places(texts, least))
     owner = array.owner[array.places]
     start = array.places - array.begin[array.places] + begins[owner]
     order = np.lexsort((start, ids[owner]))
     turn = np.empty(len(order), np.int64)  # equal places have equal turns
     turn[order] = np.cumsum(_starts(ids[owner][order], start[order]))
-    later, lengths = [np.zeros(0, np.int64)], [0]
-    for length, a, b in maximal_repeats(array, least):
-        turns = turn[a:b]
-        later.append(np.flatnonzero(turns > turns.min()) + a)
-        lengths.append(length)
-    found = np.concatenate(later)
-    ends = start[found] + np.repeat(lengths, [len(x) for x in later])
-    return owner[found], start[found], ends
+    reach = np.zeros(len(turn), np.int64)  # length of the longest repeat in which a suffix is not the first
+    lengths, first, end = np.array(list(maximal_repeats(array, least)), np.int64).reshape(-1, 3).T
+    places = np.cumsum(end - first)
+    for part in np.split(np.arange(len(places)), np.flatnonzero(np.diff(places // _PIECE)) + 1) if len(places) else ():
+        sizes = (end - first)[part]
+        leads = np.cumsum(sizes) - sizes
+        at = np.arange(sizes.sum()) + np.repeat(first[part] - leads, sizes)
+        later = turn[at] > np.repeat(np.minimum.reduceat(turn[at], leads), sizes)
+        np.maximum.at(reach, at[later], np.repeat(lengths[part], sizes)[later])
+    found = np.flatnonzero(reach)
+    return owner[found], start[found], start[found] + reach[found]
 
 
 def _repeats(frame: pd.DataFrame, buckets: int, least: int) -> pd.DataFrame:
@@ -475,7 +495,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     classes = materialize(
         found.groupBy("bucket").applyInPandas(lambda f: _classify(f, buckets, least, group), _PACKED), "anchor-classes")
 
-    placed = rows.withColumn("bucket", _home_column("id", buckets))
+    placed = rows.withColumn("bucket", _home_column("id", "mark", buckets))
     at_home = placed.groupBy("bucket")
     contexts = at_home.cogroup(classes.where(F.col("kind") == _ASKED).groupBy("bucket")).applyInPandas(
         lambda d, asked: _contexts(d, asked, buckets, least), _PACKED)
