@@ -31,26 +31,30 @@ def test_frequency_is_relative_to_the_site(spark):
     page = lambda *lines: "".join(f"<p>{x}</p>" for x in lines)
     rows = [(i, f"http://a/{i}", page("Menu", f"own {i}", "Menu", *(["half"] if i % 2 else []))) for i in range(10)]
     rows += [(100 + i, f"http://b/{i}", page(f"own {i}", *(["Menu"] if i < 5 else []))) for i in range(40)]
-    rows += [(200 + i, "http://small/", page("Menu")) for i in range(4)]
+    rows += [(200 + i, "http://small/", page("Menu", f"own {i}")) for i in range(4)]
+    rows += [(210 + i, "http://pair/", page("Menu", f"own {i}")) for i in range(2)] + [(220, "http://one/", page("Menu", "Menu"))]
+    rows += [(230 + i, "http://ten/", page(*(["Menu"] if i < 4 else []), *(["few"] if i < 2 else []))) for i in range(10)]
     rows += [(300 + i, None, page("Menu")) for i in range(9)] + [(400, "http://a/", None), (401, "http://a/", "")]
     rows += [(500, "http://c/", page("same"))] * 5
     docs = spark.createDataFrame(rows, PAGES).withColumns({c: F.lit(1) for c in ("host", "lines", "line", "n", "dropped")})
     got = text_rows(op.drop_boilerplate(docs))
     assert got[1] == (4, 3, "own 1") and got[2] == (3, 2, "own 2")
-    assert got[100] == (2, 0, "own 0\nMenu") and got[200] == (1, 0, "Menu") and got[300] == (1, 0, "Menu")
+    assert got[100] == (2, 0, "own 0\nMenu") and got[200] == (2, 1, "own 0") and got[300] == (1, 0, "Menu")
+    assert got[210] == (2, 1, "own 0") and got[220] == (2, 0, "Menu\nMenu")
+    assert got[230] == (2, 1, "few") and got[232] == (1, 1, "")  # 4 of 10 pages are over the ratio, 2 of 10 are not
     assert got[400] == got[401] == (0, 0, "") and got[500] == (1, 1, "")
     assert Counter(r.page_id for r in op.drop_boilerplate(docs).collect())[500] == 5
 
 
-@pytest.mark.parametrize("ratio,least", [(op.RATIO, op.LEAST_PAGES), (0.05, 2)])
-def test_against_sql(spark, ratio, least):
+@pytest.mark.parametrize("ratio,salt_pages", [(op.RATIO, op.SALT_PAGES), (0.05, 3)])
+def test_against_sql(spark, ratio, salt_pages):
     import duckdb
 
     con = duckdb.connect()
     con.execute("CREATE VIEW pages AS SELECT * FROM '/root/testdata/sf0.001/pages.parquet'")
-    cur = con.execute(op.sql(ratio, least))
+    cur = con.execute(op.sql(ratio))
     want = normal([d[0] for d in cur.description], cur.fetchall())
-    df = op.drop_boilerplate(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"), ratio=ratio, least=least)
+    df = op.drop_boilerplate(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"), ratio=ratio, salt_pages=salt_pages)
     assert normal(df.columns, [tuple(r) for r in df.collect()]) == want
 
 
