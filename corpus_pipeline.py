@@ -39,12 +39,21 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds token_ids, n_tokens, and round_trip: whether decoding the ids gives the text back."""
+    """Adds token_ids, n_tokens, and round_trip: whether decoding the ids gives the text back.
+
+    Columns of the documents keep their names and values; an added column whose name is taken ends in ``_``.
+    """
     answer = F.col("__answer")
     packed = with_answer(docs, sentencepiece.encoding(docs))
-    own = [F.col(f"__row.`{c}`") for c in docs.columns if c not in ("token_ids", "n_tokens", "round_trip")]
-    return packed.select(*own, answer["ids"].alias("token_ids"), F.size(answer["ids"]).cast("bigint").alias("n_tokens"),
-                         answer["round_trip"].alias("round_trip"))
+    own = [F.col(f"__row.`{c}`") for c in docs.columns]
+    added = {"token_ids": answer["ids"], "n_tokens": F.size(answer["ids"]).cast("bigint"), "round_trip": answer["round_trip"]}
+    taken = {c.lower() for c in docs.columns}
+    for name, column in added.items():
+        while name in taken:
+            name += "_"
+        own.append(column.alias(name))
+        taken.add(name)
+    return packed.select(*own)
 
 
 STAGES: list[tuple[str, Stage]] = [
