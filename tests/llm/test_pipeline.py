@@ -49,8 +49,10 @@ def test_stages_keep_columns_whatever_their_names(spark, docs_of):
         assert kept.columns == docs.columns, name
         docs = spark.createDataFrame(kept.collect(), kept.schema)
     found = pipeline.STAGES[-1][1](spark, docs, FOLDER)
-    ids = Counter(r.doc_id for r in found.collect())
-    assert set(found.columns) == set(docs.columns) | {"n_tokens", "round_trip"}
+    rows = found.collect()
+    ids = Counter(r.doc_id for r in rows)
+    assert found.columns == [*docs.columns, "token_ids_", "n_tokens", "round_trip"]
+    assert all(r.token_ids == 1 and len(r.token_ids_) == r.n_tokens for r in rows)
     assert max(ids.values()) == 1 and not ids.keys() & {50, 51, 52}
 
 
