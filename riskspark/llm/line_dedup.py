@@ -35,8 +35,11 @@ _BLOCKS = ("address article aside blockquote body br button center dd details di
 # Character references that are decoded, the ampersand last.
 _REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
-_SILENT_PATTERN = r"(?is)<!--.*?(-->|\z)|" + "|".join(rf"<{t}\b.*?(</{t}\s*>|\z)" for t in _SILENT)
-_BLOCK_PATTERN = r"(?i)</?(" + "|".join(_BLOCKS) + r")(\s[^>]*|/)?>"
+# One "<" before all choices: they are only tried where it stands.
+_SILENT_PATTERN = r"(?is)<(?:!--.*?(?:-->|\z)|" + "|".join(rf"{t}\b.*?(?:</{t}\s*>|\z)" for t in _SILENT) + ")"
+_BLOCK_PATTERN = r"(?i)</?(?:" + "|".join(_BLOCKS) + r")(?:\s[^>]*|/)?>"
+# White space that is not one blank already.
+_SPACES = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#@]*@)?([^/?#:]*)"
 
 
@@ -47,7 +50,7 @@ def host_of(url: str | Column) -> Column:
 
 def lines_of(html: str | Column) -> Column:
     """The lines of a page, in order, none of them empty."""
-    text = F.regexp_replace(F.regexp_replace(text_or_empty(html), _SILENT_PATTERN, " "), r"[\x20\x09-\x0D]+", " ")
+    text = F.regexp_replace(F.regexp_replace(text_or_empty(html), _SILENT_PATTERN, " "), _SPACES, " ")
     text = F.regexp_replace(F.regexp_replace(text, _BLOCK_PATTERN, "\n"), r"<[/A-Za-z!?][^>]*>", "")
     for reference, meaning in _REFERENCES:
         text = F.replace(text, F.lit(reference), F.lit(meaning))
