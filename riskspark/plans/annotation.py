@@ -27,6 +27,7 @@ from ..operators.ordering import LOCAL_ROWS, ordered
 from ..schema import BAD, ERROR, LABELS
 from ..session import materialize
 from ..sources.files import read_or_empty
+from .pacing import ROUND, Pace, SharedPace, barrier_pace
 
 Client = Callable[[list[str]], list[str]]
 #: Rows wanted in a chunk; an interruption loses the chunks that are being answered.
@@ -42,6 +43,12 @@ class Calls:
     ``in_flight`` partitions call at the same time, as many as the prompts have if it is not given; ``rate`` is the
     total number of calls per second over all of them and needs ``in_flight``; ``wait`` bounds the random pause before
     another attempt.
+
+    Each caller has an equal part of ``rate``, unless ``shared`` is set: then the callers are tasks of a barrier stage
+    that meet every ``round_seconds``, and calls that one of them has no use for are made by the others. A barrier stage
+    needs ``in_flight`` free cores at once and no dynamic allocation, its answers have to be written or collected whole
+    (no ``first`` or ``limit``), and a lost task repeats the job's others as well: with ``run_annotation`` that is the
+    chunks of one job.
     """
 
     attempts: int = 3
@@ -49,10 +56,14 @@ class Calls:
     in_flight: int | None = None
     rate: float | None = None
     batch: int = 1
+    shared: bool = False
+    round_seconds: float = ROUND
 
     def __post_init__(self):
         if self.rate and not self.in_flight:
             raise ValueError("a total rate can only be kept with in_flight given")
+        if self.shared and not self.rate:
+            raise ValueError("callers can only share a rate that is given")
 
 
 class Counters:
@@ -68,19 +79,6 @@ class Counters:
         return self.done.value, self.failed.value
 
 
-class Pace:
-    """Calls at least ``gap`` seconds apart, whatever a call itself takes."""
-
-    def __init__(self, gap: float):
-        self.gap, self.next = gap, 0.0
-
-    def wait(self) -> None:
-        now = time.monotonic()
-        if now < self.next:
-            time.sleep(self.next - now)
-        self.next = max(now, self.next) + self.gap
-
-
 ONE_TRY = Calls(attempts=1)
 MANIFEST = T.StructType(
     [
@@ -127,12 +125,14 @@ def _answers(
     gap = calls.in_flight / calls.rate if calls.rate else 0.0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client, pace = client_factory(), Pace(gap)
-        for frame in batches:
+        client = client_factory()
+        pace = barrier_pace(calls.rate, calls.round_seconds) if calls.shared else Pace(gap)
+        for frame, ahead in _with_next(batches):
             keys, texts = frame[key].tolist(), frame[prompt].tolist()
             answers = []
             for start in range(0, len(texts), calls.batch):
-                answers.extend(_answer(client, texts[start : start + calls.batch], calls, pace))
+                waiting = -(-(len(texts) - start + ahead) // calls.batch)
+                answers.extend(_answer(client, texts[start : start + calls.batch], calls, pace, waiting))
             if done is not None:
                 done.add(len(answers))
                 failed.add(sum(a[1] is not None for a in answers))
@@ -146,25 +146,42 @@ def _answers(
                     **{c: frame[c] for c in also},
                 }
             )
+        pace.end()
 
-    return rows.mapInPandas(run, T.StructType([*result_schema(rows.schema[key]), *[rows.schema[c] for c in also]]))
+    schema = T.StructType([*result_schema(rows.schema[key]), *[rows.schema[c] for c in also]])
+    return rows.mapInPandas(run, schema, barrier=calls.shared)
 
 
-def _answer(client: Client, texts: list[str], calls: Calls, pace: Pace) -> list[tuple[str | None, str | None, int]]:
-    """(text, error, attempts) per prompt; a failing batch is retried prompt by prompt."""
+def _with_next(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, int]]:
+    """Each frame with the number of rows of the next one."""
+    frames = iter(frames)
+    frame = next(frames, None)
+    while frame is not None:
+        ahead = next(frames, None)
+        yield frame, 0 if ahead is None else len(ahead)
+        frame = ahead
+
+
+def _answer(
+    client: Client, texts: list[str], calls: Calls, pace: Pace | SharedPace, waiting: int = 1,
+) -> list[tuple[str | None, str | None, int]]:
+    """(text, error, attempts) per prompt; a failing batch is retried prompt by prompt.
+
+    ``waiting`` is the number of calls that the caller knows of, this one included.
+    """
     if len(texts) > 1:
         try:
-            pace.wait()
+            pace.wait(waiting)
             answers = client(texts)
             if len(answers) == len(texts):
                 return [(a, None, 1) for a in answers]
         except Exception:  # noqa: BLE001 - any client failure is handled below, one prompt at a time
             pass
-        return [r for t in texts for r in _answer(client, [t], calls, pace)]
+        return [r for t in texts for r in _answer(client, [t], calls, pace, waiting)]
     message = ""
     for attempt in range(1, calls.attempts + 1):
         try:
-            pace.wait()
+            pace.wait(waiting)
             return [(client(texts)[0], None, attempt)]
         except Exception as failure:  # noqa: BLE001 - the message is recorded with the row
             message = str(failure)

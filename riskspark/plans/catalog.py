@@ -846,6 +846,15 @@ def annotate_classify(spark, folder):
     return annotation.label_answers(answers, "row_id")
 
 
+@query(_LENGTH_1 + f"SELECT row_id, {_LABEL_SQL} AS target FROM p")
+def annotate_shared_rate(spark, folder):
+    """Callers that share a total rate; its calls per second are far above what the callers make."""
+    shared = annotation.Calls(attempts=1, wait=(0.0, 0.0), in_flight=2, rate=1e7, shared=True, round_seconds=0.1)
+    answers = annotation.annotate(_classify_rows(spark, folder), "row_id", "prompt", _client(scripted.FIRST_PASS), shared)
+    # A barrier stage runs whole, so its answers are written before they are looked at.
+    return annotation.label_answers(materialize(answers, "answers"), "row_id")
+
+
 @query(_LENGTH_1 + """SELECT row_id, CASE WHEN n % 11 = 0 THEN 'ERROR: refused' WHEN n % 7 = 0 THEN 'moderate risk'
     WHEN n % 3 = 0 THEN ' Bad Risk' || chr(10) ELSE 'Good Risk' END AS answer,
   CASE WHEN n % 11 = 0 OR n % 5 = 0 THEN 3 ELSE 1 END AS attempts FROM p""")

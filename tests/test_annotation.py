@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskspark.functions import labels, text
-from riskspark.plans import annotation
+from riskspark.plans import annotation, pacing
 from riskspark.plans.annotation import Calls
 from riskspark.session import scratch_path
 
@@ -78,20 +78,106 @@ def test_a_total_rate_needs_a_number_of_callers():
 
 def test_pace_counts_the_time_a_call_takes(monkeypatch):
     now, slept = [100.0], []
-    monkeypatch.setattr(annotation.time, "monotonic", lambda: now[0])
+    monkeypatch.setattr(pacing.time, "monotonic", lambda: now[0])
 
     def sleep(seconds):
         slept.append(seconds)
         now[0] += seconds
 
-    monkeypatch.setattr(annotation.time, "sleep", sleep)
-    pace = annotation.Pace(2.0)
+    monkeypatch.setattr(pacing.time, "sleep", sleep)
+    pace = pacing.Pace(2.0)
     for call in (0.5, 3.0, 0.5):
         pace.wait()
         now[0] += call
     assert slept == [1.5]
 
 
+def test_shares_are_even_and_whole():
+    assert pacing.shares([9, 9, 9], 9) == [3, 3, 3]
+    assert pacing.shares([1, 0, 9], 8) == [1, 0, 7]  # what one does not want goes to the others
+    assert pacing.shares([2, 2], 9) == [2, 2]
+    assert pacing.shares([], 4) == [] and pacing.shares([3, 3], 0) == [0, 0]
+    turns = [pacing.shares([5, 5, 5], 1, turn) for turn in range(3)]
+    assert sorted(t.index(1) for t in turns) == [0, 1, 2]
+    for wants in ([0, 3, 8, 1], [4], [7, 7, 0, 2, 2]):
+        for budget in range(25):
+            got = pacing.shares(wants, budget)
+            assert sum(got) == min(budget, sum(wants)) and all(0 <= g <= w for g, w in zip(got, wants))
+
+
+def stamping(seconds=0.0):
+    """A client whose answers are the times at which they were asked for."""
+    import time
+
+    def factory():
+        def client(prompts):
+            at = time.time()
+            time.sleep(seconds)
+            return [repr(at)] * len(prompts)
+
+        return client
+
+    return factory
+
+
+def shared_times(spark, lanes, client, calls):
+    """Times of the calls of lanes with so many prompts each."""
+    sizes = spark.createDataFrame(list(enumerate(lanes)), "lane int, n int")
+    rows = sizes.selectExpr("lane", "explode(sequence(1, n)) AS nth").selectExpr("lane", "lane * 100000L + nth AS id", "'x' AS prompt")
+    rows = rows.repartitionById(len(lanes), F.col("lane"))
+    got = annotation._answers(rows, "id", "prompt", client, calls, None, ("lane",)).collect()
+    assert len({r.id for r in got}) == len(got) == sum(lanes)
+    return sorted((float(r.text), r.lane) for r in got)
+
+
+def test_callers_of_unequal_length_keep_the_total_rate(spark):
+    calls = Calls(attempts=1, in_flight=4, rate=40, shared=True, round_seconds=1.0)
+    times = shared_times(spark, [5, 5, 10, 380], stamping(), calls)
+    # The three short lanes end early; a fixed part of a quarter would need 38 s for the last lane.
+    rate = (len(times) - 1) / (times[-1][0] - times[0][0])
+    assert 36 <= rate <= 44
+    for start, _ in times:
+        assert sum(start <= t < start + 2 for t, _ in times) <= 2 * 40 * 1.1
+
+
+def test_a_slow_caller_does_not_hold_back_the_others(spark):
+    def factory():
+        import time
+
+        from pyspark import TaskContext
+
+        slow = TaskContext.get().partitionId() == 0
+
+        def client(prompts):
+            at = time.time()
+            time.sleep(0.4 if slow else 0.0)
+            return [repr(at)] * len(prompts)
+
+        return client
+
+    calls = Calls(attempts=1, in_flight=3, rate=30, shared=True, round_seconds=1.0)
+    times = shared_times(spark, [8, 60, 60], factory, calls)
+    fast = [t for t, lane in times if lane]
+    assert (len(fast) - 1) / (fast[-1] - fast[0]) > 20
+
+
+def test_retries_come_out_of_the_shared_rate_and_empty_lanes_are_met(spark):
+    calls = Calls(attempts=3, wait=(0.0, 0.0), in_flight=3, rate=1000, shared=True, round_seconds=0.2)
+    one = spark.createDataFrame([(1, "a")], "id long, prompt string")
+    [got] = annotation.annotate(one, "id", "prompt", flaky(2), calls).collect()
+    assert (got.text, got.attempts) == ("<a>", 3)
+    assert annotation.annotate(one.where("id < 0"), "id", "prompt", flaky(2), calls).count() == 0
+    with pytest.raises(ValueError, match="rate"):
+        Calls(in_flight=2, shared=True)
+
+
+def test_a_saved_run_with_a_shared_rate(spark, prompts):
+    calls = Calls(attempts=1, in_flight=2, rate=1e6, shared=True, round_seconds=0.1)
+    out = annotation.run_annotation(prompts, "id", "prompt", refusing("p3"), scratch_path(spark, "shared"), calls, chunk_rows=10)
+    assert {i for i, r in by_id(out.latest()).items() if r.status == "error"} == {3}
+    assert out.latest().count() == 40
+
+
 def test_resume_equals_one_run(spark, prompts):
     path, whole = scratch_path(spark, "resume"), scratch_path(spark, "whole")
     part = annotation.run_annotation(prompts.where("id % 3 = 0"), "id", "prompt", refusing("p3"), path, ONCE, chunk_rows=8)
