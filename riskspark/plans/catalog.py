@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import labels, text
-from ..operators import binning, distribution, encode, joins, metrics, profile, split
+from ..operators import binning, dictionary, distribution, encode, joins, metrics, profile, split
 from ..schema import (
     APPLICANT, APPLICANT_COLUMNS, BIN_COLUMNS, BIN_LABELS, DISPLAY_BIN_LABELS, FEATURES, FILL_UNKNOWN, LABELLED, LABELS,
 )
@@ -387,6 +387,35 @@ def matrix_csv_round_trip(spark, folder):
     return encode.feature_cells(back, "row_id", features, keep=["label"])
 
 
+_WIDE = ["o_orderpriority", "o_custkey", "o_orderdate"]
+_DICTIONARY = """WITH cells AS (SELECT o_orderkey AS row_id, 0 AS block, 'o_orderpriority' AS feature, NULL AS whole,
+      o_orderpriority AS category FROM orders
+    UNION ALL SELECT o_orderkey, 1, 'o_custkey', o_custkey, CAST(o_custkey AS VARCHAR) FROM orders
+    UNION ALL SELECT o_orderkey, 2, 'o_orderdate', NULL, strftime(o_orderdate, '%Y-%m-%d') FROM orders),
+  dict AS (SELECT row_number() OVER (ORDER BY block, whole, category) - 1 AS position, block, feature, category, n
+    FROM (SELECT block, feature, whole, category, count(*) AS n FROM cells WHERE category IS NOT NULL GROUP BY ALL)) """
+
+
+def _wide_orders(spark, folder):
+    orders = table(spark, folder, "orders")
+    return materialize(orders.select(F.col("o_orderkey").alias("row_id"), "o_orderpriority", "o_custkey", F.date_format(
+        "o_orderdate", "yyyy-MM-dd").alias("o_orderdate")), "orders")
+
+
+@query(_DICTIONARY + "SELECT position, block, feature, category, n FROM dict")
+def category_dictionary(spark, folder):
+    """Positions of all categories of three columns; ranges far below the number of categories."""
+    return dictionary.build_dictionary(_wide_orders(spark, folder), _WIDE, local_rows=500)
+
+
+@query(_DICTIONARY + """SELECT row_id, string_agg(CAST(position AS VARCHAR), ',' ORDER BY position) AS indices
+  FROM cells JOIN dict USING (block, feature, category) GROUP BY row_id""")
+def one_hot_by_dictionary(spark, folder):
+    orders = _wide_orders(spark, folder)
+    coded = dictionary.encode(orders, "row_id", dictionary.build_dictionary(orders, _WIDE), _WIDE)
+    return coded.select("row_id", F.array_join("indices", ",").alias("indices"))
+
+
 @query(f"""WITH {V1}, s AS (SELECT * FROM v1) SELECT 'lang' AS feature, count(*) AS n_unseen FROM v1
     WHERE lang NOT IN (SELECT lang FROM s WHERE source < 'src15')
   UNION ALL SELECT 'source', count(*) FROM v1 WHERE source NOT IN (SELECT source FROM s WHERE source < 'src15')""")
