@@ -13,7 +13,7 @@ from ..schema import (
 )
 from ..operators.boosting import NewtonTrees
 from ..session import materialize, scratch_path
-from ..sources import files, payload, quoted_csv
+from ..sources import files, payload, quoted_csv, versions
 from ..sources.tables import applicants, labelled_docs, numbers_as_whole, table
 from ..streaming.scoring import either_layout, read_arrivals, score_stream as start_scoring
 from . import annotation, scoring, scripted, training
@@ -762,6 +762,18 @@ def publish_round_trip(spark, folder):
     return spark.read.parquet(path)
 
 
+@query("""SELECT CAST(1 AS BIGINT) AS version, doc_id, text FROM documents WHERE doc_id % 2 = 0
+  UNION ALL SELECT 2, doc_id, text FROM documents""")
+def publish_versions(spark, folder):
+    """Two published versions; a reader that resolved the first keeps its rows when the second counts."""
+    root, docs = scratch_path(spark, "versions"), table(spark, folder, "documents").select("doc_id", "text")
+    versions.publish_version(docs.where("doc_id % 2 = 0"), root)
+    first = versions.read_version(spark, root)
+    second = versions.publish_version(docs, root)
+    numbered = lambda rows, n: rows.select(F.lit(n).cast("bigint").alias("version"), "doc_id", "text")
+    return numbered(first, second.number - 1).unionByName(numbered(versions.read_version(spark, root), second.number))
+
+
 @query(_SCORED + " SELECT row_id, y_true, y_pred, y_prob FROM s")
 def predictions_round_trip(spark, folder):
     path = scratch_path(spark, "predictions")
