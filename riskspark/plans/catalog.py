@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import labels, text
-from ..operators import binning, dictionary, distribution, encode, joins, metrics, profile, split
+from ..operators import binning, curvature, dictionary, distribution, encode, joins, metrics, profile, split
 from ..schema import (
     APPLICANT, APPLICANT_COLUMNS, BIN_COLUMNS, BIN_LABELS, DISPLAY_BIN_LABELS, FEATURES, FILL_UNKNOWN, LABELLED, LABELS,
 )
@@ -948,6 +948,20 @@ def _doc_fit(spark, folder, algorithm="logistic", **options):
     return training.fit(_doc_rows(spark, folder), "row_id", DOC_LAYOUT, algorithm, **options)
 
 
+@query(_DOC_BINS + """, c AS (SELECT row_id, position AS i, label FROM cells JOIN pos USING (block, feature, category)
+    UNION ALL SELECT row_id, (SELECT count(*) FROM pos), label FROM b)
+  SELECT CAST(x.i AS INTEGER) AS i, CAST(y.i AS INTEGER) AS j, CAST(count(*) AS DOUBLE) / 4 AS value
+    FROM c x JOIN c y ON x.row_id = y.row_id AND x.i <= y.i GROUP BY 1, 2
+  UNION ALL SELECT CAST(i AS INTEGER), -1, CAST(sum(label) AS DOUBLE) - CAST(count(*) AS DOUBLE) / 2 FROM c GROUP BY 1
+  UNION ALL SELECT -2, -2, round(CAST(count(*) AS DOUBLE) * ln(2), 6) FROM b""")
+def logistic_curvature(spark, folder):
+    """Curvature, gradient and loss of the logistic loss where all coefficients are zero."""
+    rows = labelled_docs(spark, folder).withColumn("label", labels.map_values(F.col("target")))
+    features, merged = training.fit_features(materialize(rows.drop("description"), "docs"), DOC_LAYOUT)
+    sums = curvature.curvature_sums(merged, [0.0] * (len(encode.feature_names(features)) + 1))
+    return sums.withColumn("value", F.round("value", 6))
+
+
 @query()
 def train_logreg_eval(spark, folder):
     return _doc_run(spark, folder).report
