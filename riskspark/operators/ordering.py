@@ -15,6 +15,8 @@ from ..session import materialize
 from .joins import join_small
 
 LOCAL_ROWS = 1_000_000
+#: Tasks that write the ranges, where there are more ranges: so many, or one for so many rows.
+TASKS, TASK_ROWS = 32, 100_000
 
 
 @dataclass(frozen=True)
@@ -83,11 +85,22 @@ class OrderedTable:
 def ordered(
     df: DataFrame, order: Sequence[str], descending: bool = False, local_rows: int = LOCAL_ROWS
 ) -> OrderedTable:
-    """Write ``df`` and split it into ranges of about ``local_rows`` rows; a small table stays one range."""
+    """Write ``df`` and split it into ranges of about ``local_rows`` rows; a small table stays one range.
+
+    Ranges that are small and many do not get a task and a file each: a task sorts its rows and cuts them into ranges.
+    """
     table = materialize(df, "ordered")
-    parts = max(1, -(-table.count() // local_rows))
+    rows = table.count()
+    parts = max(1, -(-rows // local_rows))
     if parts == 1:
         return OrderedTable(table.withColumn("_part", F.lit(0)), tuple(order), descending, 1)
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    ranged = table.repartitionByRange(parts, *sort).withColumn("_part", F.spark_partition_id())
+    tasks = min(parts, max(TASKS, -(-rows // TASK_ROWS)))
+    ranged = table.repartitionByRange(tasks, *sort)
+    if tasks == parts:
+        ranged = ranged.withColumn("_part", F.spark_partition_id())
+    else:
+        # Within a task the numbers follow each other; a range is named by the number of its first row.
+        numbered = ranged.sortWithinPartitions(*sort).withColumn("_part", F.monotonically_increasing_id())
+        ranged = numbered.withColumn("_part", F.col("_part") - F.col("_part").bitwiseAND((1 << 33) - 1) % local_rows)
     return OrderedTable(materialize(ranged, "ranged"), tuple(order), descending, parts)
