@@ -15,6 +15,7 @@ quotes would turn the rest of its file inside out, and the number of quotes of s
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -30,15 +31,31 @@ from .payload import csv_fields
 WHOLE, OPEN, END, MIDDLE = range(4)
 _PIECE = pa.schema([("split", pa.int64()), ("nth", pa.int64()), ("part", pa.int32()), ("first", pa.bool_()), ("text", pa.string())])
 _PIECES = "split bigint, nth bigint, part int, first boolean, text string"
+#: Splits are read by so many tasks, or by one for so many bytes, where there are more splits.
+TASKS, TASK_BYTES = 64, 32 << 20
+#: Pieces that leave a task together.
+BATCH_BYTES, BATCHES = 4 << 20, 1000
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    """The most bytes of a split, from the session's setting, which may have a unit."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
 
 
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file, start, split, nth, odd, text): the lines of each split in their order; ``odd`` numbers of quotes turn the state."""
+    """(file, start, split, nth, odd, text): the lines of each split in their order; ``odd`` numbers of quotes turn the state.
+
+    A task reads several small splits one after the other, so that neither tasks nor written files are as many as splits.
+    """
     raw = spark.read.option("lineSep", "\n").text(path if isinstance(path, str) else list(path))
     file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return raw.select(file.alias("file"), start.alias("start"), F.xxhash64(file, start).alias("split"),
-                      F.monotonically_increasing_id().alias("nth"), (quotes % 2 == 1).alias("odd"), F.col("value").alias("text"))
+    lines = raw.select(file.alias("file"), start.alias("start"), F.xxhash64(file, start).alias("split"),
+                       F.monotonically_increasing_id().alias("nth"), (quotes % 2 == 1).alias("odd"), F.col("value").alias("text"))
+    splits = raw.rdd.getNumPartitions()
+    tasks = max(TASKS, -(-splits * _split_bytes(spark) // TASK_BYTES))
+    return lines.coalesce(tasks) if tasks < splits else lines
 
 
 def split_states(lines: DataFrame) -> DataFrame:
@@ -61,34 +78,52 @@ class _Split:
         odd = odd.astype(bool)
         plain = ~inside & ~odd
         if plain.any():
-            yield self._batch(nth[plain], WHOLE, text.filter(pa.array(plain)))
-        for i in np.flatnonzero(~plain).tolist():
+            yield self._batch(nth[plain], np.full(int(plain.sum()), WHOLE, np.int32), text.filter(pa.array(plain)))
+        others = np.flatnonzero(~plain)
+        done = []
+        for i, line in zip(others.tolist(), text.take(pa.array(others)).to_pylist()):
             if not inside[i]:
-                self.held, self.held_at, self.own = [text[i].as_py()], int(nth[i]), True
+                self.held, self.held_at, self.own = [line], int(nth[i]), True
                 continue
             if not self.held:
                 self.held_at = int(nth[i])
-            self.held.append(text[i].as_py())
+            self.held.append(line)
             if odd[i]:
-                yield self._held(WHOLE if self.own else END)
+                done.append(self._taken(WHOLE if self.own else END))
                 self.own = True
+        if done:
+            at, part, texts = zip(*done)
+            yield self._batch(np.array(at), np.array(part, np.int32), pa.array(texts, pa.string()))
         self.inside = bool((odd.sum() + self.inside) % 2)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self.held:
-            yield self._held(OPEN if self.own else MIDDLE)
+            at, part, text = self._taken(OPEN if self.own else MIDDLE)
+            yield self._batch(np.array([at]), np.array([part], np.int32), pa.array([text], pa.string()))
 
-    def _held(self, part: int) -> pa.RecordBatch:
-        out = self._batch(np.array([self.held_at]), part, pa.array(["\n".join(self.held)]))
-        self.held = []
-        return out
+    def _taken(self, part: int) -> tuple[int, int, str]:
+        text, self.held = "\n".join(self.held), []
+        return self.held_at, part, text
 
-    def _batch(self, nth: np.ndarray, part: int, text: pa.Array) -> pa.RecordBatch:
-        n = len(nth)
+    def _batch(self, nth: np.ndarray, part: np.ndarray, text: pa.Array) -> pa.RecordBatch:
         # A file's header is the record that begins with its first line.
         first = (nth == self.start_nth) & self.first
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, self.split)), pa.array(nth), pa.array(np.full(n, part, np.int32)), pa.array(first), text.cast(pa.string())], schema=_PIECE)
+            [pa.array(np.full(len(nth), self.split)), pa.array(nth), pa.array(part), pa.array(first), text.cast(pa.string())], schema=_PIECE)
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``BATCH_BYTES`` or ``BATCHES`` small ones: a split of a few records is not sent on its own."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BATCH_BYTES or len(held) == BATCHES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +133,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         split, nth, odd = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("split", "nth", "odd"))
-        if nth[0] <= last or (np.diff(nth) <= 0).any():
+        same = np.r_[now is not None and split[0] == now.split, split[1:] == split[:-1]]
+        if (np.diff(nth, prepend=last)[same] <= 0).any():
             raise RuntimeError("lines came out of their order")
         last = int(nth[-1])
         cuts = [0, *(np.flatnonzero(split[1:] != split[:-1]) + 1).tolist(), len(split)]
@@ -137,8 +173,9 @@ def read_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         if odd:
             raise ValueError(f"{odd[0].file}: a quote is not closed")
         begins = (F.col("start") == 0).alias("begins")
-        told = lines.join(states.select("split", "inside"), "split", "left").select("split", "nth", "odd", "text", "inside", begins)
-        pieces = materialize(told.mapInArrow(_pieces, _PIECES), "csv-pieces")
+        # Two numbers for each split; a shuffle would take the lines out of their order.
+        told = lines.join(F.broadcast(states.select("split", "inside")), "split", "left").select("split", "nth", "odd", "text", "inside", begins)
+        pieces = materialize(told.mapInArrow(lambda b: _together(_pieces(b)), _PIECES), "csv-pieces")
     whole = pieces.where(F.col("part") == WHOLE).join(states.select("split", "file"), "split").select("file", "first", "text")
     ended = F.regexp_replace("text", "\r$", "")
     every = whole.unionByName(_joined(pieces, states)).select("file", "first", ended.alias("text"))
@@ -155,7 +192,9 @@ def read_quoted_csv(
     """
     records = read_records(spark, path)
     titles = F.transform(csv_fields(F.col("text")), lambda t: F.trim(t))
-    headers = materialize(records.where("first").select("file", titles.alias("titles")), "csv-headers")
+    # The size of splits is meant for the files, not for the written pieces.
+    with settings(spark, spark_sql_files_maxPartitionBytes=max(_split_bytes(spark), TASK_BYTES)):
+        headers = materialize(records.where("first").select("file", titles.alias("titles")), "csv-headers")
     # One row per set of columns, not per file.
     known = {t for r in headers.select("titles").distinct().collect() for t in r.titles}
     outer = {v: k for k, v in names.items()}

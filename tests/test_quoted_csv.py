@@ -86,3 +86,14 @@ def test_texts_are_not_shuffled_and_settings_stay(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [(1, "x")]
     (tmp_path / "b.csv").write_text("")
     assert got.sparkSession.read.text(str(tmp_path)).count() == 2
+
+
+def test_small_splits_share_tasks(spark, tmp_path, split_bytes):
+    """Neither tasks nor files of pieces may be as many as splits."""
+    split_bytes(8)
+    text, want = made_up(3, 90)
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    lines = quoted_csv._lines(spark, str(tmp_path))
+    assert lines.select("split").distinct().count() > 2 * quoted_csv.TASKS
+    assert lines.rdd.getNumPartitions() == quoted_csv.TASKS
+    assert sorted(map(tuple, quoted_csv.read_quoted_csv(spark, str(tmp_path), SCHEMA, {}).collect())) == sorted(want)
