@@ -26,25 +26,39 @@ def csv_line(columns: Sequence[Column]) -> Column:
     def field(c: Column) -> Column:
         text = F.coalesce(c.cast("string"), F.lit(""))
         quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
-        return F.when(text.rlike('[,"\r\n]'), quoted).otherwise(text)
+        special = text.contains(",") | text.contains('"') | text.contains("\r") | text.contains("\n")
+        return F.when(special, quoted).otherwise(text)
 
     return F.concat_ws(",", *[field(c) for c in columns])
 
 
-def csv_fields(line: Column) -> Column:
-    """The fields of one CSV line, however many there are; a quote inside a quoted field is doubled.
+def _cells(line: Column) -> Column:
+    """The fields of one CSV line, in which ``FIELD_END`` stands for a comma inside quotes if the line has quotes.
 
     Cut at the quotes, every second piece stands inside quotes. Between them, an empty piece is a doubled quote and
     a comma ends a field. A quote that is not closed goes on to the end of the line.
     """
-    pieces = F.split(line, '"')
+    def joined(pieces: Column) -> Column:
+        def plain(piece: Column, i: Column) -> Column:
+            doubled = (piece == "") & (i > 0) & (i < F.size(pieces) - 1)
+            inside = F.when(piece.contains(","), F.replace(piece, F.lit(","), F.lit(FIELD_END))).otherwise(piece)
+            return F.when(i % 2 == 1, inside).when(doubled, F.lit('"')).otherwise(piece)
+
+        return F.array_join(F.transform(pieces, plain), "")
+
+    # The pieces are the one element of an array, so that they are cut once and not again for each doubled quote.
+    marked = F.get(F.transform(F.array(F.split(line, '"')), joined), F.lit(0))
+    return F.split(F.when(line.contains('"'), marked).otherwise(line), ",")
 
-    def plain(piece: Column, i: Column) -> Column:
-        doubled = (piece == "") & (i > 0) & (i < F.size(pieces) - 1)
-        outside = F.when(doubled, F.lit('"')).otherwise(F.replace(piece, F.lit(","), F.lit(FIELD_END)))
-        return F.when(i % 2 == 1, piece).otherwise(outside)
 
-    return F.when(line.contains('"'), F.split(F.array_join(F.transform(pieces, plain), ""), FIELD_END)).otherwise(F.split(line, ","))
+def _cell(line: Column, cell: Column) -> Column:
+    """A field as it is in the text, from one of ``_cells``."""
+    return F.when(line.contains('"'), F.replace(cell, F.lit(FIELD_END), F.lit(","))).otherwise(cell)
+
+
+def csv_fields(line: Column) -> Column:
+    """The fields of one CSV line, however many there are; a quote inside a quoted field is doubled."""
+    return F.transform(_cells(line), lambda cell: _cell(line, cell))
 
 
 def csv_records(body: Column) -> Column:
@@ -53,11 +67,20 @@ def csv_records(body: Column) -> Column:
     Cut at the quotes, every second piece stands inside quotes, so a piece's place is the state it is read in. A quote
     that is not closed goes on to the end of the body. Empty lines are no records.
     """
-    breaks = "\r\n|\n|\r"
-    marked = F.transform(
-        F.split(body, '"'), lambda piece, i: F.when(i % 2 == 1, piece).otherwise(F.regexp_replace(piece, breaks, RECORD_END)))
-    quoted = F.split(F.array_join(marked, '"'), RECORD_END)
-    return F.filter(F.when(body.contains('"'), quoted).otherwise(F.split(body, breaks)), lambda record: record != "")
+    def ended(text: Column, end: str) -> Column:
+        # A break of two characters ends a record twice, and the empty record between is none.
+        once = F.when(text.contains("\r"), F.replace(text, F.lit("\r"), F.lit(end))).otherwise(text)
+        return once if end == "\n" else F.replace(once, F.lit("\n"), F.lit(end))
+
+    plain = F.split(ended(body, "\n"), "\n")
+
+    def cut(pieces: Column) -> Column:
+        marked = F.transform(pieces, lambda piece, i: F.when(i % 2 == 1, piece).otherwise(ended(piece, RECORD_END)))
+        broken = F.filter(pieces, lambda piece, i: (i % 2 == 1) & (piece.contains("\n") | piece.contains("\r")))
+        return F.when(F.size(broken) == 0, plain).otherwise(F.split(F.array_join(marked, '"'), RECORD_END))
+
+    quoted = F.get(F.transform(F.array(F.split(body, '"')), cut), F.lit(0))
+    return F.filter(F.when(body.contains('"'), quoted).otherwise(plain), lambda record: record != "")
 
 
 def csv_bodies(
@@ -69,8 +92,9 @@ def csv_bodies(
     """
     line = csv_line([F.col(c) for c in names.values()])
     header = ",".join(names)
-    lines = F.array_sort(F.collect_list(F.struct(F.col(order), line.alias("line"))))
-    return df.groupBy(request_id).agg(lines.alias("_rows")).select(
+    # Lines are made before they are grouped: an aggregate would evaluate them without generated code.
+    lines = df.select(F.col(request_id), F.struct(F.col(order), line.alias("line")).alias("_row"))
+    return lines.groupBy(request_id).agg(F.array_sort(F.collect_list("_row")).alias("_rows")).select(
         request_id,
         F.lit(CSV_TYPE).alias("content_type"),
         F.concat(F.lit(header + "\n"), F.concat_ws("\n", F.col("_rows.line")), F.lit("\n")).alias("body"),
@@ -93,8 +117,11 @@ def parse_csv_bodies(
     bodies = requests.select(request_id, "content_type", lines.alias("_lines"))
     header = F.transform(csv_fields(F.get("_lines", F.lit(0))), lambda title: F.trim(title))
     bodies = bodies.withColumn("_header", header)
-    # Looked up once per body, not once per line.
-    places = F.struct(*[F.array_position("_header", title).cast("int").alias(name) for title, name in names.items()])
+    wanted = T.StructType([f for f in schema if f.name in names.values()])
+    # Looked up once per body, not once per line, and only for the columns that are returned.
+    titles = {name: title for title, name in names.items()}
+    places = F.struct(F.lit(0).alias("_none"), *[
+        F.array_position("_header", titles[f.name]).cast("int").alias(f.name) for f in wanted])
     absent = F.array_except(F.array(*[F.lit(n) for n in names]), F.col("_header"))
     rows = bodies.select(
         request_id, "content_type", places.alias("_places"), absent.alias("_absent"),
@@ -105,13 +132,12 @@ def parse_csv_bodies(
         .when(F.col("_line").isNull(), F.lit("empty body"))
         .when(F.size("_absent") > 0, F.concat(F.lit("missing columns: "), F.array_join("_absent", ", ")))
     )
-    rows = rows.withColumns({"error": error, "_cells": csv_fields(F.col("_line"))})
-    at = lambda name: F.get("_cells", F.col(f"_places.{name}") - 1)
+    rows = rows.withColumns({"error": error, "_cells": _cells(F.col("_line"))})
+    at = lambda name: _cell(F.col("_line"), F.get("_cells", F.col(f"_places.{name}") - 1))
     texts = rows.select(
         request_id, "pos", "error",
-        *[F.when(F.col("error").isNull(), at(name)).alias(name) for name in names.values()],
+        *[F.when(F.col("error").isNull(), at(f.name)).alias(f.name) for f in wanted],
     )
-    wanted = T.StructType([f for f in schema if f.name in names.values()])
     out = typed(texts, wanted, keep=[request_id, "pos", "error"])
     # One error row per rejected body, not one per line.
     return out.where(F.col("error").isNull() | (F.coalesce("pos", F.lit(0)) == 0))
