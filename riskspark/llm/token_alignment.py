@@ -73,11 +73,10 @@ class Tokenizers:
         self.bytes_b = [_piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.len_a, self.len_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
         most = max(len(self.bytes_a), len(self.bytes_b))
-        # One row per id: its decimal digits from the left, zeros, and room for a separator.
-        self.digits = np.zeros((most, len(str(most)) + 1), np.uint8)
-        for i in range(most):
-            text = str(i).encode()
-            self.digits[i, : len(text)] = list(text)
+        # One number per id: its decimal digits as bytes from the left, zeros, and room for a separator.
+        texts = [str(i).encode() for i in range(most)]
+        self.digits = np.frombuffer(b"".join([t.ljust(8, b"\0") for t in texts]), "<u8")
+        self.widths = np.array([len(t) for t in texts], np.int64)
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both models; none for texts that either does not give back."""
@@ -109,7 +108,7 @@ class Aligned:
     def __init__(self, made: Tokenizers, ids: list[tuple[list[int], list[int]]]) -> None:
         self.made, self.docs = made, len(ids)
         self.n_a, self.n_b = (np.array([len(x[i]) for x in ids], np.int64) for i in (0, 1))
-        self.a, self.b = (np.fromiter((t for x in ids for t in x[i]), np.int64, int(n.sum())) for i, n in ((0, self.n_a), (1, self.n_b)))
+        self.a, self.b = (np.concatenate([np.zeros(0, np.int64), *[np.array(x[i], np.int64) for x in ids]]) for i in (0, 1))
         ends_a, ends_b = np.cumsum(made.len_a[self.a]), np.cumsum(made.len_b[self.b])
         at = np.searchsorted(ends_b, ends_a)
         self.last_a = np.flatnonzero(ends_b[np.minimum(at, len(ends_b) - 1)] == ends_a) if len(ends_b) else np.zeros(0, np.int64)
@@ -119,18 +118,20 @@ class Aligned:
 
     def group_texts(self) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` for each document."""
-        i, j = np.arange(len(self.a)), np.arange(len(self.b))
-        group_a, group_b = np.searchsorted(self.last_a, i), np.searchsorted(self.last_b, j)
+        end_a, end_b = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
+        end_a[self.last_a], end_b[self.last_b] = 1, 1
+        group_a, group_b = np.cumsum(end_a) - end_a, np.cumsum(end_b) - end_b
         before_b = np.r_[0, self.last_b + 1]  # tokens of B in earlier groups
-        place_a, place_b = i + before_b[group_a], j + self.last_a[group_b] + 1
-        cells = np.empty((len(i) + len(j), self.made.digits.shape[1]), np.uint8)
-        cells[place_a], cells[place_b] = self.made.digits[self.a], self.made.digits[self.b]
-        cells[place_a, -1], cells[place_b, -1] = ord(","), ord(",")
-        cells[place_a[self.last_a], -1], cells[place_b[self.last_b], -1] = ord("|"), ord(";")
-        tokens = np.cumsum(self.n_a + self.n_b)
-        cells[tokens[tokens > 0] - 1, -1] = 0  # nothing after a document's last group
-        flat, ends = cells.ravel(), np.r_[0, np.cumsum(np.count_nonzero(cells, axis=1))][tokens]
-        flat = flat[flat != 0].tobytes()
+        comma, bar, semicolon = (np.uint64(ord(c) << 56) for c in ",|;")
+        cells = np.empty(len(self.a) + len(self.b), "<u8")
+        cells[np.arange(len(self.a)) + before_b[group_a]] = self.made.digits[self.a] | np.where(end_a, bar, comma)
+        cells[np.arange(len(self.b)) + self.last_a[group_b] + 1] = self.made.digits[self.b] | np.where(end_b, semicolon, comma)
+        to_a, to_b = np.cumsum(self.n_a), np.cumsum(self.n_b)
+        tokens = to_a + to_b
+        cells[tokens[tokens > 0] - 1] &= np.uint64((1 << 56) - 1)  # nothing after a document's last group
+        up_to = lambda ids: np.r_[0, np.cumsum(self.made.widths[ids])]
+        ends = up_to(self.a)[to_a] + up_to(self.b)[to_b] + tokens - np.cumsum(self.n_a + self.n_b > 0)
+        flat = cells.tobytes().translate(None, b"\0")
         return [flat[lo:hi] for lo, hi in zip([0, *ends.tolist()], ends.tolist())]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:

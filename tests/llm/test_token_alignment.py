@@ -108,3 +108,24 @@ def test_bitmaps_give_their_documents_back():
             for o, x in zip(owner.tolist(), d.tolist()):
                 back[int(pairs[o]), x] += weight
         assert back == Counter(times)
+
+
+def test_group_texts_from_one_number_per_id():
+    """Against text put together group by group; digits are single numbers, not rows of bytes."""
+    from riskspark.llm import token_alignment as alignment
+
+    made = alignment.Tokenizers(*(open(p, "rb").read() for p in (alignment.BYTE_MODEL, alignment.PIECE_MODEL)))
+    assert made.digits.ndim == 1
+    texts = ["", "Plain words, 1234567890 and naïve cafés", "", "x", "tab\tand  two spaces", ""]
+    ids = made.encode(texts)
+    want = []
+    for a, b in ids:
+        groups, i, j = [], 0, 0
+        while i < len(a):
+            first = i, j
+            i, j = i + 1, j + 1
+            while (x := sum(made.len_a[a[:i]])) != (y := sum(made.len_b[b[:j]])):
+                i, j = (i + 1, j) if x < y else (i, j + 1)
+            groups.append(f"{','.join(map(str, a[first[0]:i]))}|{','.join(map(str, b[first[1]:j]))}")
+        want.append(";".join(groups).encode())
+    assert alignment.Aligned(made, ids).group_texts() == want
