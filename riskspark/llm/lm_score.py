@@ -26,6 +26,7 @@ probability 1. Repeated rows and ids each get their row.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -369,7 +370,7 @@ class Automaton:
         fail = np.zeros(1 + len(ones) + len(twos), np.int64)
         fail[two_state] = word_state[two.code]
         fail[0] = 0
-        self.back, self.fail = [0.0, *price_one.tolist(), *price_two.tolist()], fail.tolist()
+        self.back, self.fail = array("d", np.r_[0.0, price_one, price_two].tobytes()), array("q", fail.tobytes())
         # Arcs by state and word: their weight, and where they lead.
         kept, last = found >= 0, n_three > 0
         source = np.r_[np.zeros(wide, np.int64), word_state[two.head[kept]], two_state[three.head[last]]]
@@ -377,19 +378,24 @@ class Automaton:
         weight = np.r_[self.base, np.log10((n_two[kept] - discount) / self.n[two.head[kept]]),
                        np.log10((n_three[last] - discount) / n_two[three.head[last]])]
         to = np.r_[word_state, after_two[kept], after_two[rest[last]]]
-        self.wide, self.weight, self.to = wide, weight.tolist(), to.tolist()
-        self.arcs = dict(zip((source * wide + reads).tolist(), range(len(to))))
+        self.wide, self.weight, self.to = wide, array("d", weight.tobytes()), array("q", to.tobytes())
+        # The root's arcs come first, in the order of the words.
+        keys = (source * wide + reads)[wide:]
+        # The dictionary needs much memory; what led to it is given back before.
+        del told, back, number, two, found, n_two, three, rest, n_three, word_state, two_state, after_two, fail, kept, last
+        del ones, price_one, twos, price_two, source, reads, weight, to
+        self.arcs = dict(zip(keys.tolist(), range(wide, wide + len(keys))))
 
     def score(self, codes: list[int]) -> float:
         """One traversal from the root."""
         arc_of, weight, to, back, fail, wide = self.arcs.get, self.weight, self.to, self.back, self.fail, self.wide
         state, total = 0, 0.0
         for word in codes:
-            arc = arc_of(state * wide + word)
+            arc = arc_of(state * wide + word) if state else word
             while arc is None:
                 total += back[state]
                 state = fail[state]
-                arc = arc_of(state * wide + word)
+                arc = arc_of(state * wide + word) if state else word
             total += weight[arc]
             state = to[arc]
         return total
@@ -401,6 +407,7 @@ def _scored(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float, size:
     _, words = _read(chunks)
     pa.default_memory_pool().release_unused()  # of earlier stages
     automaton = Automaton(words, back, buckets, fewest, size, discount)
+    del back
     docs = len(words.lens)
     known = np.bincount(words.doc, automaton.n[words.code] > 0, docs).astype(np.int64)
     base = np.bincount(words.doc, automaton.base[words.code], docs)

@@ -121,3 +121,20 @@ def test_written_arcs_and_states(spark, docs_of):
         histories = {a.first for a in arcs if a["size"] == size}
         assert histories <= {a.number for a in arcs if a["size"] == size - 1}
         assert histories == {r.number for r in made.states.collect() if r["size"] == size - 1}
+
+
+def test_root_arcs_take_no_room_in_the_dictionary():
+    """A chunk of which no n-gram is kept: all arcs are the root's, which are found by their words."""
+    import numpy as np
+    import pyarrow as pa
+
+    words, code = op.tokenized(b"a b c\xffa c\xff")
+    lens = np.diff(np.flatnonzero(code == words.index(b"\xff")), prepend=-1)
+    row = {"chunk": 0, "codes": op._pack(code), "lens": op._pack(lens), "words": op._joined(words), "held": [False, False]}
+    sent = pa.Table.from_batches(list(op._sent_words(iter(pa.Table.from_pylist([row]).to_batches()), 1)))
+    back = op._numbered_words(sent).slice(1)
+    chunk = op.Words(code, lens, np.zeros(2, bool))
+    automaton = op.Automaton(chunk, back, 1, 2.0, 7 + 0.1 * 5, 0.75)
+    assert not automaton.arcs and automaton.weight.itemsize == 8
+    want = sum(math.log10((n + 0.1) / 7.5) for n in (2, 1, 2, 2))
+    assert automaton.score(code[:4].tolist()) == pytest.approx(want)
