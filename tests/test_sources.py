@@ -183,3 +183,14 @@ def test_header_probe_reads_first_lines_only(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     found = sorted(sorted(f.rsplit("/", 1)[1] for f in g) for g in files._files_by_header(spark, str(tmp_path)))
     assert found == [["a.csv", "b.csv"], ["c.csv"]]
+
+
+def test_payload_places_only_for_returned_columns(spark, capsys):
+    """Wide bodies: a place for each of the other columns would go with every row."""
+    titles = HEADER.split(",")
+    names = {**{f"spare {i}": f"spare_{i}" for i in range(3)}, **payload.APPLICANT_COLUMNS}
+    body = ",".join(["spare 0", "spare 1", "spare 2", *titles]) + '\n"a ""b"", c",,x' + ",44" * len(titles) + "\n"
+    rows = payload.parse_csv_bodies(bodies(spark, ("r", "text/csv", body)), "request_id", names=names)
+    rows.explain(True)
+    assert "spare_1" not in capsys.readouterr().out
+    assert [(r.pos, r.age, r.error) for r in rows.collect()] == [(0, 44, None)]
