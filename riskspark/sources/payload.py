@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import APPLICANT, APPLICANT_COLUMNS
-from .files import typed
+from .files import cast_texts, null_tokens
 
 CSV_TYPE = "text/csv"
 JSON_TYPE = "application/json"
@@ -120,8 +120,7 @@ def parse_csv_bodies(
     wanted = T.StructType([f for f in schema if f.name in names.values()])
     # Looked up once per body, not once per line, and only for the columns that are returned.
     titles = {name: title for title, name in names.items()}
-    places = F.struct(F.lit(0).alias("_none"), *[
-        F.array_position("_header", titles[f.name]).cast("int").alias(f.name) for f in wanted])
+    places = F.array(*[F.array_position("_header", titles[f.name]).cast("int") for f in wanted]).cast("array<int>")
     absent = F.array_except(F.array(*[F.lit(n) for n in names]), F.col("_header"))
     rows = bodies.select(
         request_id, "content_type", places.alias("_places"), absent.alias("_absent"),
@@ -133,12 +132,12 @@ def parse_csv_bodies(
         .when(F.size("_absent") > 0, F.concat(F.lit("missing columns: "), F.array_join("_absent", ", ")))
     )
     rows = rows.withColumns({"error": error, "_cells": _cells(F.col("_line"))})
-    at = lambda name: _cell(F.col("_line"), F.get("_cells", F.col(f"_places.{name}") - 1))
-    texts = rows.select(
-        request_id, "pos", "error",
-        *[F.when(F.col("error").isNull(), at(f.name)).alias(f.name) for f in wanted],
-    )
-    out = typed(texts, wanted, keep=[request_id, "pos", "error"])
+    # All fields by one expression: with one for each, the code that Spark generates for parsing and scoring in one stage
+    # passes 8,000 bytes a method, which the JVM does not compile.
+    cells = F.transform("_places", lambda place: _cell(F.col("_line"), F.get("_cells", place - 1)))
+    rows = rows.select(request_id, "pos", "error", F.when(F.col("error").isNull(), F.transform(cells, lambda text: null_tokens(text))).alias("_texts"))
+    texts = rows.select(request_id, "pos", "error", *[F.get("_texts", F.lit(i)).alias(f.name) for i, f in enumerate(wanted)])
+    out = cast_texts(texts, wanted, keep=[request_id, "pos", "error"])
     # One error row per rejected body, not one per line.
     return out.where(F.col("error").isNull() | (F.coalesce("pos", F.lit(0)) == 0))
 

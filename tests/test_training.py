@@ -2,13 +2,14 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from riskspark.operators import encode
 from riskspark.plans import scoring, training
 from riskspark.plans.catalog import DOC_LAYOUT
 from riskspark.session import materialize, scratch_path
 from riskspark.sources import payload
+from riskspark.sources.files import settings
 from riskspark.streaming.scoring import either_layout, read_arrivals, score_stream
 
 
@@ -171,3 +172,27 @@ def test_a_stream_reads_a_file_and_a_folder_of_files(spark, people, tmp_path, fo
     query = arrivals.select("id").writeStream.format("memory").queryName(f"seen_{folder}").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table(f"seen_{folder}").count() == people.count() > 0
+
+
+def test_code_for_parsing_and_scoring_requests_is_small_enough_to_be_compiled(spark, run):
+    """The JVM interprets methods of over 8,000 bytes; the stage that parses and scores has one method for its rows."""
+    requests = spark.createDataFrame([(1, "text/csv", "")], "request_id int, content_type string, body string")
+    rows = payload.parse_csv_bodies(requests, "request_id").where("error is null")
+    with settings(spark, spark_sql_adaptive_enabled="false"):
+        plans = [scoring.score_requests(requests, run.model), scoring.score(rows, run.model, ["request_id", "pos"])]
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        for plan in plans:
+            codes = debug.codegenStringSeq(plan._jdf.queryExecution().executedPlan())
+            sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
+            assert 0 < max(sizes) < 8000
+
+
+def test_fields_of_request_bodies_by_header_with_nulls_and_short_lines(spark):
+    names = {"A": "a", "B": "b", "C": "c"}
+    schema = T.StructType([T.StructField("c", T.IntegerType()), T.StructField("a", T.StringType())])
+    body = 'C,spare,B,A\n1.0,x,y,"p, ""q"""\nNA,x,y, null \n1.5,x\n"2",x,y,'
+    requests = spark.createDataFrame([(1, "text/csv", body), (2, "text/csv", "A,B\n1,2"), (None, "text/csv", None)],
+                                     "request_id int, content_type string, body string")
+    got = {tuple(r) for r in payload.parse_csv_bodies(requests, "request_id", schema, names).collect()}
+    assert got == {(1, 0, None, 1, 'p, "q"'), (1, 1, None, None, None), (1, 2, None, None, None), (1, 3, None, 2, None),
+                   (2, 0, "missing columns: C", None, None), (None, None, "empty body", None, None)}
