@@ -9,7 +9,8 @@ can ask for more than that.
 The states of the automaton are the histories of kept n-grams, and a root. An arc is a kept n-gram: it leads from its history,
 by its last word, to the longest history that the words read so far end in. A failure arc leads to the history without its
 first word, at the price of its backoff weight. A text is scored in one traversal from left to right that carries the state:
-failure arcs are taken until an arc reads the next word.
+failure arcs are taken until an arc reads the next word. The texts of a chunk are traversed side by side, a token of each at a
+time, and the last few long ones one after the other.
 
 The automaton is written as tables and cut into buckets whose number grows with the tokens; nothing of it is broadcast or
 gathered. Texts are read once and written as numbers of words in chunks of about ``CHUNK`` bytes. A chunk sends its distinct words to
@@ -26,7 +27,6 @@ probability 1. Repeated rows and ids each get their row.
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -40,6 +40,8 @@ from .common import crc_fold, small_batches, text_or_empty
 WORD_SHARE, GRAM_SHARE, LEAST, DISCOUNT = 0.0, 0.0, 2, 0.75
 #: Text bytes of a chunk, and tokens of the corpus for each bucket.
 CHUNK, BUCKET = 8 << 20, 1 << 20
+#: Texts that are read a token of each at a time; fewer are read one after the other.
+SIDE_BY_SIDE = 128
 #: Ends a text; no byte of any UTF-8 text.
 _END = b"\xff"
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
@@ -370,32 +372,63 @@ class Automaton:
         fail = np.zeros(1 + len(ones) + len(twos), np.int64)
         fail[two_state] = word_state[two.code]
         fail[0] = 0
-        self.back, self.fail = array("d", np.r_[0.0, price_one, price_two].tobytes()), array("q", fail.tobytes())
-        # Arcs by state and word: their weight, and where they lead.
-        kept, last = found >= 0, n_three > 0
-        source = np.r_[np.zeros(wide, np.int64), word_state[two.head[kept]], two_state[three.head[last]]]
-        reads = np.r_[np.arange(wide), two.code[kept], three.code[last]]
-        weight = np.r_[self.base, np.log10((n_two[kept] - discount) / self.n[two.head[kept]]),
-                       np.log10((n_three[last] - discount) / n_two[three.head[last]])]
-        to = np.r_[word_state, after_two[kept], after_two[rest[last]]]
-        self.wide, self.weight, self.to = wide, array("d", weight.tobytes()), array("q", to.tobytes())
-        # The root's arcs come first, in the order of the words.
-        keys = (source * wide + reads)[wide:]
-        # The dictionary needs much memory; what led to it is given back before.
-        del told, back, number, two, found, n_two, three, rest, n_three, word_state, two_state, after_two, fail, kept, last
-        del ones, price_one, twos, price_two, source, reads, weight, to
-        self.arcs = dict(zip(keys.tolist(), range(wide, wide + len(keys))))
-
-    def score(self, codes: list[int]) -> float:
-        """One traversal from the root."""
-        arc_of, weight, to, back, fail, wide = self.arcs.get, self.weight, self.to, self.back, self.fail, self.wide
-        state, total = 0, 0.0
-        for word in codes:
-            arc = arc_of(state * wide + word) if state else word
-            while arc is None:
+        self.back, self.fail, self.ones = np.r_[0.0, price_one, price_two], fail, len(ones)
+        # Arcs, the root's first, in the order of the words: their weight, and where they lead.
+        kept, last = np.flatnonzero(found >= 0), np.flatnonzero(n_three > 0)
+        self.weight = np.r_[self.base, np.log10((n_two[kept] - discount) / self.n[two.head[kept]]),
+                            np.log10((n_three[last] - discount) / n_two[three.head[last]])]
+        self.to = np.r_[word_state, after_two[kept], after_two[rest[last]]]
+        # The arc of each length that reads a token after the words before it; only lengths that have any.
+        self.code, self.arcs = words.code, {}
+        for grams, some, first in ((two, kept, wide), (three, last, wide + len(kept))):
+            if len(some):
+                arc = np.full(len(grams.head), NONE, np.int64)
+                arc[some] = np.arange(first, first + len(some))
+                back_by = 1 if grams is two else 2
+                self.arcs[back_by + 1] = np.r_[np.full(back_by, NONE), grams.at_tokens(arc, len(words.code))[:-back_by]]
+
+    def _read_by(self, state: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The arcs by which states read the tokens at ``at``; a state is that of the words before. The root reads any word."""
+        two, three = (self.arcs[k][at] if k in self.arcs else NONE for k in (2, 3))
+        return np.where(state > self.ones, three, np.where(state > 0, two, self.code[at]))
+
+    def scores(self, lens: np.ndarray) -> np.ndarray:
+        """One traversal of each text from the root. Texts are read side by side, a token of each at a time."""
+        by = np.argsort(-lens, kind="stable")
+        start, lens = (np.cumsum(lens) - lens)[by], lens[by]
+        state, total = np.zeros(len(by), np.int64), np.zeros(len(by))
+        step, live, shorter = 0, int(np.count_nonzero(lens)), -lens
+        while live >= SIDE_BY_SIDE:
+            at, now, sum_ = start[:live] + step, state[:live], total[:live]
+            arc = self._read_by(now, at)
+            fails = np.flatnonzero(arc < 0)
+            while len(fails):
+                sum_[fails] += self.back[now[fails]]
+                now[fails] = self.fail[now[fails]]
+                arc[fails] = self._read_by(now[fails], at[fails])
+                fails = fails[arc[fails] < 0]
+            sum_ += self.weight[arc]
+            now[:] = self.to[arc]
+            step += 1
+            live = int(np.searchsorted(shorter, -step))
+        for i in range(live):  # the rest of the few longest
+            codes = self.code[start[i] + step:start[i] + lens[i]].tolist()
+            total[i] = self.score(codes, int(start[i]) + step, int(state[i]), float(total[i]))
+        out = np.empty(len(by))
+        out[by] = total
+        return out
+
+    def score(self, codes: list[int], at: int = 0, state: int = 0, total: float = 0.0) -> float:
+        """The traversal of one text whose words ``codes`` stand at place ``at`` of the chunk."""
+        weight, to, back, fail, ones = memoryview(self.weight), memoryview(self.to), memoryview(self.back), memoryview(self.fail), self.ones
+        none = [NONE] * len(codes)
+        twos, threes = (self.arcs[k][at:at + len(codes)].tolist() if k in self.arcs else none for k in (2, 3))
+        for word, two, three in zip(codes, twos, threes):
+            arc = three if state > ones else two if state else word
+            while arc < 0:
                 total += back[state]
                 state = fail[state]
-                arc = arc_of(state * wide + word) if state else word
+                arc = two if state else word
             total += weight[arc]
             state = to[arc]
         return total
@@ -411,10 +444,9 @@ def _scored(chunks: pa.Table, back: pa.Table, buckets: int, fewest: float, size:
     docs = len(words.lens)
     known = np.bincount(words.doc, automaton.n[words.code] > 0, docs).astype(np.int64)
     base = np.bincount(words.doc, automaton.base[words.code], docs)
-    ends = np.cumsum(words.lens).tolist()
-    scores = [automaton.score(words.code[lo:hi].tolist()) for lo, hi in zip([0, *ends], ends)]
+    scores = automaton.scores(words.lens)
     flat = lambda c: pa.concat_arrays(chunks.column(c).chunks).flatten()
-    return pa.table([flat("keys"), flat("held"), pa.array(words.lens), pa.array(known), pa.array(base), pa.array(scores, pa.float64())], schema=schema)
+    return pa.table([flat("keys"), flat("held"), pa.array(words.lens), pa.array(known), pa.array(base), pa.array(scores)], schema=schema)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:

@@ -138,3 +138,25 @@ def test_root_arcs_take_no_room_in_the_dictionary():
     assert not automaton.arcs and automaton.weight.itemsize == 8
     want = sum(math.log10((n + 0.1) / 7.5) for n in (2, 1, 2, 2))
     assert automaton.score(code[:4].tolist()) == pytest.approx(want)
+
+
+@pytest.mark.parametrize("side_by_side", [1, 3, 10**9])
+def test_texts_are_traversed_side_by_side_or_one_by_one(spark, docs_of, monkeypatch, side_by_side):
+    import numpy as np
+    import pyarrow as pa
+
+    pairs = list(enumerate(texts()))
+    made = op.learn(docs_of(pairs).coalesce(1))
+    chunk = made.chunks.toArrow()
+    states = made.states.toArrow()
+    known = pa.concat_tables([t.where("to_chunk >= 0").toArrow() for t in (made.one, made.two, made.three)])
+    asked = known.select(["size", "bucket", "to_chunk", "place"]).rename_columns(["size", "bucket", "chunk", "place"])
+    priced = [op._priced(asked.filter(pa.compute.equal(asked["size"], k)), states.filter(pa.compute.equal(states["size"], k)), made.buckets)
+              for k in (1, 2)]
+    assert len(chunk) == made.buckets == 1
+    monkeypatch.setattr(op, "SIDE_BY_SIDE", side_by_side)
+    _, words = op._read(chunk)
+    automaton = op.Automaton(words, pa.concat_tables([known, *priced]), 1, made.fewest, made.size, op.DISCOUNT)
+    got = automaton.scores(words.lens)
+    want = {k: w for k, *_, w in brute(pairs, 0, 0)}
+    assert np.allclose(got, [want[k] for k in chunk["keys"][0].as_py()], rtol=1e-9)
